@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -17,6 +17,8 @@ from veil.operators.lookup import lookup
 from veil.plans.tables import keep
 
 VALUE = "_value"
+# makes the pseudonym table of the keys of a table, numbering from a start
+Build = Callable[[DataFrame, int], DataFrame]
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
@@ -53,15 +55,12 @@ def date_noise_table(df: DataFrame, keys: Sequence[str], days=None, minutes=None
     return distinct_keys(df, keys).withColumn(VALUE, F.array(*pair))
 
 
-def pseudonym_table(df: DataFrame, keys: Sequence[str], build, path: str | None, extend: bool = False) -> DataFrame:
-    """The table of a build function over the distinct keys of ``df``, frozen on first use.
+def pseudonym_table(df: DataFrame, keys: Sequence[str], build: Build, path: str, extend: bool = False) -> DataFrame:
+    """The table of a build function over the distinct keys of ``df``, written once and then reused.
 
-    With a path the table is written once and reused by every later run. ``extend`` adds keys
-    that are new since; without it they have no entry. ``build(df, start)`` makes the table.
+    ``extend`` adds keys that are new since; without it they have no entry.
     """
     spark = df.sparkSession
-    if path is None:
-        return keep(build(df, 1), "pseudonyms").df
     table = read_if_present(spark, path)
     if table is None:
         build(df, 1).write.mode("overwrite").parquet(path)
@@ -165,10 +164,15 @@ def _keys(step: Step) -> list[str]:
     return [step.name(m) or f"k{i}" for i, m in enumerate(as_list(step.config["match"]))]
 
 
-def _lookup_person(df: DataFrame, step: Step, build, values: dict[str, str]) -> DataFrame:
+def _lookup_person(df: DataFrame, step: Step, build: Build, values: dict[str, str]) -> DataFrame:
     match, keys = as_list(step.config["match"]), _keys(step)
     people = step.stats_frame(df, *match).select(*[step.expr(m).alias(k) for m, k in zip(match, keys)])
     directory = step.config.get("directory")
-    path = f"{directory}/{step.config['fn']}.{'.'.join(keys)}.parquet" if directory else None
-    table = pseudonym_table(people, keys, build, path, bool(step.config.get("extend")))
+    if directory:
+        path = f"{directory}/{step.config['fn']}.{'.'.join(keys)}.parquet"
+        table = pseudonym_table(people, keys, build, path, bool(step.config.get("extend")))
+    else:
+        # numbers rest on a written table already; random values would change when drawn again
+        table = build(people, 1)
+        table = table if step.config["fn"] == "person_counter" else keep(table, "pseudonyms")
     return lookup(df, table, _match(step), keys, values)

@@ -8,6 +8,7 @@ holds all of them; ``accuracy`` asks for the mergeable sketch instead.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -16,6 +17,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from veil.functions.templates import as_list, quoted
 from veil.operators.identity import SLICE, ordered_slices, running_offsets
+from veil.plans.tables import keep
 
 COLUMN, VALUE, COPIES = "column", "value", "_copies"
 PROFILE_QUANTILES = (0.01, 0.25, 0.5, 0.75, 0.99)
@@ -35,10 +37,67 @@ def long_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return doubles.unpivot([], [F.col(quoted(c)) for c in columns], COLUMN, VALUE).where(F.col(VALUE).isNotNull())
 
 
-def value_slices(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct values with their number of copies, sorted into range partitions."""
-    distinct = long_numbers(df, columns).groupBy(COLUMN, VALUE).agg(F.count(F.lit(1)).alias(COPIES))
-    return ordered_slices(distinct, COLUMN, VALUE, label="values").df
+@dataclass(frozen=True)
+class ValueTable:
+    """Distinct values with their copies in range partitions, and a summary of each partition."""
+
+    values: DataFrame
+    slices: DataFrame
+
+    @classmethod
+    def of(cls, df: DataFrame, columns: Sequence[str]) -> ValueTable:
+        distinct = long_numbers(df, columns).groupBy(COLUMN, VALUE).agg(F.count(F.lit(1)).alias(COPIES))
+        values = ordered_slices(distinct, COLUMN, VALUE, label="values").df
+        per_slice = values.groupBy(COLUMN, SLICE).agg(
+            F.sum(COPIES).alias("_size"),
+            F.min(VALUE).alias("_least"),
+            F.max(VALUE).alias("_most"),
+            F.sum(F.col(VALUE) * F.col(COPIES)).alias("_sum"),
+        )
+        return cls(values, keep(per_slice, "value-summary").df)
+
+    def quantiles(self, points: Sequence[float]) -> DataFrame:
+        """Exact quantiles ``(column, point, value)``; only the slices that hold a wanted rank are read."""
+        totals = self.slices.groupBy(COLUMN).agg(F.sum("_size").alias("_total"))
+        rank = F.greatest(F.lit(1), F.ceil(F.col("point") * F.col("_total")))
+        targets = (
+            running_offsets(self.slices, "_size", COLUMN)
+            .join(totals, COLUMN)
+            .withColumn("point", F.explode(F.array(*[F.lit(float(p)) for p in points])))
+            .withColumn("_rank", rank - F.col("_before"))
+            .where("_rank > 0 AND _rank <= _size")
+            .select(COLUMN, SLICE, "point", "_rank")
+        )
+        # one row per column and point; their slices become a filter on the files read
+        rows = targets.collect()
+        wanted = sorted({r[SLICE] for r in rows})
+        found = targets.sparkSession.createDataFrame(rows, targets.schema)
+        inside = W.partitionBy(COLUMN, SLICE, "point").orderBy(VALUE)
+        return (
+            self.values.where(F.col(SLICE).isin(wanted))
+            .join(F.broadcast(found), [COLUMN, SLICE])
+            .withColumn("_upto", F.sum(COPIES).over(inside.rowsBetween(W.unboundedPreceding, 0)))
+            .where(F.col("_rank").between(F.col("_upto") - F.col(COPIES) + 1, F.col("_upto")))
+            .select(COLUMN, "point", VALUE)
+        )
+
+    def summary(self) -> DataFrame:
+        """Count, extremes, mean and sample deviation per column."""
+        first = self.slices.groupBy(COLUMN).agg(
+            F.sum("_size").alias("not_null"),
+            F.min("_least").alias("min"),
+            F.max("_most").alias("max"),
+            (F.sum("_sum") / F.sum("_size")).alias("_mean"),
+        )
+        squares = F.sum(F.col(COPIES) * F.pow(F.col(VALUE) - F.col("_mean"), 2))
+        # one row per column
+        second = (
+            self.values.join(F.broadcast(first.select(COLUMN, "_mean")), COLUMN)
+            .groupBy(COLUMN)
+            .agg(squares.alias("_squares"))
+        )
+        deviation = F.when(F.col("not_null") > 1, F.sqrt(F.col("_squares") / (F.col("not_null") - 1)))
+        return first.join(second, COLUMN).withColumn("_sd", deviation).drop("_squares")
 
 
 def quantiles(
@@ -46,7 +105,7 @@ def quantiles(
 ) -> DataFrame:
     """Quantiles as ``(column, point, value)``: the smallest value whose share of rows reaches the point."""
     if accuracy is None:
-        return slice_quantiles(value_slices(df, columns), points)
+        return ValueTable.of(df, columns).quantiles(points)
     sketch = F.percentile_approx(VALUE, list(points), accuracy)
     return (
         long_numbers(df, columns)
@@ -57,31 +116,6 @@ def quantiles(
     )
 
 
-def slice_quantiles(slices: DataFrame, points: Sequence[float]) -> DataFrame:
-    """Exact quantiles from the table of :func:`value_slices`.
-
-    Offsets per slice tell which slice holds each wanted rank; only those slices are read on.
-    """
-    sizes = slices.groupBy(COLUMN, SLICE).agg(F.sum(COPIES).alias("_size"))
-    totals = sizes.groupBy(COLUMN).agg(F.sum("_size").alias("_total"))
-    ranked = (
-        running_offsets(sizes, "_size", COLUMN)
-        .join(totals, COLUMN)
-        .select("*", F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point"))
-        .withColumn("_rank", F.greatest(F.lit(1), F.ceil(F.col("point") * F.col("_total"))) - F.col("_before"))
-        .where("_rank > 0 AND _rank <= _size")
-    )
-    # one row per column and point
-    targets = F.broadcast(ranked.select(COLUMN, SLICE, "point", "_rank"))
-    inside = W.partitionBy(COLUMN, SLICE, "point").orderBy(VALUE)
-    return (
-        slices.join(targets, [COLUMN, SLICE])
-        .withColumn("_upto", F.sum(COPIES).over(inside.rowsBetween(W.unboundedPreceding, 0)))
-        .where("_rank <= _upto AND _rank > _upto - _copies")
-        .select(COLUMN, "point", VALUE)
-    )
-
-
 def moments(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
     """Count, extremes, mean, median and higher moments, one row per numeric column."""
     return (
@@ -166,13 +200,12 @@ def numeric_profile(
     if not names:
         raise ValueError("none of the columns is numeric")
     if accuracy is None:
-        values = value_slices(df, names)
-        summary = _weighted_summary(values)
-        points = slice_quantiles(values, PROFILE_QUANTILES)
-        wide = points.groupBy(COLUMN).agg(
+        distinct = ValueTable.of(df, names)
+        values = distinct.values
+        wide = distinct.quantiles(PROFILE_QUANTILES).groupBy(COLUMN).agg(
             *[F.max(F.when(F.col("point") == p, F.col(VALUE))).alias(_percent(p)) for p in PROFILE_QUANTILES]
         )
-        summary = summary.join(wide, COLUMN)
+        summary = distinct.summary().join(wide, COLUMN)
     else:
         values = long_numbers(df, names)
         q = F.percentile_approx(VALUE, list(PROFILE_QUANTILES), accuracy)
@@ -195,9 +228,8 @@ def numeric_profile(
         "low(1.5iqr)": q1 - (q3 - q1) * 1.5 if lower else _no_value(),
         "up(1.5iqr)": q3 + (q3 - q1) * 1.5 if upper else _no_value(),
     }
-    summary = summary.withColumns(bounds)
-
-    # one row per profiled column
+    # one row per profiled column; kept, since the neighbours and the report both need it
+    summary = keep(summary.withColumns(bounds), "profile").df
     limits = F.broadcast(summary.select(COLUMN, *map(quoted, bounds)))
     neighbours = []
     for name in bounds:
@@ -224,24 +256,6 @@ def numeric_profile(
     )
 
 
-def _weighted_summary(values: DataFrame) -> DataFrame:
-    """Count, extremes, mean and sample deviation from distinct values and their copies."""
-    first = values.groupBy(COLUMN).agg(
-        F.sum(COPIES).alias("not_null"),
-        F.min(VALUE).alias("min"),
-        F.max(VALUE).alias("max"),
-        (F.sum(F.col(VALUE) * F.col(COPIES)) / F.sum(COPIES)).alias("_mean"),
-    )
-    squares = F.sum(F.col(COPIES) * F.pow(F.col(VALUE) - F.col("_mean"), 2))
-    second = (
-        values.join(F.broadcast(first.select(COLUMN, "_mean")), COLUMN)
-        .groupBy(COLUMN)
-        .agg(squares.alias("_squares"))
-    )
-    deviation = F.when(F.col("not_null") > 1, F.sqrt(F.col("_squares") / (F.col("not_null") - 1)))
-    return first.join(second, COLUMN).withColumn("_sd", deviation)
-
-
 def _percent(point: float) -> str:
     return f"{round(point * 100)}%"
 

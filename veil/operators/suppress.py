@@ -87,20 +87,32 @@ def dup_histogram(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def keep_singletons(df: DataFrame, keys: Sequence[str], null_keys: str = "drop") -> DataFrame:
     """Keep the rows whose key occurs exactly once; all copies of a repeated key go.
 
-    One shuffle without a join: each group carries its count and any one of its rows, combined
-    before the shuffle, so that a key with many copies leaves one row per task.
+    Where the repeated keys, or the single ones, are few enough to broadcast, no row is shuffled.
+    Otherwise one shuffle without a join does: each group carries its count and any one of its
+    rows, combined before the shuffle, so that a key with many copies leaves one row per task.
     """
     if null_keys not in ("drop", "group"):
         raise ValueError(f"null_keys must be 'drop' or 'group', not {null_keys!r}")
     if null_keys == "drop":
         df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    counts = keep(group_counts(df, keys, _COUNT), "key-counts").df
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    for condition, how in (("_traffic > 1", "left_anti"), ("_traffic = 1", "left_semi")):
+        side = measure(counts.where(condition).drop(_COUNT))
+        if side.small:
+            return df.join(F.broadcast(side.df), same, how)
+    return _collapse_groups(df, keys).where(F.col(_COUNT) == 1).drop(_COUNT)
+
+
+def _collapse_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One whole row of each group, with the size of the group."""
     rest = [c for c in df.columns if c not in set(keys)]
     grouped = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(_COUNT),
         F.any_value(F.struct(*rest) if rest else F.lit(True)).alias("_row"),
     )
-    single = grouped.where(F.col(_COUNT) == 1)
-    return single.select(*[F.col(c) if c in set(keys) else F.col("_row")[c].alias(c) for c in df.columns])
+    columns = [F.col(c) if c in set(keys) else F.col("_row")[c].alias(c) for c in df.columns]
+    return grouped.select(*columns, _COUNT)
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veil.functions.templates import as_list, quoted
-from veil.operators.identity import number_rows
+from veil.operators.identity import POSITION, SLICE, ordered_slices, running_offsets
 from veil.operators.rewrite import keep_where
 from veil.operators.stats import numeric_profile
 from veil.plans.tables import BROADCAST_BYTES, keep
@@ -60,12 +60,18 @@ def with_ratio(counts: DataFrame) -> DataFrame:
 def with_seq(counts: DataFrame, sort_count: bool = True) -> DataFrame:
     """Number the values of each column 1..N in ascending (count, value) or (value, count) order.
 
-    Columns may have as many values as the table has rows, so the numbers come from one
-    distributed numbering over all columns, less what earlier columns take up.
+    A column may have as many values as the table has rows, so all columns are sorted together
+    into range partitions, and a value's number follows from its place in its partition and the
+    column's rows in earlier ones.
     """
-    numbered = number_rows(counts, "column", *_listing_order(sort_count), column="seq")
-    first = F.broadcast(numbered.groupBy("column").agg(F.min("seq").alias("_first")))
-    return numbered.join(first, "column").withColumn("seq", F.col("seq") - F.col("_first") + 1).drop("_first")
+    slices = ordered_slices(counts, "column", *_listing_order(sort_count), label="frequencies").df
+    sizes = slices.groupBy("column", SLICE).agg(
+        F.count(F.lit(1)).alias("_size"), F.min(POSITION).alias("_first")
+    )
+    # one row per column and range partition
+    offsets = F.broadcast(running_offsets(sizes, "_size", "column").drop("_size"))
+    seq = F.col("_before") + F.col(POSITION) - F.col("_first") + 1
+    return slices.join(offsets, ["column", SLICE]).select(*counts.columns, seq.alias("seq"))
 
 
 def listing(

@@ -83,14 +83,18 @@ def audit_csv(
 
 
 def _candidates(value: Column) -> dict[str, Column]:
-    """Types in the order they are tried, with the value where it parses; the first full fit wins."""
+    """Types in the order they are tried, with whether a value is of it; the first full fit wins.
+
+    The form is checked before a cast, because a failing cast costs far more than a pattern.
+    """
+    number = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
     return {
-        "long": value.try_cast("bigint"),
-        # Java accepts a type letter after a number, as in '1d'
-        "double": F.when(~value.rlike("[dDfF]$"), value.try_cast("double")),
-        # Spark reads the date part of a timestamp too
-        "date": F.when(F.length(F.trim(value)) <= 10, value.try_cast("date")),
-        "timestamp": value.try_cast("timestamp_ntz"),
+        "long": F.when(value.rlike("^[+-]?[0-9]+$"), value.try_cast("bigint").isNotNull()),
+        "double": value.rlike(number) | value.isin("NaN", "Infinity", "-Infinity"),
+        "date": F.when(value.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), value.try_cast("date").isNotNull()),
+        "timestamp": F.when(
+            value.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]"), value.try_cast("timestamp").isNotNull()
+        ),
     }
 
 
@@ -102,8 +106,8 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     names = list(columns or df.columns)
     text = df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in names])
     long = text.unpivot([], [F.col(quoted(c)) for c in names], "column", "value")
-    parsed = _candidates(F.col("value"))
-    fits = [F.count(c).alias(t) for t, c in parsed.items()]
+    parsed = _candidates(F.trim("value"))
+    fits = [F.count_if(c).alias(t) for t, c in parsed.items()]
     counted = long.groupBy("column").agg(F.count("value").alias("not_null"), *fits)
     data_type = F.lit("string")
     for t in reversed(parsed):
