@@ -18,6 +18,21 @@ def no_broadcast(spark, monkeypatch):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.fixture
+def no_coalescing(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def shuffle_keys(df):
+    return " ".join(line for line in plan_of(df, "simple").splitlines() if "hashpartitioning" in line)
+
+
+def tasks_of_hot_rows(df):
+    return df.where("k = 7").select(F.spark_partition_id()).distinct().count()
+
+
 def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
@@ -48,16 +63,42 @@ def test_small_table(facts, entries):
 def test_large_table_with_a_hot_key(no_broadcast, facts, entries):
     got = lookup(facts, entries, ["k"], ["key"], {"val": "val"})
     assert rows(got) == rows(plain(facts, entries))
-    # the rows of the hot key leave their common place in the shuffle
-    assert "_salt" in plan_of(got)
+    assert "_salt" in shuffle_keys(got)
+
 
+def test_hot_rows_spread_over_the_shuffle(no_broadcast, no_coalescing, facts, entries):
+    assert tasks_of_hot_rows(plain(facts, entries)) == 1
+    assert tasks_of_hot_rows(lookup(facts, entries, ["k"], ["key"], {"val": "val"})) > 3
+    assert tasks_of_hot_rows(attach_group_count(facts, ["k"], "n")) > 3
+    assert tasks_of_hot_rows(suppress_rare(facts, F.col("k"), 4, "out")) > 3
 
-def test_hot_rows_spread_over_the_shuffle(spark, no_broadcast, facts, entries):
-    traffic = facts.groupBy(F.col("k").alias("_k0")).agg(F.count(F.lit(1)).alias("_traffic"))
-    hot = module._hot_keys(traffic, ["_k0"])
-    assert [r[0] for r in hot.collect()] == [7]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert traffic.where("_traffic > 3000 / %d" % partitions).count() <= partitions
+
+def test_traffic_finds_hot_keys_only(facts):
+    found = module._traffic(facts.select(F.xxhash64("k").alias("h")))
+    assert found.hot == [facts.where("k = 7").select(F.xxhash64("k")).first()[0]]
+    assert 600 < found.groups < 800
+    assert module._traffic(facts.where("id < 0").select(F.xxhash64("k").alias("h"))) == module.Traffic(0, [])
+
+
+def test_hot_groups_of_counts(spark, facts):
+    hot = module.hot_groups(module.group_counts(facts, ["k"]))
+    assert [tuple(r) for r in hot.collect()] == [(7, facts.where("k = 7").count())]
+
+
+def test_keys_of_different_types(no_broadcast, spark, facts, entries):
+    table = entries.withColumn("key", F.col("key").cast("double"))
+    got = lookup(facts, table, ["k"], ["key"], {"val": "val"})
+    assert rows(got) == rows(plain(facts, entries)) and "_salt" in shuffle_keys(got)
+    zeros = spark.range(64, numPartitions=4).select("id", F.when(F.col("id") % 2 == 0, -0.0).otherwise(0.0).alias("z"))
+    names = spark.range(100).select((F.col("id") - 1).cast("double").alias("key"), F.lit("n").alias("val"))
+    assert lookup(zeros, names, ["z"], ["key"], {"val": "val"}).where("val IS NULL").count() == 0
+
+
+def test_counts_of_repeated_rows_come_from_the_source(no_broadcast, facts):
+    doubled = facts.union(facts)
+    got = attach_group_count(doubled, ["k"], "n", source=facts, same_rows=False, null_keys="group")
+    counts = {r["k"]: r["count"] for r in facts.groupBy("k").count().collect()}
+    assert got.count() == 6000 and all(r["n"] == counts[r["k"]] for r in got.collect())
 
 
 def test_repeated_keys_repeat_rows_even_when_hot(no_broadcast, facts, entries):

@@ -65,7 +65,9 @@ class Step:
     number: int
     config: Mapping[str, Any] = field(default_factory=dict)
     source: DataFrame | None = None
-    """The chain's input, while it still holds exactly the rows being transformed."""
+    """The chain's input, from which statistics of its columns are taken."""
+    same_rows: bool = True
+    """Whether the table being transformed still has the input's rows, none of them repeated."""
 
     @property
     def column(self) -> str:

@@ -50,19 +50,27 @@ OPS: dict[str, Operator] = {
     "groupby_count": suppress.groupby_count,
 }
 
-# operators that may repeat rows, after which input statistics no longer fit
-_JOINING = {"mapping"}
-
-
 def register_op(name: str, operator: Operator) -> None:
     """Make ``operator(df, step) -> df`` available to chains; it must write ``step.output``."""
     OPS[name] = operator
 
 
-def apply_chain(df: DataFrame, column: str, config: Mapping, source: DataFrame | None = None) -> DataFrame:
+def may_repeat_rows(settings: Mapping) -> bool:
+    """Whether a sub-step can repeat rows: a mapping whose keys are not required to be unique."""
+    return settings["fn"] == "mapping" and not settings["map"].get("unique")
+
+
+def apply_chain(
+    df: DataFrame,
+    column: str,
+    config: Mapping,
+    source: DataFrame | None = None,
+    same_rows: bool = True,
+) -> DataFrame:
     """Add the ``_x_{column}_{n}`` columns of one chain.
 
     ``source`` is the table before any chain; statistics of plain input columns are taken from it.
+    ``same_rows`` tells that no earlier chain repeated rows of it.
     """
     chain = Chain.of(column, config)
     source = df if source is None else source
@@ -71,9 +79,10 @@ def apply_chain(df: DataFrame, column: str, config: Mapping, source: DataFrame |
         name = settings["fn"]
         if name not in OPS:
             raise ValueError(f"unknown operator {name!r}; known: {', '.join(sorted(OPS))}")
-        step = Step(chain, number, settings, source)
+        step = Step(chain, number, settings, source, same_rows)
         df = OPS[name](df, step)
-        if name in _JOINING:
-            source = None
+        if may_repeat_rows(settings):
+            # what follows in this chain counts the rows as they are now
+            source, same_rows = None, True
         scratch.append(step.noise)
     return df.drop(*scratch)

@@ -1,17 +1,32 @@
-"""Left lookups that never send a frequent key to one task, and group counts built on them."""
+"""Left lookups and group sizes that never send a frequent key to one task."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veil.functions.templates import quoted
+from veil.plans import tables
 from veil.plans.tables import Kept, keep, measure
 
-_TRAFFIC = "_traffic"
-_HOT, _SALT = "_hot", "_salt"
+COUNT = "_traffic"
+_SALT, _SERVED = "_salt", "_served"
+# Partial sketches are merged in this many tasks before the last one.
+_SKETCH_GROUPS = 64
+
+
+@dataclass(frozen=True)
+class Traffic:
+    """An estimate of how rows spread over keys. It picks a plan; every plan gives exact results."""
+
+    groups: int
+    hot: list[int]
+    """Hashes of the keys that hold more rows than the fair share of a shuffle partition."""
 
 
 def lookup(
@@ -22,67 +37,66 @@ def lookup(
     values: dict[str, str],
     *,
     unique: bool = False,
-    traffic: DataFrame | None = None,
 ) -> DataFrame:
     """Left join on null-safe key equality, adding ``values`` (new name -> table column).
 
     A table measured to be small is broadcast. For a larger one the keys that many rows of ``df``
     share are found first: their entries are broadcast, while their rows are salted through the
     shuffle join that serves all other keys. Repeated keys in the table repeat rows, as in any left
-    join, unless ``unique`` asks for an error. ``traffic`` may give the row count per key (key
-    columns ``_k0..``, count ``_traffic``) when it is known already.
+    join, unless ``unique`` asks for an error.
     """
     if len(match) != len(keys):
         raise ValueError(f"{len(match)} match columns for {len(keys)} key columns: {keys}")
-    own = {f"_m{i}": _column(m) for i, m in enumerate(match)}
+    probe, own = _with_keys(df, match)
     names = [f"_k{i}" for i in range(len(keys))]
-    measured = table if isinstance(table, Kept) else None
-    raw = measured.df if measured else table
+    raw = table.df if isinstance(table, Kept) else table
     slim = raw.select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)],
-        *[F.col(v).alias(new) for new, v in values.items()],
+        *[F.col(quoted(k)).alias(n) for k, n in zip(keys, names)],
+        *[F.col(quoted(v)).alias(new) for new, v in values.items()],
     )
-    if unique:
-        _require_unique(slim, names)
-    kept_columns = [F.col(c) for c in map(_quote, df.columns)]
-    probe = df.withColumns(own)
-
-    if (measured or measure(slim)).small:
-        joined = probe.join(F.broadcast(slim), _equal(own, names), "left")
-        return joined.select(*kept_columns, *values)
-
-    if traffic is None:
-        # the probe keys may be dear to compute, and the counts are read twice
-        counted = probe.groupBy(*[F.col(m).alias(n) for m, n in zip(own, names)]).agg(
-            F.count(F.lit(1)).alias(_TRAFFIC)
-        )
-        traffic = keep(counted, "traffic").df
-    hot_names = [f"_h{n}" for n in names]
-    hot = _hot_keys(traffic, names).toDF(*hot_names)
-    entries = slim.join(F.broadcast(hot), _equal(names, hot_names), "left_semi")
-    hot_entries = keep(entries.toDF(*[f"_e{c}" for c in entries.columns]), "hot-entries")
-    if not hot_entries.small:
-        # a key repeated so often in the table multiplies rows by itself; AQE splits that join
-        return probe.join(slim, _equal(own, names), "left").select(*kept_columns, *values)
-
-    marked = probe.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), _equal(own, hot_names), "left")
+    if unique and not slim.groupBy(*names).count().where("count > 1").isEmpty():
+        raise ValueError("the lookup table repeats keys")
+    columns = [F.col(quoted(c)) for c in df.columns]
+
+    if (table if isinstance(table, Kept) else measure(slim)).small:
+        return probe.join(F.broadcast(slim), _equal(own, names), "left").select(*columns, *values)
+
+    probe_hash, table_hash = _hashes(probe, own, slim, names)
+    hot = _traffic(probe.select(probe_hash.alias("h"))).hot
+    if hot:
+        entries = keep(_prefixed(slim.where(table_hash.isin(hot)), _SERVED), "hot-entries")
+    if not hot or not entries.small:
+        # nothing to split, or a key repeated so often on both sides that its matches outnumber
+        # either; the latter is left to the skew handling of adaptive execution
+        return probe.join(slim, _equal(own, names), "left").select(*columns, *values)
+
     # rows of hot keys get a salt that matches nothing, so they spread over the shuffle; it depends
     # on the task only, so a retried task sends each row to the same place again
-    marked = marked.withColumn(_SALT, F.when(F.col(_HOT), F.spark_partition_id() + 1).otherwise(0))
-    cold = slim.withColumn("_ksalt", F.lit(0))
-    joined = marked.join(cold, _equal(own, names) & (F.col(_SALT) == F.col("_ksalt")), "left")
-    served = _equal(own, [f"_e{n}" for n in names]) & F.col(_HOT)
-    joined = joined.join(F.broadcast(hot_entries.df), served, "left")
+    salt = F.when(probe_hash.isin(hot), F.spark_partition_id() + 1).otherwise(0).cast("long")
+    # always 0, but no constant: a constant would turn the salt from a shuffle key into a filter
+    cold = slim.withColumn("_cold", F.pmod(table_hash, F.lit(1).cast("long")))
+    joined = (
+        probe.withColumn(_SALT, salt)
+        .join(cold, _equal(own, names) & (F.col(_SALT) == F.col("_cold")), "left")
+        .join(
+            F.broadcast(entries.df), _equal(own, [_SERVED + n for n in names]) & (F.col(_SALT) > 0), "left"
+        )
+    )
     return joined.select(
-        *kept_columns,
-        *[F.when(F.col(_HOT), F.col(f"_e{v}")).otherwise(F.col(v)).alias(v) for v in values],
+        *columns, *[F.when(F.col(_SALT) > 0, F.col(_SERVED + v)).otherwise(F.col(v)).alias(v) for v in values]
     )
 
 
-def group_counts(df: DataFrame, by: Sequence[str | Column], out: str = "count") -> DataFrame:
-    """Rows per group; partial counts are formed before the shuffle, so hot groups cost nothing."""
+def group_counts(df: DataFrame, by: Sequence[str | Column]) -> DataFrame:
+    """Rows per group as ``_k0.., _traffic``; partial counts are formed before the shuffle."""
     keys = [_column(b).alias(f"_k{i}") for i, b in enumerate(by)]
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT))
+
+
+def hot_groups(counts: DataFrame) -> DataFrame:
+    """The groups above the fair share of a shuffle partition, at most one per partition."""
+    total = counts.agg(F.sum(COUNT)).scalar()
+    return counts.where(F.col(COUNT) * _partitions(counts) > total)
 
 
 def attach_group_count(
@@ -91,35 +105,102 @@ def attach_group_count(
     out: str,
     *,
     null_keys: str = "null",
-    counted: DataFrame | None = None,
+    source: DataFrame | None = None,
+    same_rows: bool = True,
 ) -> DataFrame:
     """Add the size of each row's group (k-anonymity cell size).
 
     ``null_keys='null'`` gives null where any key part is null; ``'group'`` counts nulls together.
-    ``counted`` may name a table holding the same rows to count instead of ``df``.
+    Groups are counted in ``source`` (default ``df``); ``same_rows`` tells that it holds as many
+    rows of each group as ``df`` does. Few groups are counted and broadcast. Many are counted in
+    the one shuffle of a window, where groups that would fill a task are split.
     """
     if null_keys not in ("null", "group"):
         raise ValueError(f"null_keys must be 'null' or 'group', not {null_keys!r}")
-    base = df if counted is None else counted
-    counts = keep(group_counts(base, by, _TRAFFIC), "group-counts")
-    names = [f"_k{i}" for i in range(len(by))]
-    counted_df = lookup(df, counts, by, names, {out: _TRAFFIC}, traffic=counts.df)
-    if null_keys == "group":
-        return counted_df
-    present = reduce(lambda a, b: a & b, [_column(b).isNotNull() for b in by])
-    return counted_df.withColumn(out, F.when(present, F.col(out)))
+    source = df if source is None else source
+    keyed, own = _with_keys(source, by)
+    own_hash = F.xxhash64(*own)
+    traffic = _traffic(keyed.select(own_hash.alias("h")))
+    if not same_rows or traffic.groups * tables.VALUE_OVERHEAD * (len(own) + 1) <= tables.BROADCAST_BYTES:
+        counts = keep(group_counts(source, by), "group-counts")
+        if counts.small or not same_rows:
+            counted = lookup(df, counts, by, [f"_k{i}" for i in range(len(own))], {out: COUNT})
+            return _null_without_key(counted, by, out) if null_keys == "null" else counted
+    hot = keep(group_counts(keyed.where(own_hash.isin(traffic.hot)), own), "hot-groups").df if traffic.hot else None
+    counted = count_in_window(df, by, out, hot)
+    return _null_without_key(counted, by, out) if null_keys == "null" else counted
+
+
+def count_in_window(df: DataFrame, by: Sequence[str | Column], out: str, hot: DataFrame | None) -> DataFrame:
+    """Group sizes, nulls counted together, with one shuffle of the rows.
+
+    ``hot`` holds the counts of the few groups too large for a task. Their rows take the count from
+    there and are split over the shuffle by the task they come from.
+    """
+    keyed, own = _with_keys(df, by)
+    columns = [F.col(quoted(c)) for c in df.columns if c != out]
+    if hot is None:
+        return keyed.select(*columns, F.count(F.lit(1)).over(W.partitionBy(*own)).alias(out))
+    known = _prefixed(hot, _SERVED)
+    names = [_SERVED + f"_k{i}" for i in range(len(own))]
+    # at most one row per shuffle partition
+    marked = keyed.join(F.broadcast(known), _equal(own, names), "left")
+    is_hot = F.col(_SERVED + COUNT).isNotNull()
+    salted = marked.withColumn(_SALT, F.when(is_hot, F.spark_partition_id() + 1).otherwise(0))
+    counted = F.count(F.lit(1)).over(W.partitionBy(*own, _SALT))
+    return salted.select(*columns, F.coalesce(F.col(_SERVED + COUNT), counted).alias(out))
+
+
+def _traffic(hashes: DataFrame) -> Traffic:
+    """Sketch of a table of key hashes ``h``: merged in two levels, with bounded memory throughout."""
+    partitions = _partitions(hashes)
+    tracked = min(max(4096, 8 * partitions), 65536)
+    sketches = hashes.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("items"),
+        F.expr("hll_sketch_agg(h)").alias("distinct"),
+    )
+    # grouped, since sketches of no rows cannot be combined
+    row = sketches.groupBy(F.lit(0).alias("all")).agg(
+        F.sum("n").alias("n"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(items, {tracked}), {min(partitions, tracked)})").alias("top"),
+        F.expr("hll_sketch_estimate(hll_union_agg(distinct))").alias("groups"),
+    ).first()
+    if row is None:
+        return Traffic(0, [])
+    return Traffic(row["groups"], [t["item"] for t in row["top"] if t["count"] * partitions > row["n"]])
 
 
-def _hot_keys(traffic: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Keys holding more than the fair share of one shuffle partition: at most one per partition."""
-    partitions = int(traffic.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = traffic.agg(F.sum(_TRAFFIC)).scalar()
-    return traffic.where(F.col(_TRAFFIC) * partitions > total).select(*names)
+def _hashes(left: DataFrame, own: Sequence[str], right: DataFrame, names: Sequence[str]) -> tuple[Column, Column]:
+    """Hashes of both sides' keys that agree wherever the keys compare as equal."""
+    pairs = []
+    for m, n in zip(own, names):
+        types = [left.schema[m].dataType, right.schema[n].dataType]
+        both = F.coalesce(*[F.lit(None).cast(t) for t in types]).alias("c")
+        common = left.sparkSession.range(1).select(both).schema["c"].dataType
+        columns = [F.col(c).cast(common) for c in (m, n)]
+        if common.typeName() in ("float", "double"):
+            columns = [c + F.lit(0.0) for c in columns]  # one zero
+        pairs.append(columns)
+    return F.xxhash64(*[p[0] for p in pairs]), F.xxhash64(*[p[1] for p in pairs])
 
 
-def _require_unique(table: DataFrame, names: Sequence[str]) -> None:
-    if not table.groupBy(*names).count().where("count > 1").isEmpty():
-        raise ValueError("the lookup table repeats keys")
+def _with_keys(df: DataFrame, match: Sequence[str | Column]) -> tuple[DataFrame, list[str]]:
+    own = [f"_m{i}" for i in range(len(match))]
+    return df.withColumns(dict(zip(own, map(_column, match)))), own
+
+
+def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*[F.col(quoted(c)).alias(prefix + c) for c in df.columns])
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _null_without_key(df: DataFrame, by: Sequence[str | Column], out: str) -> DataFrame:
+    present = reduce(lambda a, b: a & b, [_column(b).isNotNull() for b in by])
+    return df.withColumn(out, F.when(present, F.col(out)))
 
 
 def _equal(left: Iterable[str], right: Iterable[str]) -> Column:
@@ -127,8 +208,4 @@ def _equal(left: Iterable[str], right: Iterable[str]) -> Column:
 
 
 def _column(c: str | Column) -> Column:
-    return F.col(_quote(c)) if isinstance(c, str) else c
-
-
-def _quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    return F.col(quoted(c)) if isinstance(c, str) else c

@@ -9,10 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veil.functions.templates import Step
-from veil.operators.lookup import attach_group_count, group_counts, lookup
-from veil.plans.tables import Kept, keep, measure
+from veil.operators.lookup import (
+    COUNT,
+    attach_group_count,
+    count_in_window,
+    group_counts,
+    hot_groups,
+    lookup,
+)
+from veil.plans.tables import keep, measure
 
-_VALUE, _COUNT, _SEEN = "_k0", "_traffic", "_seen"
+_VALUE, _SEEN = "_k0", "_seen"
 
 
 def groupby_count(df: DataFrame, step: Step) -> DataFrame:
@@ -23,7 +30,8 @@ def groupby_count(df: DataFrame, step: Step) -> DataFrame:
         [step.expr(b) for b in by],
         step.output,
         null_keys=step.config.get("null_keys", "null"),
-        counted=step.stats_frame(df, *by),
+        source=step.stats_frame(df, *by),
+        same_rows=step.same_rows,
     )
 
 
@@ -35,7 +43,8 @@ def local_delete(df: DataFrame, step: Step) -> DataFrame:
     template = step.config.get("origin", "{0}")
     origin = step.expr(template)
     if under is not None:
-        df = suppress_rare(df, origin, under, step.output, counted=step.stats_frame(df, template))
+        source = step.stats_frame(df, template)
+        df = suppress_rare(df, origin, under, step.output, source=source, same_rows=step.same_rows)
     else:
         df = df.withColumn(step.output, origin)
     if pattern is not None:
@@ -44,27 +53,34 @@ def local_delete(df: DataFrame, step: Step) -> DataFrame:
 
 
 def suppress_rare(
-    df: DataFrame, origin: Column, under: int, out: str, *, counted: DataFrame | None = None
+    df: DataFrame,
+    origin: Column,
+    under: int,
+    out: str,
+    *,
+    source: DataFrame | None = None,
+    same_rows: bool = True,
 ) -> DataFrame:
     """``out`` is the value, or null where fewer than ``under`` rows hold it.
 
-    Only one side of the threshold has to be looked up. When the rare or the frequent values are
-    few enough to broadcast, the rows are not shuffled at all.
+    Values are counted in ``source`` (default ``df``). Only one side of the threshold has to be
+    looked up: when the rare or the frequent values are few enough to broadcast, no row is shuffled.
     """
-    counts = keep(group_counts(df if counted is None else counted, [origin], _COUNT), "value-counts")
+    counts = keep(group_counts(df if source is None else source, [origin]), "value-counts")
     df = df.withColumn(out, origin)
-    is_rare = F.col(_COUNT) < under
     if counts.small:
-        joined = lookup(df, counts, [out], [_VALUE], {_SEEN: _COUNT})
-        return _null_where(joined, out, F.col(_SEEN) < under)
+        return _null_where(lookup(df, counts, [out], [_VALUE], {_SEEN: COUNT}), out, F.col(_SEEN) < under)
     known = counts.df.where(F.col(_VALUE).isNotNull())
-    for side, present_is_rare in ((known.where(is_rare), True), (known.where(~is_rare), False)):
-        sized = measure(side)
+    for side, present_is_rare in ((F.col(COUNT) < under, True), (F.col(COUNT) >= under, False)):
+        sized = measure(known.where(side))
         if sized.small:
-            joined = lookup(df, sized, [out], [_VALUE], {_SEEN: _COUNT})
+            joined = lookup(df, sized, [out], [_VALUE], {_SEEN: COUNT})
             return _null_where(joined, out, F.col(_SEEN).isNotNull() == present_is_rare)
-    joined = lookup(df, Kept(known, counts.rows, counts.bytes), [out], [_VALUE], {_SEEN: _COUNT}, traffic=counts.df)
-    return _null_where(joined, out, F.col(_SEEN) < under)
+    if same_rows:
+        counted = count_in_window(df, [out], _SEEN, hot_groups(counts.df))
+    else:
+        counted = lookup(df, counts, [out], [_VALUE], {_SEEN: COUNT})
+    return _null_where(counted, out, F.col(_SEEN) < under)
 
 
 def suppress_matching(df: DataFrame, origin: Column, pattern: str, out: str) -> DataFrame:
@@ -88,31 +104,22 @@ def keep_singletons(df: DataFrame, keys: Sequence[str], null_keys: str = "drop")
     """Keep the rows whose key occurs exactly once; all copies of a repeated key go.
 
     Where the repeated keys, or the single ones, are few enough to broadcast, no row is shuffled.
-    Otherwise one shuffle without a join does: each group carries its count and any one of its
-    rows, combined before the shuffle, so that a key with many copies leaves one row per task.
+    Otherwise the groups that would fill a task are dropped first, and one shuffle counts the rest.
     """
     if null_keys not in ("drop", "group"):
         raise ValueError(f"null_keys must be 'drop' or 'group', not {null_keys!r}")
     if null_keys == "drop":
         df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    counts = keep(group_counts(df, keys, _COUNT), "key-counts").df
+    counts = keep(group_counts(df, keys), "key-counts").df
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
     for condition, how in (("_traffic > 1", "left_anti"), ("_traffic = 1", "left_semi")):
-        side = measure(counts.where(condition).drop(_COUNT))
+        side = measure(counts.where(condition).drop(COUNT))
         if side.small:
             return df.join(F.broadcast(side.df), same, how)
-    return _collapse_groups(df, keys).where(F.col(_COUNT) == 1).drop(_COUNT)
-
-
-def _collapse_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One whole row of each group, with the size of the group."""
-    rest = [c for c in df.columns if c not in set(keys)]
-    grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(_COUNT),
-        F.any_value(F.struct(*rest) if rest else F.lit(True)).alias("_row"),
-    )
-    columns = [F.col(c) if c in set(keys) else F.col("_row")[c].alias(c) for c in df.columns]
-    return grouped.select(*columns, _COUNT)
+    # at most one group per shuffle partition
+    hot = hot_groups(counts).where(F.col(COUNT) > 1).drop(COUNT)
+    rest = df.join(F.broadcast(hot), same, "left_anti")
+    return count_in_window(rest, keys, COUNT, None).where(F.col(COUNT) == 1).drop(COUNT)
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veil.functions.templates import Chain, as_list, quoted
-from veil.operators.chains import apply_chain
+from veil.operators.chains import apply_chain, may_repeat_rows
 from veil.operators.identity import add_row_id
 from veil.operators.rewrite import keep_where
 from veil.operators.suppress import keep_singletons
@@ -36,10 +36,15 @@ def prepare(df: DataFrame, config: Mapping | None) -> DataFrame:
 
 
 def deidentify(df: DataFrame, columns: Mapping[str, Mapping]) -> DataFrame:
-    """Add the chain columns of all configured columns to one plan; nothing is joined back."""
-    source = df
-    for column, config in columns.items():
-        df = apply_chain(df, column, config, source)
+    """Add the chain columns of all configured columns to one plan; nothing is joined back.
+
+    Chains do not see each other's results, so those that may repeat rows come last.
+    """
+    source, same_rows = df, True
+    repeating = {c: any(map(may_repeat_rows, Chain.of(c, config).steps.values())) for c, config in columns.items()}
+    for column in sorted(columns, key=repeating.get):
+        df = apply_chain(df, column, columns[column], source, same_rows)
+        same_rows = same_rows and not repeating[column]
     return df
 
 
