@@ -1,6 +1,6 @@
 """Statistics of numeric columns: moments, quantiles, outlier bounds and the values next to them.
 
-All columns are handled together in long form ``(column, value)``, so one pass serves every column.
+All columns are handled together in long form, so one pass serves every column.
 Exact quantiles come from a range-partitioned table of distinct values, never from one task that
 holds all of them; ``accuracy`` asks for the mergeable sketch instead.
 """
@@ -15,11 +15,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from veil.functions.longform import COLUMN, VALUE, long_form, with_names
 from veil.functions.templates import as_list, quoted
 from veil.operators.identity import SLICE, ordered_slices, running_offsets
 from veil.plans.tables import keep
 
-COLUMN, VALUE, COPIES = "column", "value", "_copies"
+COPIES = "_copies"
 PROFILE_QUANTILES = (0.01, 0.25, 0.5, 0.75, 0.99)
 QUARTILES = (0.25, 0.75)
 BOUND_RULES = ("3sigma", "1.5iqr")
@@ -32,9 +33,8 @@ def numeric_columns(df: DataFrame, columns: Iterable[str]) -> list[str]:
 
 
 def long_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The non-null values of numeric columns as ``(column, value)`` rows of double."""
-    doubles = df.select(*[F.col(quoted(c)).cast("double").alias(c) for c in columns])
-    return doubles.unpivot([], [F.col(quoted(c)) for c in columns], COLUMN, VALUE).where(F.col(VALUE).isNotNull())
+    """The non-null values of numeric columns as double, with the column's place."""
+    return long_form(df, columns, "double").where(F.col(VALUE).isNotNull())
 
 
 @dataclass(frozen=True)
@@ -105,21 +105,22 @@ def quantiles(
 ) -> DataFrame:
     """Quantiles as ``(column, point, value)``: the smallest value whose share of rows reaches the point."""
     if accuracy is None:
-        return ValueTable.of(df, columns).quantiles(points)
+        return with_names(ValueTable.of(df, columns).quantiles(points), columns)
     sketch = F.percentile_approx(VALUE, list(points), accuracy)
-    return (
+    found = (
         long_numbers(df, columns)
         .groupBy(COLUMN)
-        .agg(sketch.alias("q"))
-        .select(COLUMN, F.explode(F.arrays_zip(F.array(*map(F.lit, points)).alias("point"), "q")).alias("z"))
-        .select(COLUMN, F.col("z.point").alias("point"), F.col("z.q").alias(VALUE))
+        .agg(F.arrays_zip(F.array(*map(F.lit, points)).alias("point"), sketch.alias(VALUE)).alias("found"))
+        .select(COLUMN, F.inline("found"))
     )
+    return with_names(found, columns)
 
 
 def moments(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
     """Count, extremes, mean, median and higher moments, one row per numeric column."""
-    return (
-        long_numbers(df, numeric_columns(df, columns))
+    names = numeric_columns(df, columns)
+    found = (
+        long_numbers(df, names)
         .groupBy(COLUMN)
         .agg(
             F.count(VALUE).alias("not_null"),
@@ -133,6 +134,7 @@ def moments(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> Dat
             F.kurtosis(VALUE).alias("kurtosis"),
         )
     )
+    return with_names(found, names)
 
 
 def sigma_range(df: DataFrame, column: str, z: float = 3.0) -> DataFrame:
@@ -147,7 +149,7 @@ def iqr_range(df: DataFrame, column: str, accuracy: int | None = None) -> DataFr
     if isinstance(df.schema[column].dataType, StringType):
         raise ValueError(f"interquartile range of string column {column!r}")
     if accuracy is None:
-        found = quantiles(df, [column], QUARTILES)
+        found = ValueTable.of(df, [column]).quantiles(QUARTILES)
         q1, q3 = [F.max(F.when(F.col("point") == p, F.col(VALUE))) for p in QUARTILES]
         quartiles = found.agg(q1.alias("q1"), q3.alias("q3"))
     else:
@@ -239,20 +241,16 @@ def numeric_profile(
         neighbours += [left.alias(f"{name}_left"), right.alias(f"{name}_right")]
     nearby = values.join(limits, COLUMN).groupBy(COLUMN).agg(*neighbours)
 
-    order = df.sparkSession.createDataFrame(list(enumerate(names)), f"_order int, {COLUMN} string")
+    every = df.sparkSession.createDataFrame([(i,) for i in range(len(names))], f"{COLUMN} int")
     layout = ["min", "max", *map(_percent, PROFILE_QUANTILES)]
     for rule in BOUND_RULES:
         for side in ("low", "up"):
             layout += [f"{side}({rule})_left", f"{side}({rule})", f"{side}({rule})_right"]
-    return (
-        order.join(summary, COLUMN, "left")
-        .join(nearby, COLUMN, "left")
-        .orderBy("_order")
-        .select(
-            COLUMN,
-            F.coalesce("not_null", F.lit(0)).cast("long").alias("not_null"),
-            *[F.col(quoted(n)) for n in layout],
-        )
+    report = every.join(summary, COLUMN, "left").join(nearby, COLUMN, "left").orderBy(COLUMN)
+    return with_names(report, names).select(
+        COLUMN,
+        F.coalesce("not_null", F.lit(0)).cast("long").alias("not_null"),
+        *[F.col(quoted(n)) for n in layout],
     )
 
 

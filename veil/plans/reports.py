@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veil.functions.longform import long_form, with_names
 from veil.functions.templates import as_list, quoted
 from veil.operators.identity import POSITION, SLICE, ordered_slices, running_offsets
 from veil.operators.rewrite import keep_where
@@ -45,9 +46,8 @@ def frequencies(df: DataFrame, include=None, exclude=None, ids=IDS) -> DataFrame
     Counts are formed per task before the shuffle, so a value that fills a column costs nothing.
     """
     names = report_columns(df, include, exclude, ids)
-    text = df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in names])
-    long = text.unpivot([], [F.col(quoted(c)) for c in names], "column", "value")
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    counts = long_form(df, names, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    return with_names(counts, names)
 
 
 def with_ratio(counts: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from veil.functions.templates import quoted
+from veil.functions.longform import long_form, with_names
 from veil.operators.identity import add_row_id
 from veil.plans.tables import keep
 from veil.sources.readers import read_csv
@@ -104,15 +104,14 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     A column without values, or with any that fits no narrower type, is a string.
     """
     names = list(columns or df.columns)
-    text = df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in names])
-    long = text.unpivot([], [F.col(quoted(c)) for c in names], "column", "value")
+    long = long_form(df, names, "string")
     parsed = _candidates(F.trim("value"))
     fits = [F.count_if(c).alias(t) for t, c in parsed.items()]
     counted = long.groupBy("column").agg(F.count("value").alias("not_null"), *fits)
     data_type = F.lit("string")
     for t in reversed(parsed):
         data_type = F.when(F.col(t) == F.col("not_null"), t).otherwise(data_type)
-    return counted.select(
+    return with_names(counted, names).select(
         "column",
         F.when(F.col("not_null") == 0, "string").otherwise(data_type).alias("data_type"),
         "not_null",
