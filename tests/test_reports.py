@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from plan_text import plan_of
 from veil.plans import reports
 
 
@@ -65,6 +66,19 @@ def test_listing_length(table, options, expected):
     assert lines.where("column = 'n'").count() == 3
 
 
+def test_listing_ranks_are_cut_before_the_shuffle(table):
+    plan = plan_of(reports.listing(reports.frequencies(table), shorten=True), "simple")
+    # head and tail, each limited per task and again after the shuffle
+    assert plan.count("WindowGroupLimit") == 4 and plan.count("Partial") == 2
+
+
+def test_one_scan_serves_all_columns(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(50).select("id", (F.col("id") % 3).alias("a"), F.lit(1).alias("unused")).write.parquet(path)
+    plan = plan_of(reports.frequencies(spark.read.parquet(path), ["id", "a"]))
+    assert plan.count("Scan parquet") == 2 and "ReadSchema: struct<id:bigint,a:bigint>" in plan
+
+
 def test_compare_matches_null_with_null(spark):
     before = spark.createDataFrame([("a",), ("a",), (None,)], "c string")
     after = spark.createDataFrame([("b",), (None,), (None,)], "c string")
