@@ -114,6 +114,18 @@ def test_hot_key_repeated_beyond_broadcast(spark, no_broadcast, facts, entries):
     assert got.count() == plain(facts, many).count()
 
 
+def test_null_may_be_the_hot_key(no_broadcast, no_coalescing, facts, entries):
+    mostly_null = facts.withColumn("k", F.when(F.col("k") != 7, F.col("k")))
+    got = lookup(mostly_null, entries, ["k"], ["key"], {"val": "val"})
+    assert rows(got) == rows(plain(mostly_null, entries))
+    assert got.where("k IS NULL").select(F.spark_partition_id()).distinct().count() > 3
+    grouped = attach_group_count(mostly_null, ["k"], "n", null_keys="group")
+    nulls = mostly_null.where("k IS NULL").count()
+    assert [tuple(r) for r in grouped.where("k IS NULL").select("n").distinct().collect()] == [(nulls,)]
+    assert grouped.where("k IS NULL").select(F.spark_partition_id()).distinct().count() > 3
+    assert suppress_rare(mostly_null, F.col("k"), 4, "out").where("k IS NULL AND out IS NOT NULL").count() == 0
+
+
 def test_composite_keys(no_broadcast, facts, entries):
     table = entries.withColumn("half", F.col("key") % 2)
     got = lookup(facts, table, ["k", F.col("p")], ["key", "half"], {"val": "val"})
