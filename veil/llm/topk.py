@@ -4,8 +4,9 @@ A vector's components are read as postings: dimension ``d`` has a list of the ve
 positive there and one of those that are negative, so for a query one of the two lists can only
 raise a score and the other only lower it. Raising lists, from the weakest bound up, are
 non-essential as long as their bounds together stay below the k-th score so far: a vector found
-in none of the essential lists cannot reach it. The essential lists are traversed, and the others
-probed in falling order of their bounds while a vector is still competitive.
+in none of the essential lists cannot reach it. The essential lists are traversed, for all queries
+of a block at once, and the others probed in falling order of their bounds while a vector is still
+competitive.
 
 Vectors and queries are dealt into blocks; every query block meets every vector block in a task
 of bounded size, and the best of the blocks are merged per query.
@@ -25,8 +26,9 @@ from veil.llm.common import column, stored
 
 SCALE = 1024
 K = 10
-VECTOR_BLOCK = 1024
+VECTOR_BLOCK = 4096
 QUERY_BLOCK = 1024
+PART = 1024
 FOUND = "query_id long, vec_id long, score long"
 _EXACT = 2.0**52  # products up to here are summed as doubles without loss
 
@@ -41,68 +43,71 @@ def usable(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding"
 
 
 class Postings:
-    """The two posting lists of each dimension for a block of integer vectors."""
-
-    def __init__(self, matrix: np.ndarray):
-        self.columns = np.ascontiguousarray(matrix.T)
-        self.lists = {}
-        for d, own in enumerate(self.columns):
-            for sign in (1, -1):
-                at = np.flatnonzero(own * sign > 0)
-                if len(at):
-                    self.lists[d, sign] = at, int(np.max(own[at] * sign))
-
-    def search(self, query: np.ndarray, k: int, least: int | None, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of all vectors that can be among the best k: those that reach ``least``,
-        the k-th score known so far, or all if there is none. ``skip`` marks vectors to leave out."""
-        n = self.columns.shape[1]
-        raising = []
-        for d in np.flatnonzero(query):
-            posting = self.lists.get((int(d), 1 if query[d] > 0 else -1))
-            if posting:
-                raising.append((posting[1] * abs(int(query[d])), int(d), posting[0]))
-        raising.sort(key=lambda r: r[0])
-        bounds = np.cumsum([r[0] for r in raising])
-        if least is None or least <= 0:
-            at = np.flatnonzero(~skip)
-            return at, self._scores(query, at)
-        essential = int(np.searchsorted(bounds, least))
-        score, met = np.zeros(n, self.columns.dtype), np.zeros(n, bool)
-        for _, d, at in raising[essential:]:
-            score[at] += query[d] * self.columns[d, at]
-            met[at] = True
-        at = np.flatnonzero(met & ~skip)
-        score = score[at]
-        for i in range(essential - 1, -1, -1):  # strongest bound first
-            competitive = score + bounds[i] >= least
-            at, score = at[competitive], score[competitive]
-            _, d, _ = raising[i]
-            score = score + np.maximum(query[d] * self.columns[d, at], 0)
-        at = at[score >= least]
-        exact = self._scores(query, at)
-        reach = exact >= least
-        return at[reach], exact[reach]
-
-    def _scores(self, query: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return query @ self.columns[:, at]
+    """The posting lists of a block of integer vectors: per dimension those above and those below zero.
+
+    Row ``d`` holds the amounts of the vectors that are positive in dimension ``d``, row ``D + d`` those of the
+    negative ones; a zero means that a vector is not in the list.
+    """
+
+    def __init__(self, ids: np.ndarray, matrix: np.ndarray):
+        self.ids, self.matrix = ids, matrix
+        self.amounts = np.ascontiguousarray(np.hstack([np.maximum(matrix, 0), np.maximum(-matrix, 0)]).T)
+        self.most = self.amounts.max(axis=1)
+
+    def competitive(self, queries: np.ndarray, least: np.ndarray) -> list[np.ndarray]:
+        """For each query the places of the vectors that can still reach ``least``, its k-th score so far."""
+        weights = np.hstack([np.maximum(queries, 0), np.maximum(-queries, 0)])
+        bounds = weights * self.most
+        order = np.argsort(bounds, axis=1, kind="stable")
+        weakest = np.take_along_axis(bounds, order, axis=1)
+        reach = np.cumsum(weakest, axis=1)
+        # lists whose bounds together stay below the k-th score are not traversed
+        skipped = reach < least[:, None]
+        counts = skipped.sum(axis=1)
+        essential = np.ones_like(skipped)
+        np.put_along_axis(essential, order, ~skipped, axis=1)
+        rest = np.where(counts > 0, np.take_along_axis(reach, np.maximum(counts - 1, 0)[:, None], axis=1)[:, 0], 0)
+        upper = (weights * essential) @ self.amounts + rest[:, None]
+        found = []
+        for i, (row, enough) in enumerate(zip(upper, least)):
+            at = np.flatnonzero(row >= enough)
+            score = row[at]
+            for j in range(counts[i] - 1, -1, -1):  # the strongest of the others first
+                if not len(at):
+                    break
+                d = order[i, j]
+                if not weakest[i, j]:
+                    break
+                score = score + weights[i, d] * self.amounts[d, at] - weakest[i, j]
+                still = score >= enough
+                at, score = at[still], score[still]
+            found.append(at)
+        return found
 
 
 def search_block(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
     """``(query id, vector id, score)`` arrays of the best k per query within one block."""
-    parts = 8
-    step = max(k, -(-len(ids) // parts))
-    blocks = [(ids[i : i + step], Postings(matrix[i : i + step])) for i in range(0, len(ids), step)]
-    out = []
-    for qid, query in zip(query_ids, queries):
-        best_id, best = ids[:0], matrix[:0, 0] if matrix.shape[1] else np.zeros(0)
-        for own, postings in blocks:
-            least = int(best[k - 1]) if len(best) >= k else None
-            at, score = postings.search(query, k, least, own == qid)
-            best_id, best = np.append(best_id, own[at]), np.append(best, score)
-            order = np.lexsort((best_id, -best))[:k]
-            best_id, best = best_id[order], best[order]
-        out.append((np.full(len(best), qid), best_id, best))
-    return [np.concatenate(c) for c in zip(*out)] if out else [ids[:0]] * 3
+    best = [(ids[:0], matrix[:0].sum(axis=1)) for _ in query_ids]
+    least = np.full(len(query_ids), -np.inf, matrix.dtype)
+    at = 0
+    while at < len(ids) and len(query_ids):
+        step = PART if at else max(k + 1, PART // 8)  # a few vectors first, for a k-th score to compare with
+        part = Postings(ids[at : at + step], matrix[at : at + step])
+        at += step
+        for i, places in enumerate(part.competitive(queries, least)):
+            places = places[part.ids[places] != query_ids[i]]
+            if not len(places):
+                continue
+            known, score = best[i]
+            known, score = np.append(known, part.ids[places]), np.append(score, part.matrix[places] @ queries[i])
+            order = np.lexsort((known, -score))[:k]
+            best[i] = known[order], score[order]
+            if len(order) == k:
+                least[i] = best[i][1][-1]
+    if not best:
+        return [ids[:0]] * 3
+    owners = np.repeat(query_ids, [len(b[0]) for b in best])
+    return [owners, np.concatenate([b[0] for b in best]), np.concatenate([b[1] for b in best])]
 
 
 def _integers(lists: pa.ListArray, scale: int, width: int) -> np.ndarray:
