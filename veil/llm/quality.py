@@ -197,7 +197,9 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     found = rows.mapInArrow(describe, "doc_id long, label int, content array<float>, metadata array<float>").toPandas()
     if found.empty:
         return CoTrained(None, None, 0.5)
-    found["key"] = [c.tobytes() for c in found["content"]]
+    for view in ("content", "metadata"):
+        found[view] = [np.asarray(v, np.float64) for v in found[view]]
+    found["key"] = [v.tobytes() for v in found["content"]]
     found = found.sort_values(["doc_id", "key"])
     kept_out = np.array([zlib.crc32(str(d).encode()) % 4 == 0 for d in found["doc_id"]])
     return co_train(np.stack(found["content"]), np.stack(found["metadata"]), found["label"].to_numpy(), kept_out)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import exact_dedup, packing, simhash, topk
+from veil.llm import bpe, exact_dedup, language, licenses, line_dedup, packing, quality, simhash, tokenfile, topk
 from veil.llm.common import table
+from veil.plans.tables import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,6 +45,11 @@ def op1_topk_maxscore(spark, sf):
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+@_query()
+def op2_license_scan(spark, sf):
+    return licenses.license_scan(table(spark, sf, "documents"))
+
+
 @_query()
 def op3_best_fit_packing(spark, sf):
     return packing.best_fit_packing(table(spark, sf, "documents"))
@@ -53,6 +60,34 @@ def op4_simhash_dedup(spark, sf):
     return simhash.simhash_dedup(table(spark, sf, "documents"))
 
 
+@_query()
+def op5_prefix_bpe(spark, sf):
+    rows = bpe.bpe_round_trip(table(spark, sf, "documents"))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query()
+def op6_quality_cotraining(spark, sf):
+    return quality.quality_classifier(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@_query()
+def op7_line_dedup(spark, sf):
+    cleaned = line_dedup.line_dedup(table(spark, sf, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return cleaned.select("doc_id", "n_lines", "n_removed", digest.alias("text_sha256"))
+
+
+@_query()
+def op8_language_id(spark, sf):
+    return language.identify_language(table(spark, sf, "documents"))
+
+
 @_query(
     r"""WITH t AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -64,3 +99,10 @@ def op4_simhash_dedup(spark, sf):
 )
 def op9_exact_dedup(spark, sf):
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
+
+
+@_query()
+def op10_token_files(spark, sf):
+    path = f"{scratch_folder(spark)}/veil-llm/token-files-{uuid.uuid4().hex}"
+    tokenfile.write_token_files(table(spark, sf, "documents"), path)
+    return tokenfile.read_token_files(spark, path)

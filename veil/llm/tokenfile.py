@@ -29,13 +29,13 @@ from veil.llm.common import column, partitions, text_of
 from veil.llm.tokens import BYTE_BPE, encoder, slices
 
 END_ID = 0
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 21
 LANES, STEPS = 4096, 256
 MAGIC, VERSION = b"VEILIDS\0", 1
 _HEAD = struct.Struct("<8sIIQIII")
 _UNIT, _SLOTS = 24, 20  # probabilities in 2**-24; the frequencies share 2**20 slots
 _LEVELS = 16
-_CONTEXTS = 18
+_CONTEXTS = 20
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 BLOCKS = "file int, block int, before long, n_ids long, block_bytes binary"
 
@@ -46,51 +46,59 @@ class _Model:
     def __init__(self, vocabulary: int, lanes: int):
         self.size = vocabulary
         self.counts = vocabulary // (np.arange(vocabulary) + 16) + 1  # low ids are the frequent ones
-        self.follow1, self.trust1 = np.zeros(vocabulary, np.uint32), np.zeros(vocabulary, np.uint8)
-        self.follow2, self.trust2 = np.zeros(1 << _CONTEXTS, np.uint32), np.zeros(1 << _CONTEXTS, np.uint8)
+        self.follow1, self.trust1 = np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
+        self.follow2, self.trust2 = np.zeros(1 << _CONTEXTS, np.int64), np.zeros(1 << _CONTEXTS, np.int64)
         self.events = np.tile(np.array([1, 1, 2], np.int64), (2 * _LEVELS * _LEVELS, 1))
-        self.last1, self.last2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-        self.step, self.counted = 0, 0
-
-    def frequencies(self, ids: np.ndarray) -> bool:
-        """Renew the frequencies from the ids so far, at growing distances; tells whether it did."""
-        if self.step and self.step % 64 and self.step & (self.step - 1):
+        self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.step, self.counted, self.fresh = 0, 0, []
+
+    def renew(self, grid: np.ndarray) -> bool:
+        """Bring shares and frequencies up to date with the steps so far, now and then; tells whether the latter changed."""
+        step = self.step
+        doubled = not step & (step - 1)
+        if doubled or not step % 8:
+            if self.fresh:
+                met = np.bincount(np.concatenate(self.fresh), minlength=self.events.size)
+                self.events += met.reshape(self.events.shape)
+                self.fresh = []
+            # by how often each state came true; the frequencies always keep one unit per slot
+            scale = (self.events[:, :2] * ((1 << _UNIT) - (1 << _SLOTS))) // self.events.sum(axis=1, keepdims=True)
+            self.shares = np.ascontiguousarray(scale.T).astype(np.uint64)
+        if not doubled and step % 64:
             return False
-        if self.step:
-            self.counts = self.counts + np.bincount(ids[self.counted : self.step].ravel(), minlength=self.size)
-        self.counted = self.step
+        if step:
+            self.counts = self.counts + np.bincount(grid[self.counted : step].ravel(), minlength=self.size)
+        self.counted = step
         share = 1 + self.counts * ((1 << _SLOTS) - self.size) // self.counts.sum()
         self.bounds = np.concatenate([[0], np.cumsum(share)]).astype(np.uint64)
         return True
 
     def predict(self) -> None:
-        self.context = (self.last1 * np.uint32(2654435761) + self.last2 * np.uint32(2246822519)) >> np.uint32(32 - _CONTEXTS)
-        self.guess2, self.guess1 = self.follow2[self.context], self.follow1[self.last1]
-        self.know2, self.know1 = self.trust2[self.context], self.trust1[self.last1]
-        same = self.guess1 == self.guess2
-        self.state = (self.know2.astype(np.int64) * _LEVELS + self.know1) * 2 + same
-        # shares by how often this state came true; the frequencies always keep one unit per slot
-        scale = (self.events[:, :2] * ((1 << _UNIT) - (1 << _SLOTS))) // self.events.sum(axis=1, keepdims=True)
-        shares = scale.astype(np.uint64)
-        self.share2, self.share1 = shares[self.state, 0], shares[self.state, 1]
-        self.guessed = self.share2 + self.share1
+        self.context = ((self.last1 * 0x9E3779B1 + self.last2 * 0x85EBCA77) >> 11) & ((1 << _CONTEXTS) - 1)
+        self.guess2, self.guess1 = self.follow2.take(self.context), self.follow1.take(self.last1)
+        self.know2, self.know1 = self.trust2.take(self.context), self.trust1.take(self.last1)
+        self.state = (self.know2 * _LEVELS + self.know1) * 2 + (self.guess1 == self.guess2)
+        self.share2 = self.shares[0].take(self.state)
+        self.guessed = self.share2 + self.shares[1].take(self.state)
         self.rest = np.uint64(1 << _UNIT) - self.guessed
 
     def interval(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.uint64(_SLOTS)
-        low = self.guessed + ((self.bounds[ids] * self.rest) >> at)
-        high = self.guessed + ((self.bounds[ids + 1] * self.rest) >> at)
-        low = np.where(hit2, np.uint64(0), np.where(hit1, self.share2, low))
-        return low, np.where(hit2, self.share2, np.where(hit1, self.guessed, high)) - low
+        low = self.guessed + ((self.bounds.take(ids) * self.rest) >> at)
+        high = self.guessed + ((self.bounds.take(ids + 1) * self.rest) >> at)
+        for hit, first, end in ((hit1, self.share2, self.guessed), (hit2, None, self.share2)):
+            own = np.flatnonzero(hit)
+            low[own] = first.take(own) if first is not None else 0
+            high[own] = end.take(own)
+        return low, high - low
 
     def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        event = np.where(hit2, 0, np.where(hit1, 1, 2))
-        self.events += np.bincount(self.state * 3 + event, minlength=self.events.size).reshape(self.events.shape) * 4
-        top = np.uint8(_LEVELS - 1)
-        right1 = self.guess1 == ids
-        self.trust2[self.context] = np.where(hit2, np.minimum(self.know2 + 1, top), 1)
-        self.trust1[self.last1] = np.where(right1, np.minimum(self.know1 + 1, top), 1)
-        self.follow2[self.context] = self.follow1[self.last1] = ids
+        self.fresh.append(self.state * 3 + 2 - hit1 - 2 * hit2)
+        # one more level when right, the first level when wrong
+        self.trust2[self.context] = 1 + np.minimum(self.know2, _LEVELS - 2) * hit2
+        self.trust1[self.last1] = 1 + np.minimum(self.know1, _LEVELS - 2) * (self.guess1 == ids)
+        self.follow2[self.context] = ids
+        self.follow1[self.last1] = ids
         self.last2, self.last1 = self.last1, ids
         self.step += 1
 
@@ -101,91 +109,98 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray
     steps, lanes = grid.shape
     model = _Model(vocabulary, lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 63, np.uint64)
-    out, at = np.zeros((lanes, 2 * steps + 16), np.uint16), np.zeros(lanes, np.int64)
+    width = 2 * steps + 16
+    out, at = np.zeros((lanes, width), np.uint16), np.zeros(lanes, np.int64)
+    firsts = np.arange(lanes) * width
     for own in grid:
-        model.frequencies(grid)
+        model.renew(grid)
         model.predict()
         hit2 = own == model.guess2
         hit1 = (own == model.guess1) & ~hit2
-        start, width = model.interval(own, hit2, hit1)
+        start, part = model.interval(own, hit2, hit1)
         unit = span >> np.uint64(_UNIT)
         low += unit * start
-        span = unit * width
-        if at.max() + 8 > out.shape[1]:
-            out = np.hstack([out, np.zeros_like(out)])
-        for lane in _renormalise(low, span):
-            out[lane, at[lane]] = low[lane] >> np.uint64(48)
+        span = unit * part
+        if at.max() + 8 > width:
+            out, width = np.hstack([out, np.zeros_like(out)]), 2 * width
+            firsts = np.arange(lanes) * width
+        flat = out.reshape(-1)
+        for lane, moved in _renormalise(low, span):
+            flat[firsts[lane] + at[lane]] = moved >> np.uint64(48)
             at[lane] += 1
-            low[lane] <<= np.uint64(16)
         model.update(own, hit2, hit1)
     # the smallest multiple of 2**32 that is not below the low end ends each lane; zeros follow it
     end = (low + (_BOTTOM - np.uint64(1))) >> np.uint64(32)
     rows = np.arange(lanes)
     out[rows, at], out[rows, at + 1] = end >> np.uint64(16), end & np.uint64(0xFFFF)
     at += 2
-    return at.astype("<u4"), out[np.arange(out.shape[1]) < at[:, None]].astype("<u2")
+    return at.astype("<u4"), out[np.arange(width) < at[:, None]].astype("<u2")
 
 
 def decode_ids(n: int, lanes: int, vocabulary: int, sizes: np.ndarray, words: np.ndarray) -> np.ndarray:
     steps = -(-n // lanes)
-    grid = np.zeros((steps, lanes), np.uint32)
-    source = np.zeros((lanes, int(sizes.max()) + 4), np.uint64)
-    source[np.arange(source.shape[1]) < sizes[:, None]] = words
-    at = np.full(lanes, 4, np.int64)
+    grid = np.zeros((steps, lanes), np.int64)
+    # zeros stand after the end of each lane
+    width = int(sizes.max()) + 8
+    source = np.zeros((lanes, width), np.uint16)
+    source[np.arange(width) < sizes[:, None]] = words
+    firsts, at = np.arange(lanes) * width, np.full(lanes, 4, np.int64)
     code = np.zeros(lanes, np.uint64)
     for i in range(4):
         code = (code << np.uint64(16)) | source[:, i]
+    flat = source.reshape(-1)
     model = _Model(vocabulary, lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 63, np.uint64)
-    slots = np.zeros(0, np.uint32)
-    last = source.shape[1] - 1
     for step in range(steps):
-        if model.frequencies(grid):
-            slots = np.repeat(np.arange(vocabulary, dtype=np.uint32), np.diff(model.bounds.astype(np.int64)))
+        if model.renew(grid):
+            slots = np.repeat(np.arange(vocabulary), np.diff(model.bounds.astype(np.int64)))
         model.predict()
         unit = span >> np.uint64(_UNIT)
-        target = np.minimum((code - low) // unit, np.uint64((1 << _UNIT) - 1))
+        target = (code - low) // unit
+        beyond = np.maximum(target, model.guessed) - model.guessed
+        slot = (((beyond + np.uint64(1)) << np.uint64(_SLOTS)) - np.uint64(1)) // model.rest
+        own = slots.take(slot.view(np.int64), mode="clip")
         hit2 = target < model.share2
         hit1 = (target < model.guessed) & ~hit2
-        beyond = np.where(target >= model.guessed, target - model.guessed, np.uint64(0))
-        slot = (((beyond + np.uint64(1)) << np.uint64(_SLOTS)) - np.uint64(1)) // model.rest
-        own = slots[np.minimum(slot, np.uint64(len(slots) - 1)).astype(np.int64)]
-        own = np.where(hit2, model.guess2, np.where(hit1, model.guess1, own))
-        start, width = model.interval(own, hit2, hit1)
+        for hit, guess in ((hit1, model.guess1), (hit2, model.guess2)):
+            lane = np.flatnonzero(hit)
+            own[lane] = guess.take(lane)
+        start, part = model.interval(own, hit2, hit1)
         low += unit * start
-        span = unit * width
-        for lane in _renormalise(low, span):
-            code[lane] = (code[lane] << np.uint64(16)) | source[lane, np.minimum(at[lane], last)]
-            at[lane] += 1
-            low[lane] <<= np.uint64(16)
+        span = unit * part
+        for lane, _ in _renormalise(low, span):
+            place = at.take(lane)
+            word = flat.take(firsts.take(lane) + np.minimum(place, width - 1))
+            code[lane] = (code.take(lane) << np.uint64(16)) | word
+            at[lane] = place + 1
         grid[step] = own
         model.update(own, hit2, hit1)
-    return np.ascontiguousarray(grid.T).ravel()[:n]
+    return np.ascontiguousarray(grid.T, np.uint32).ravel()[:n]
 
 
-def _renormalise(low: np.ndarray, span: np.ndarray) -> Iterator[np.ndarray]:
-    """Lanes that are to move one 16-bit word, again and again; widens their span."""
-    lane = np.arange(len(low))
+def _renormalise(low: np.ndarray, span: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Widen narrow spans: lanes whose first 16-bit word is settled, with their low ends, again and again."""
+    own_low, own_span, lane = low, span, None
     while True:
-        own_low, own_span = low[lane], span[lane]
         settled = (own_low ^ (own_low + own_span)) < _TOP
-        short = (own_span < _BOTTOM) & ~settled
-        if short.any():
-            narrow = (np.uint64(0) - own_low[short]) & (_BOTTOM - np.uint64(1))
-            own_span[short] = narrow
-            span[lane[short]] = narrow
-        lane = lane[settled | short]
-        if not len(lane):
+        here = np.flatnonzero(settled | (own_span < _BOTTOM))
+        if not len(here):
             return
-        yield lane
-        span[lane] <<= np.uint64(16)
+        # a short span whose first word is open is cut at the next multiple of 2**32
+        own_low, own_span, settled = own_low.take(here), own_span.take(here), settled.take(here)
+        if not settled.all():
+            own_span = np.where(settled, own_span, (np.uint64(0) - own_low) & (_BOTTOM - np.uint64(1)))
+        lane = here if lane is None else lane.take(here)
+        yield lane, own_low
+        own_low, own_span = own_low << np.uint64(16), own_span << np.uint64(16)
+        low[lane], span[lane] = own_low, own_span
 
 
 def _grid(ids: np.ndarray) -> np.ndarray:
     """One row per step, one column per lane; lanes are consecutive parts of the ids."""
     lanes = max(1, min(LANES, len(ids) // STEPS))
     steps = -(-len(ids) // lanes)
-    padded = np.zeros(lanes * steps, np.uint32)
+    padded = np.zeros(lanes * steps, np.int64)
     padded[: len(ids)] = ids
     return np.ascontiguousarray(padded.reshape(lanes, steps).T)
 
