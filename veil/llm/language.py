@@ -24,6 +24,8 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 UNKNOWN = "und"
+# A filter drops documents whose best language has a lower score.
+LEAST = 0.4
 # The training sample: documents per language, and windows of each, spread over the whole text.
 SAMPLE = 250
 SAMPLE_WINDOWS = 4
@@ -231,6 +233,22 @@ def with_language(docs: DataFrame, network: Network, lang: str = "lang_pred", sc
     return rows.mapInArrow(run, f"doc_id long, held_out boolean, {lang} string, {score} double")
 
 
+def keep_identified(docs: DataFrame, network: Network, least: float = LEAST) -> DataFrame:
+    """The documents, all columns as they are, without those whose language is ``und`` or scores below ``least``."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predictor = Predictor(network)
+        for batch in batches:
+            at = 0
+            for part in slices(batch.column(place)):
+                lang, score = predictor.predict(pc.fill_null(part, ""))
+                yield batch.slice(at, len(part)).filter(pa.array((lang != UNKNOWN) & (score >= least), pa.bool_()))
+                at += len(part)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify_language(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score``.
 

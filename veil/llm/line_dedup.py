@@ -476,5 +476,5 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True)
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     schema = StructType(kept + [StructField(c, IntegerType()) for c in ("n_lines", "n_removed") if counts])
-    joined = docs.join(lists, same, "left").select(*[column(f.name) for f in kept], _GONE)
+    joined = docs.join(lists.hint("shuffle_hash"), same, "left").select(*[column(f.name) for f in kept], _GONE)
     return joined.mapInArrow(cut, schema)

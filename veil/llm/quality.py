@@ -16,8 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from veil.llm.common import column, text_of
 
@@ -161,12 +163,8 @@ def _views(batch: pa.RecordBatch, first: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _described(docs: DataFrame, *first) -> DataFrame:
-    have = {f.name: f.dataType.typeName() for f in docs.schema.fields}
-    number = ("byte", "short", "integer", "long", "float", "double")
-    described = [
-        (column(m).cast("double") if have[m] in number else column(m).cast("string")) if m in have else F.lit(None).cast("string")
-        for m in METADATA
-    ]
+    have = {f.name: "double" if isinstance(f.dataType, NumericType) else "string" for f in docs.schema.fields}
+    described = [column(m).cast(have[m]) if m in have else F.lit(None).cast("string") for m in METADATA]
     return docs.select(*first, text_of(), *[c.alias(f"m{i}") for i, c in enumerate(described)])
 
 
@@ -220,6 +218,25 @@ def score_quality(docs: DataFrame, model: CoTrained) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text_score double, metadata_score double, score double, kept boolean")
 
 
+def keep_good(docs: DataFrame, model: CoTrained, least: float = KEEP) -> DataFrame:
+    """The documents, all columns as they are, without those that score below ``least``."""
+    places = [docs.columns.index(c) if c in docs.columns else None for c in ("text", *METADATA)]
+    numbers = [isinstance(docs.schema[c].dataType, NumericType) if c in docs.columns else False for c in METADATA]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                none = pa.nulls(part.num_rows, pa.string())
+                columns = [none if p is None else part.column(p) for p in places]
+                columns[0] = pc.fill_null(columns[0], "")
+                columns[1:] = [c.cast(pa.float64() if n else pa.string()) for c, n in zip(columns[1:], numbers)]
+                score = model.scores(*_views(pa.RecordBatch.from_arrays(columns, ["text", *METADATA]), 0))[2]
+                yield part.filter(pa.array(score >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_classifier(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> DataFrame:
     """One row per document with the probability of good quality by each view and by both.
 

@@ -26,6 +26,7 @@ WORDS = 3
 DISTANCE = 2
 BLOCKS = 6
 SEED = 42
+_ROW = "_veil_row"
 _PART = 1 << 16  # hashes counted at once, so that a very long text needs little memory
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -59,16 +60,17 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed 64-bit integer."""
+    """``row, doc_id, fp``: the place of the row in the table and the fingerprint as a signed 64-bit integer."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
+            texts = batch.column(2).cast(pa.large_binary())
             fps = np.array([fingerprint(t.as_py(), words) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column(0), batch.column(1), pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "fp"])
 
-    rows = docs.select(column("doc_id").cast("long").alias("doc_id"), text_of())
-    return rows.mapInArrow(hashed, "doc_id long, fp long")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), column("doc_id").cast("long").alias("doc_id"), text_of())
+    return rows.mapInArrow(hashed, "row long, doc_id long, fp long")
 
 
 def block_ranges(blocks: int = BLOCKS) -> list[tuple[int, int]]:
@@ -137,6 +139,19 @@ def group_labels(fps: np.ndarray, open_bits: list[tuple[int, int]], distance: in
             return labels
 
 
+def _components(rows: DataFrame, distance: int, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """Stored ``fp, root, copies`` and ``root, n, first``: the first row of each component, null ids last."""
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    nodes = stored(
+        rows.groupBy("fp").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies")), "distinct-fingerprints"
+    )
+    found = connected_components(close_links(nodes, distance, blocks)).withColumnRenamed("node", "fp")
+    rooted = stored(
+        nodes.join(found, "fp", "left").select("fp", "first", "copies", F.coalesce("root", "fp").alias("root")), "rooted"
+    )
+    return rooted, stored(rooted.groupBy("root").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("n")), "parts")
+
+
 def simhash_dedup(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
@@ -146,19 +161,24 @@ def simhash_dedup(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE,
     ignored.
     """
     rows = stored(fingerprints(docs, words), "fingerprints")
-    nodes = stored(
-        rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "distinct-fingerprints"
-    )
-    found = connected_components(close_links(nodes, distance, blocks)).withColumnRenamed("node", "fp")
-    rooted = stored(
-        nodes.join(found, "fp", "left").select("fp", "least", "copies", F.coalesce("root", "fp").alias("root")), "rooted"
-    )
-    parts = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")), "parts")
-    known = stored(spread_join(rooted, parts, "root", "n").select("fp", "component_id", "copies"), "components")
-    return spread_join(rows, known, "fp", "copies").select(
+    rooted, parts = _components(rows, distance, blocks)
+    known = spread_join(rooted.drop("first"), parts, "root", "n").select("fp", F.col("first.doc_id").alias("component_id"), "copies")
+    return spread_join(rows, stored(known, "components"), "fp", "copies").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def keep_one_of_each(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """The documents, all columns as they are, with one of each component: that of the smallest doc_id.
+
+    ``docs`` is read twice and must give its rows in the same places, as a stored table does; of rows
+    that repeat the smallest doc_id the first stays.
+    """
+    rows = stored(fingerprints(docs, words), "fingerprints")
+    kept = _components(rows, distance, blocks)[1].select(F.col("first.row").alias(_ROW))
+    placed = docs.withColumn(_ROW, F.monotonically_increasing_id())
+    return placed.join(kept.hint("shuffle_hash"), _ROW, "left_semi").drop(_ROW)
+
+
 def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
