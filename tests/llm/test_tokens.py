@@ -1,0 +1,185 @@
+"""Token ids, packing and token files against the tokenizers library and by round trip."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tests.llm import brute
+from veil.llm import bpe, packing, tokenfile, tokens
+
+ODD = [
+    "a", "B", "é", " ", " ", "\n", "\t", "!", "1", "²", "\x1c", "\x85", "\xa0", "'s", "'", "<|endoftext|>", "<|startoftext|>", "　",
+    "\x00", "ﬁ", "的", "Σ", "İ", "ß", "--", "...", "the", "ing", "“", "😀", "aaaa", "000", "</w>", "<", "w",
+]
+TEXTS = [None, "", " ", "a  b", " x", "x ", "Hello, world.", "word " * 30_000, "same", "same", "<|endoftext|>"]
+
+
+def _mixed(seed, n=4000):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(ODD, k=rng.randint(0, 12))) for _ in range(n)]
+
+
+def _library(name):
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+def _split(ids, counts):
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_pieces_encode_as_the_library(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 3000)  # the memory is tidied on the way
+    library, own = _library(tokens.BYTE_BPE), tokens.PieceEncoder()
+    for seed in range(4):
+        texts = _mixed(seed)
+        expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert _split(*own.encode(pa.array(texts))) == expected
+    assert [x.tolist() for x in own.encode(pa.array([], pa.string()))] == [[], []]
+
+
+def test_slices_cover_all():
+    texts = pa.array(["x" * n for n in (0, 5, 100, 1, 1, 0)] + [None])
+    parts = list(tokens.slices(texts, 6))
+    assert [t for p in parts for t in p.to_pylist()] == texts.to_pylist()
+    assert len(parts) > 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_prefix_bpe_encodes_and_decodes_as_the_library(seed):
+    rng = random.Random(seed)
+    letters = ["".join(rng.choices("abcdefghinorstea", k=rng.randint(1, 30))) for _ in range(2000)]
+    any_ = ["".join(map(chr, rng.choices(range(32, 0x3000), k=rng.randint(1, 10)))) for _ in range(2000)]
+    library, own = _library(bpe.WORD_BPE), bpe.coder()
+    texts = _mixed(seed + 10) + letters + any_
+    ids, counts = own.encode(pa.array(texts))
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert _split(ids, counts) == expected
+    assert own.decode(ids, counts).to_pylist() == [library.decode(e, skip_special_tokens=False) for e in expected]
+
+
+def test_bpe_round_trip(spark):
+    rows = list(enumerate(TEXTS)) + [(None, "x"), (3, "a  b")]
+    got = bpe.bpe_round_trip(brute.frame(spark, rows)).collect()
+    library = _library(bpe.WORD_BPE)
+    ids = [library.encode(t or "", add_special_tokens=False).ids for _, t in rows]
+    expected = sorted((str(d), i, library.decode(i, skip_special_tokens=False)) for (d, _), i in zip(rows, ids))
+    assert sorted((str(r.doc_id), list(r.ids), r.decoded) for r in got) == expected
+    assert bpe.bpe_round_trip(brute.frame(spark, []).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("capacity", [3, 12, 100, 1024])
+def test_plan_places_every_piece_once(capacity):
+    rng = random.Random(capacity)
+    for _ in range(40):
+        sizes = [rng.choice([rng.randint(1, capacity), rng.randint(1, max(1, capacity // 4)), capacity]) for _ in range(rng.randint(0, 300))]
+        histogram = defaultdict(int)
+        for s in sizes:
+            histogram[s] += 1
+        counted, bins = defaultdict(int), defaultdict(list)
+        for g in packing.plan(histogram, capacity):
+            assert counted[g.size] == g.rank
+            counted[g.size] += g.count
+            for i in range(g.count):
+                bins[g.sequence + i // g.per].append((g.offset + i % g.per * g.size, g.size))
+        assert counted == histogram
+        for own in bins.values():
+            at = 0
+            for offset, size in sorted(own):
+                assert offset == at
+                at += size
+            assert at <= capacity
+            assert sum(3 * s > capacity for _, s in own) <= 2
+        # best-fit decreasing stays within a fifth of the lower bound and a sequence
+        least = -(-sum(sizes) // capacity)
+        large = sum(2 * s > capacity for s in sizes)
+        assert len(bins) <= 11 * max(least, large) / 9 + 4
+
+
+def test_plan_takes_large_counts():
+    rng = random.Random(1)
+    histogram = {s: rng.randint(0, 10**9) for s in range(1, 1025)}
+    segments = packing.plan(histogram)
+    assert sum(s.size * s.count for s in segments) == sum(s * n for s, n in histogram.items())
+    assert len(segments) < 10_000
+    with pytest.raises(ValueError):
+        packing.plan({2000: 1})
+
+
+def test_packing(spark):
+    rows = list(enumerate(TEXTS)) + [(None, "x"), (3, "a  b"), (3, "a  b")]
+    got = packing.best_fit_packing(brute.frame(spark, rows)).collect()
+    library = _library(tokens.BYTE_BPE)
+    expected = []
+    for d, t in rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
+        first = len(ids) % 1024 or 1024
+        edges = [0, *range(first, len(ids) + 1, 1024)]
+        for k, (a, b) in enumerate(zip(edges, edges[1:])):
+            expected.append((str(d), k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
+    assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(expected)
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for own in bins.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert len(bins) == -(-sum(e[3] for e in expected) // 1024)
+    assert packing.best_fit_packing(brute.frame(spark, []).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 255, 256, 1000, 70_001])
+@pytest.mark.parametrize("vocabulary", [1, 2, 300, 50_257])
+def test_blocks_read_back(n, vocabulary):
+    rng = np.random.default_rng(n)
+    ids = (rng.random(n) ** 4 * vocabulary).astype(np.uint32)
+    ids[n // 2 :] = ids[: n - n // 2]
+    data = tokenfile.write_block([None, -5], np.array([n - 1, 1]), ids, vocabulary)
+    names, lengths, back = tokenfile.read_block(data)
+    assert names == [None, -5] and lengths.tolist() == [n - 1, 1]
+    assert (back == ids).all()
+
+
+def test_blocks_are_smaller_than_their_ids_and_notice_damage():
+    ids = np.tile(np.arange(500, dtype=np.uint32), 40)
+    data = tokenfile.write_block([1], np.array([len(ids)]), ids, 50_257)
+    assert len(data) < len(ids)
+    for at in (0, 30, len(data) // 2, len(data) - 1):
+        changed = bytearray(data)
+        changed[at] ^= 4
+        with pytest.raises(ValueError):
+            tokenfile.read_block(bytes(changed))
+    with pytest.raises(ValueError):
+        tokenfile.read_block(data[:-1])
+
+
+@pytest.mark.parametrize("block_ids", [50, 1 << 20])
+def test_token_files(spark, tmp_path, block_ids):
+    rows = list(enumerate(TEXTS)) + [(40, "x"), (3, "a  b"), (3, "a c"), (None, "n"), (-7, "first!")]
+    path = str(tmp_path / "files")
+    tokenfile.write_token_files(brute.frame(spark, rows), path, block_ids=block_ids)
+    got = tokenfile.read_token_files(spark, path).collect()
+    library = _library(tokens.BYTE_BPE)
+    ids = [(d, np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], "<u4")) for d, t in rows]
+    expected = sorted((str(d), len(i), zlib.crc32(i.tobytes())) for d, i in ids)
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in got) == expected
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    order = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert order[0] is None and order[1:] == sorted(order[1:])
+
+
+def test_token_files_of_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "none")
+    tokenfile.write_token_files(brute.frame(spark, []).limit(0), path)
+    assert tokenfile.read_token_files(spark, path).count() == 0

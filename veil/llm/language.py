@@ -69,15 +69,15 @@ def features(tables, bias: np.ndarray, windows: np.ndarray) -> np.ndarray:
     out = np.empty((len(windows), len(bias)), np.float32)
     for at in range(0, len(windows), _CHUNK):
         part = windows[at : at + _CHUNK].astype(np.int64)
-        pair = (part[:, :-1] << 8) | part[:, 1:]
+        pair = part << 8
+        pair[:, :-1] |= part[:, 1:]
         first = 0
         for width, pairs in tables:
-            n = WINDOW - max(width, 2) + 1
+            n = WINDOW - width + 1
             response = None
             for k, t in pairs:
-                # the last byte of an odd width has a table that ignores the second byte
-                index = pair[:, k : k + n] if k + n <= pair.shape[1] else np.pad(pair[:, k:], ((0, 0), (0, k + n - pair.shape[1])))
-                got = np.take(t, index, axis=0)
+                # the last byte of an odd width has a table that ignores the byte after it
+                got = np.take(t, pair[:, k : k + n], axis=0)
                 response = got if response is None else np.add(response, got, out=response)
             size = response.shape[2]
             out[at : at + len(part), first : first + size] = response.max(axis=1)

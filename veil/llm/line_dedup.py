@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -33,7 +33,7 @@ from veil.llm.tokens import slices
 
 THRESHOLD = (4, 5)
 MIN_WORDS = 5
-LIMIT, GROWTH = 4, 32
+LIMIT, GROWTH = 1, 32
 _COUNT_BITS = 20
 _CELL_ENTRIES = 2_000_000
 _CHUNK_LINES = 1 << 16
@@ -63,7 +63,8 @@ class Lines:
         hashes = np.array([xxhash.xxh3_64_intdigest(w, _SEED) for w in named], np.uint64)
         owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
         # one number per line and word, so that one sort brings a line's equal words together
-        pairs = np.unique(owner << 32 | coded.indices.to_numpy().astype(np.int64))
+        pairs = np.sort(owner << 32 | coded.indices.to_numpy().astype(np.int64))
+        pairs = pairs[np.append(np.ones(min(1, len(pairs)), bool), pairs[1:] != pairs[:-1])]
         owner, tokens = pairs >> 32, hashes[pairs & 0xFFFFFFFF]
         sizes = np.bincount(owner, minlength=len(ends) - 1)
         enough = sizes >= min_words
@@ -105,16 +106,26 @@ def _parsed(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple
             at += len(part)
 
 
-def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, line, sig, size, words`` of every line; ``words`` is a digest of its set of words."""
+def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, np.ndarray]:
+    """``doc_id, line, sig, size, words`` of every line, ``words`` being a digest of its set of words; and how many
+    lines hold words of each hash prefix. Both come from one reading of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << _COUNT_BITS, np.int64)
         for ids, lines in _parsed(batches, min_words):
+            counts += np.bincount((lines.tokens >> np.uint64(64 - _COUNT_BITS)).astype(np.int64), minlength=len(counts))
             columns = [ids, pa.array(lines.number), pa.array(lines.parity().view(np.int64))]
             columns += [pa.array(lines.sizes.astype(np.int32)), pa.array(lines.digests(), pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line", "sig", "size", "words"])
+            columns += [pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        pieces = np.minimum(counts, 2**32 - 1).astype("<u4").reshape(16, -1)
+        columns = [pa.nulls(16, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())]
+        columns += [pa.array(range(16), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(run, "doc_id long, line int, sig long, size int, words binary")
+    names = ["doc_id", "line", "sig", "size", "words", "piece", "counts"]
+    both = stored(docs.mapInArrow(run, "doc_id long, line int, sig long, size int, words binary, piece int, counts binary"), "lines")
+    return both.where("piece IS NULL").drop("piece", "counts"), summed(both.where("piece IS NOT NULL").select("piece", "counts"))
 
 
 def summed(parts: DataFrame) -> np.ndarray:
@@ -133,25 +144,6 @@ def summed(parts: DataFrame) -> np.ndarray:
     return np.concatenate([found[i] for i in sorted(found)]) if found else np.zeros(1 << _COUNT_BITS, "<u4")
 
 
-def _counted(hashes: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """The counters of a task, in pieces."""
-    counts = np.zeros(1 << _COUNT_BITS, np.int64)
-    for h in hashes:
-        counts += np.bincount((h >> np.uint64(64 - _COUNT_BITS)).astype(np.int64), minlength=len(counts))
-    pieces = np.minimum(counts, 2**32 - 1).astype("<u4").reshape(16, -1)
-    columns = [pa.array(range(16), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())]
-    yield pa.RecordBatch.from_arrays(columns, ["piece", "counts"])
-
-
-def word_counts(docs: DataFrame, min_words: int = MIN_WORDS) -> np.ndarray:
-    """How many lines hold words of each hash prefix."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _counted(lines.tokens for _, lines in _parsed(batches, min_words))
-
-    return summed(docs.mapInArrow(run, "piece int, counts binary"))
-
-
 def _prefix_length(sizes: np.ndarray) -> np.ndarray:
     a, b = THRESHOLD
     return sizes + (-sizes * a) // b + 1
@@ -254,82 +246,138 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(np.frombuffer(planes, np.uint8).reshape(_ENTRY.itemsize, n).T.tobytes(), _ENTRY)
 
 
-def _passes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether entries of one word can be of similar lines, ``x`` before ``y``."""
+def _passes(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether entries of one word, of which ``i`` is the smaller line, can be of similar lines."""
     a, b = THRESHOLD
-    nx, ny = x["size"].astype(np.int64), y["size"].astype(np.int64)
-    need = _overlap(nx + ny)
-    fits = np.minimum(nx, ny) * b >= np.maximum(nx, ny) * a
-    fits &= 1 + np.minimum(nx - x["place"], ny - y["place"]) - 1 >= need
-    fits &= np.bitwise_count(x["sig"] ^ y["sig"]) <= nx + ny - 2 * need
-    return fits & _before(x, y)
+    small, large = e["size"][i], e["size"][j]
+    both = small + large
+    need = _overlap(both)
+    fits = small * b >= large * a
+    fits &= np.bitwise_count(e["sig"][i] ^ e["sig"][j]) <= both - 2 * need
+    return fits & (np.minimum(small - e["place"][i], large - e["place"][j]) >= need)
+
 
+def _before(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the line of ``i`` is earlier than that of ``j``."""
+    x, y = rows[i], rows[j]
+    same = (x["none"] == y["none"]) & (x["doc"] == y["doc"])
+    return (x["none"] < y["none"]) | ((x["none"] == y["none"]) & (x["doc"] < y["doc"])) | (same & (x["line"] < y["line"]))
 
-def _before(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    same_doc = (x["none"] == y["none"]) & (x["doc"] == y["doc"])
-    earlier = (x["none"] < y["none"]) | ((x["none"] == y["none"]) & (x["doc"] < y["doc"]))
-    return earlier | (same_doc & (x["line"] < y["line"]))
 
+def cell_pairs(rows: np.ndarray, role: np.ndarray, limit: int, asked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs of one cell: places of the earlier and of the later line, at most ``limit`` of a later line and
+    those with the fewest different parity bits first; and the places of lines that had or may have had more.
 
-def cell_pairs(xs: np.ndarray, ys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs of one cell as places in ``xs`` and ``ys``, at most the ``limit`` earliest per word and later
-    line, and whether a line had more. Both are sorted by word and line."""
-    left = np.searchsorted(xs["word"], ys["word"], "left")
-    size = np.searchsorted(xs["word"], ys["word"], "right") - left
+    ``role`` tells whether an entry may be an earlier line (1), a later one (2) or both; ``asked`` marks the later
+    lines that are of interest.
+    """
+    order = np.lexsort((rows["size"], rows["word"]))
+    rows, role = rows[order], role[order]
+    later = (role & 2 > 0) if asked is None else (role & 2 > 0) & asked[order]
+    e = {c: rows[c].astype(np.int64) for c in ("word", "size", "place")} | {"sig": np.ascontiguousarray(rows["sig"])}
+    edges = np.flatnonzero(np.diff(e["word"], prepend=-1, append=-1))
+    run = np.repeat(np.diff(edges), np.diff(edges))
     found_x, found_y, more = [], [], []
-    small = np.flatnonzero((size > 0) & (size <= _PAIRED))
-    count = np.zeros(len(ys), np.int64)
+
+    def add(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        forward = _before(rows, i, j)
+        x, y = np.where(forward, i, j), np.where(forward, j, i)
+        fits = (forward | _before(rows, j, i)) & (role[x] & 1 > 0) & later[y]
+        return x[fits], y[fits]
+
+    # entries of a word stand by size: each meets those after it until they are too large
+    i = np.flatnonzero((run > 1) & (run <= _PAIRED))
     k = 0
-    while len(small):
-        fits = _passes(xs[left[small] + k], ys[small])
-        x, y = left[small[fits]] + k, small[fits]
-        over = count[y] >= limit
-        more.append(y[over])
-        found_x.append(x[~over]), found_y.append(y[~over])
-        count[y] += 1
+    while len(i):
         k += 1
-        small = small[size[small] > k]
-    for first in np.unique(left[size > _PAIRED]):
-        own = np.flatnonzero((left == first) & (size > _PAIRED))
-        for at in range(0, len(own), 1024):
-            y = own[at : at + 1024]
-            for x0 in range(int(first), int(first + size[own[0]]), 1024):
-                x = np.arange(x0, min(x0 + 1024, int(first + size[own[0]])))
-                fits = _passes(xs[x][None, :], ys[y][:, None])
-                rank = np.cumsum(fits, axis=1) + count[y][:, None]
-                row, col = np.nonzero(fits & (rank <= limit))
-                found_x.append(x[col]), found_y.append(y[row])
-                count[y] += fits.sum(axis=1)
-                over = count[y] > limit
-                more.append(y[over])
-                y = y[~over]
-                if not len(y):
-                    break
+        i = i[i + k < len(rows)]
+        i = i[(e["word"][i] == e["word"][i + k]) & (e["size"][i + k] * THRESHOLD[0] <= e["size"][i] * THRESHOLD[1])]
+        near = i[_passes(e, i, i + k)]
+        x, y = add(near, near + k)
+        found_x.append(x), found_y.append(y)
+    for first, end in zip(edges[:-1], edges[1:]):
+        if end - first > _PAIRED:
+            for x, y, rest in _block_pairs(e, rows, role, later, int(first), int(end), limit):
+                found_x.append(x), found_y.append(y), more.append(rest)
     join = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-    return join(found_x), join(found_y), np.unique(join(more))
-
-
-def candidates(packed: DataFrame, limit: int) -> DataFrame:
-    """Pairs of an earlier line ``x`` and a later one ``y`` that pass all filters; ``x.line`` is -1 for a ``y`` that had more."""
+    x, y, more = join(found_x), join(found_y), join(more)
+    line = _line_numbers(rows)
+    # each pair once, whatever words it shares
+    pair, once = np.unique(line[y] << 32 | line[x], return_index=True)
+    x, y = x[once], y[once]
+    bits = np.bitwise_count(e["sig"][x] ^ e["sig"][y])
+    best = np.lexsort((line[x], bits, line[y]))
+    x, y = x[best], y[best]
+    own = line[y]
+    starts = np.flatnonzero(np.diff(own, prepend=-1))
+    rank = np.arange(len(own)) - np.repeat(starts, np.diff(np.append(starts, len(own))))
+    more = np.append(more, y[rank == limit])
+    more = more[np.unique(line[more], return_index=True)[1]]
+    return order[x[rank < limit]], order[y[rank < limit]], order[more]
+
+
+def _block_pairs(e, rows, role, later, first: int, end: int, limit: int) -> Iterator[tuple]:
+    """The pairs of a large group, block by block; a later line stops when it has ``limit`` candidates."""
+    a, b = THRESHOLD
+    size = e["size"][first:end]
+    for at in range(first, end, 1024):
+        y = np.arange(at, min(at + 1024, end))
+        y = y[later[y]]
+        if not len(y):
+            continue
+        count = np.zeros(end - first, np.int64)
+        low = first + int(np.searchsorted(size * b, e["size"][y[0]] * a, "left"))
+        high = first + int(np.searchsorted(size * a, e["size"][y[-1]] * b, "right"))
+        for x0 in range(low, high, 1024):
+            x = np.arange(x0, min(x0 + 1024, high))
+            i, j = (m.ravel() for m in np.meshgrid(y, x, indexing="ij"))
+            small, large = np.minimum(i, j), np.maximum(i, j)
+            near = np.flatnonzero(_passes(e, small, large) & (role[j] & 1 > 0))
+            near = near[_before(rows, j[near], i[near])]
+            px, py = j[near], i[near]
+            np.add.at(count, py - first, 1)
+            full = count[y - first] >= limit
+            yield px, py, y[full]
+            y = y[~full]
+            if not len(y):
+                break
+
+
+def _line_numbers(rows: np.ndarray) -> np.ndarray:
+    """Numbers of the lines of entries, in the order of lines."""
+    order = np.lexsort((rows["sig"], rows["line"], rows["doc"], rows["none"]))
+    own = rows[order]
+    changed = np.zeros(len(rows), bool)
+    for c in ("none", "doc", "line", "sig"):
+        changed[1:] |= own[c][1:] != own[c][:-1]
+    out = np.zeros(len(rows), np.int64)
+    out[order] = np.cumsum(changed)
+    return out
+
+
+def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -> DataFrame:
+    """Pairs of an earlier line ``x`` and a later one ``y`` that pass all filters; ``x.line`` is -1 for a ``y`` that had more.
+
+    ``asked`` is a filter table of the later lines of interest.
+    """
 
     def run(group: pa.Table) -> pa.Table:
-        parts = {1: [], 2: []}
+        parts, roles = [], []
         for role, n, data in zip(*(group.column(c).to_pylist() for c in ("role", "n", "entries"))):
-            rows = _unpacked(data, n)
-            for bit in (1, 2):
-                if role & bit:
-                    parts[bit].append(rows)
-        xs, ys = (np.concatenate(p) if p else np.zeros(0, _ENTRY) for p in parts.values())
-        xs, ys = (r[np.lexsort((r["line"], r["doc"], r["none"], r["word"]))] for r in (xs, ys))
-        x, y, more = cell_pairs(xs, ys, limit)
-        earlier = np.concatenate([xs[x], np.zeros(len(more), _ENTRY)])
+            parts.append(_unpacked(data, n)), roles.append(np.full(n, role))
+        rows, role = np.concatenate(parts), np.concatenate(roles)
+        wanted = None
+        if asked is not None:
+            wanted = _among(asked, rows["none"], rows["doc"].copy(), rows["line"], rows["sig"].copy())
+        x, y, more = cell_pairs(rows, role, limit, wanted)
+        earlier = np.concatenate([rows[x], np.zeros(len(more), _ENTRY)])
         earlier["line"][len(x) :] = -1
         columns = {}
-        for side, rows in (("x", earlier), ("y", ys[np.append(x[:0], np.append(y, more))])):
-            columns[f"{side}_none"] = pa.array(rows["none"].astype(bool))
-            columns[f"{side}_doc"], columns[f"{side}_line"] = pa.array(rows["doc"].copy()), pa.array(rows["line"].copy())
-            columns[f"{side}_sig"] = pa.array(rows["sig"].copy().view(np.int64))
-        return pa.table(columns).group_by(list(columns)).aggregate([])
+        for side, own in (("x", earlier), ("y", rows[np.append(y, more)])):
+            columns[f"{side}_none"] = pa.array(own["none"].astype(bool))
+            columns[f"{side}_doc"], columns[f"{side}_line"] = pa.array(own["doc"].copy()), pa.array(own["line"].copy())
+            columns[f"{side}_sig"] = pa.array(own["sig"].copy().view(np.int64))
+        return pa.table(columns)
 
     sides = [", ".join(f"{s}_{k}" for k in ("none boolean", "doc long", "line int", "sig long")) for s in "xy"]
     flat = packed.groupBy("cell", "i", "j").applyInArrow(run, ", ".join(sides))
@@ -341,6 +389,12 @@ def _hash(none: np.ndarray, doc: np.ndarray, line: np.ndarray, sig: np.ndarray)
     return _mixed(doc.view(np.uint64) ^ place, 5) ^ sig
 
 
+def _among(table: np.ndarray, *key: np.ndarray) -> np.ndarray:
+    """Whether lines may be among the keys of a filter table."""
+    there = np.unpackbits(table).astype(bool)
+    return there[(_hash(*key[:3], key[3].view(np.uint64)) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
+
+
 def _line_filter(keys: DataFrame) -> np.ndarray:
     """A table of fixed size that says of most lines that they are not among the keys."""
 
@@ -363,11 +417,10 @@ def _line_words(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFrame:
     wanted = _line_filter(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        there = np.unpackbits(wanted).astype(bool)
         for ids, lines in _parsed(batches, min_words):
             none, doc = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, 0).to_numpy()
             sig = lines.parity()
-            at = np.flatnonzero(there[(_hash(none, doc, lines.number, sig) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+            at = np.flatnonzero(_among(wanted, none, doc, lines.number, sig))
             sets = [lines.tokens[a : a + n].tobytes() for a, n in zip(lines.starts[at].tolist(), lines.sizes[at].tolist())]
             columns = [pa.array(none[at]), pa.array(doc[at]), pa.array(lines.number[at]), pa.array(sig[at].view(np.int64)), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*_KEY, "set"])
@@ -388,27 +441,23 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_()))], ["line_key"])
 
 
-def near_later_lines(docs: DataFrame, entries: int, min_words: int = MIN_WORDS) -> DataFrame:
+def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_words: int = MIN_WORDS) -> DataFrame:
     """``line_key`` of lines with a similar earlier line, but for lines whose set an earlier line has."""
-    counts = word_counts(docs, min_words)
     cells = max(partitions(docs.sparkSession), -(-entries // _CELL_ENTRIES))
-    packed = packed_entries(docs, counts, cells, min_words)
-    limit, pending, matched = LIMIT, None, []
+    packed = stored(packed_entries(docs, counts, cells, min_words), "prefix-entries")
+    limit, pending, asked, matched = LIMIT, None, None, []
     while True:
-        found = candidates(packed, limit).distinct()
+        found = candidates(packed, limit, asked).distinct()
         if pending is not None:
             found = found.join(pending, "y", "left_semi")
         found = stored(found, "candidates")
         pairs = found.where("x.line >= 0")
         earlier = stored(pairs.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "earlier-lines")
-        keys = stored(
-            earlier.select(F.col("x").alias("line_key")).unionByName(pairs.select(F.col("y").alias("line_key"))).distinct(),
-            "candidate-lines",
-        )
+        keys = earlier.select(F.col("x").alias("line_key")).unionByName(pairs.select(F.col("y").alias("line_key"))).distinct()
         words = stored(_line_words(docs, keys, min_words), "line-words")
         known = stored(earlier.join(words.withColumnRenamed("line_key", "x"), "x").select("x", "n", F.col("set").alias("x_set")), "earlier-words")
-        later = pairs.join(words.select(F.col("line_key").alias("y"), F.col("set").alias("y_set")), "y")
-        both = spread_join(later, known, "x", "n").select("y", "y_set", "x_set")
+        later = spread_join(pairs, known, "x", "n").select("y", "x_set")
+        both = later.join(words.select(F.col("line_key").alias("y"), F.col("set").alias("y_set")), "y").select("y", "y_set", "x_set")
         key = "line_key struct<none: boolean, doc: bigint, line: int, sig: bigint>"
         hits = stored(both.mapInArrow(_similar, key).distinct(), "similar-lines")
         matched.append(hits)
@@ -416,6 +465,7 @@ def near_later_lines(docs: DataFrame, entries: int, min_words: int = MIN_WORDS)
         pending = stored(more.join(hits.withColumnRenamed("line_key", "y"), "y", "left_anti"), "pending")
         if pending.isEmpty():
             break
+        asked = _line_filter(pending.withColumnRenamed("y", "line_key"))
         limit *= GROWTH
     out = matched[0]
     for m in matched[1:]:
@@ -425,7 +475,8 @@ def near_later_lines(docs: DataFrame, entries: int, min_words: int = MIN_WORDS)
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``line_key`` of every line with an equal or similar earlier line, from ``doc_id, text``."""
-    lines = stored(line_table(docs, min_words), "lines").withColumn(
+    table, counts = line_table(docs, min_words)
+    lines = table.withColumn(
         "line_key",
         F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "line", "sig"),
     )
@@ -436,7 +487,17 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     a, b = THRESHOLD
     prefix = F.col("size") - F.ceil(F.col("size") * a / b) + 1
     entries = lines.agg(F.sum(prefix)).first()[0] or 0
-    return equal.unionByName(near_later_lines(docs, int(entries), min_words)).distinct()
+    return equal.unionByName(near_later_lines(docs, counts, int(entries), min_words)).distinct()
+
+
+def _per_document(docs: DataFrame, min_words: int) -> tuple[DataFrame, Column]:
+    """The removed lines of each document as an array ``_GONE``, and the condition that joins it."""
+    own = column("doc_id").cast("long")
+    plain = docs.select(own.alias("doc_id"), text_of().alias("text"))
+    gone = removed_lines(plain, min_words).groupBy("line_key.none", "line_key.doc")
+    lists = gone.agg(F.collect_list(F.struct("line_key.line", "line_key.sig")).alias(_GONE))
+    lists = lists.select(F.col("none").alias(_GONE + "none"), F.col("doc").alias(_GONE + "doc"), _GONE)
+    return lists, (own.isNull() == F.col(_GONE + "none")) & (F.coalesce(own, F.lit(0)) == F.col(_GONE + "doc"))
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> DataFrame:
@@ -447,12 +508,7 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True)
     kept. A null text stays null. A null doc_id comes after all others; lines of rows that share a
     doc_id and a line number do not remove each other.
     """
-    own = column("doc_id").cast("long")
-    plain = docs.select(own.alias("doc_id"), text_of().alias("text"))
-    gone = removed_lines(plain, min_words).groupBy("line_key.none", "line_key.doc")
-    lists = gone.agg(F.collect_list(F.struct("line_key.line", "line_key.sig")).alias(_GONE))
-    lists = lists.select(F.col("none").alias(_GONE + "none"), F.col("doc").alias(_GONE + "doc"), _GONE)
-    same = (own.isNull() == F.col(_GONE + "none")) & (F.coalesce(own, F.lit(0)) == F.col(_GONE + "doc"))
+    lists, same = _per_document(docs, min_words)
     kept = [f for f in docs.schema.fields if not counts or f.name not in ("n_lines", "n_removed")]
     place = [f.name for f in kept].index("text")
 

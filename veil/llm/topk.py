@@ -121,7 +121,7 @@ def _integers(lists: pa.ListArray, scale: int, width: int) -> np.ndarray:
 def _block_of(pair: pa.Table, k: int, scale: int) -> pa.Table:
     lists = pair.column("vector").combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    width = max([0, *np.diff(lists.offsets.to_numpy())])
+    width = max([1, *np.diff(lists.offsets.to_numpy())])
     matrix = _integers(lists, scale, width)
     if width and float(np.abs(matrix).max()) ** 2 * width > _EXACT:
         matrix = np.array([[int(x) for x in row] for row in matrix], object).reshape(matrix.shape)
