@@ -26,8 +26,8 @@ from veil.llm.common import column, text_of
 from veil.llm.tokens import gather, slices, tokenizer_path
 
 WORD_BPE = "word_bpe_49k.json"
-REMEMBERED = 1_000_000
-_BATCH_BYTES = 4 << 20
+REMEMBERED = 300_000
+_BATCH_BYTES = 2 << 20
 _END = "</w>"
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
@@ -168,7 +168,7 @@ class PrefixBpe:
         if len(self.places) + len(new) > REMEMBERED:
             self._forget()
             new = set(wanted)
-        if len(self.pairs) > 2 * REMEMBERED:
+        if len(self.pairs) > REMEMBERED:
             self.pairs = {}
         for word in new:
             ids = [word] if isinstance(word, int) else self.word_ids(word.encode() if isinstance(word, str) else word)

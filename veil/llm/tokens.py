@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 # Pieces remembered per Python worker, about 200 bytes each.
-REMEMBERED = 700_000
+REMEMBERED = 500_000
 # Texts are encoded in batches of about this many bytes.
 BATCH_BYTES = 8 << 20
 _BLANK = "Ġ"  # a blank, as byte-level vocabularies spell it
