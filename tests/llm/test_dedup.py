@@ -136,6 +136,12 @@ def test_line_dedup(spark, monkeypatch, seed):
     assert sum(r.n_removed for r in got) == len(gone)
 
 
+def test_later_lines_names_what_line_dedup_removes(spark):
+    rows = [(1, "a b c d e\nx"), (2, None), (3, "A b c d e f\n\ne d c b a"), (None, "a b c d e"), (4, "a b c d e\na b c d e")]
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.removed) for r in line_dedup.later_lines(brute.frame(spark, rows)).collect()}
+    assert got == {1: (2, 0, []), 2: (0, 0, []), 3: (3, 2, [0, 2]), 4: (2, 2, [0, 1]), None: (1, 1, [0])}
+
+
 def _entries(rng, n, words):
     rows = np.zeros(n, line_dedup._ENTRY)
     rows["word"], rows["doc"] = rng.integers(0, words, n), rng.permutation(n)
@@ -178,7 +184,7 @@ def test_frequent_words_are_split_into_cells(spark, monkeypatch):
     _, counts = line_dedup.line_table(docs)
     packed = line_dedup.packed_entries(docs, counts, 2)
     assert packed.where("i > 0").count() > 0
-    found = line_dedup.candidates(packed, 1000).where("x.line >= 0").distinct()
+    found = line_dedup.candidates(packed, 1000).where("x.line >= 0")
     assert found.count() == 40 * 39 // 2
 
 

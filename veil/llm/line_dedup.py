@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -377,11 +378,19 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
             columns[f"{side}_none"] = pa.array(own["none"].astype(bool))
             columns[f"{side}_doc"], columns[f"{side}_line"] = pa.array(own["doc"].copy()), pa.array(own["line"].copy())
             columns[f"{side}_sig"] = pa.array(own["sig"].copy().view(np.int64))
-        return pa.table(columns)
+        bits = np.bitwise_count(earlier["sig"] ^ rows["sig"][np.append(y, more)])
+        return pa.table(columns | {"bits": pa.array(bits.astype(np.int32))})
 
     sides = [", ".join(f"{s}_{k}" for k in ("none boolean", "doc long", "line int", "sig long")) for s in "xy"]
-    flat = packed.groupBy("cell", "i", "j").applyInArrow(run, ", ".join(sides))
-    return flat.select(*[F.struct(*[F.col(f"{s}_{k}").alias(k) for k in _KEY]).alias(s) for s in "xy"])
+    flat = packed.groupBy("cell", "i", "j").applyInArrow(run, ", ".join([*sides, "bits int"]))
+    both = flat.select(*[F.struct(*[F.col(f"{s}_{k}").alias(k) for k in _KEY]).alias(s) for s in "xy"], "bits")
+    # over all cells, the best of a line again; a line has more if any cell says so or a candidate is left over
+    ways = both.groupBy("y", "x").agg(F.min("bits").alias("bits"))
+    best = W.partitionBy("y").orderBy(F.col("x.line") < 0, "bits", "x")
+    ranked = ways.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= limit + 1)
+    left_over = (F.col("x.line") < 0) | (F.col("_n") > limit)
+    none = F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(_KEY, (False, 0, -1, 0), ("boolean", "long", "int", "long"))])
+    return ranked.select(F.when(left_over, none).otherwise(F.col("x")).alias("x"), "y").distinct()
 
 
 def _hash(none: np.ndarray, doc: np.ndarray, line: np.ndarray, sig: np.ndarray) -> np.ndarray:
@@ -405,19 +414,41 @@ def _line_filter(keys: DataFrame) -> np.ndarray:
             bucket = _hash(none, doc, line, sig.view(np.uint64)) >> np.uint64(64 - _FILTER_BITS)
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(bucket).astype(np.int32))], ["bucket"])
 
-    buckets = keys.select("line_key.*").mapInArrow(run, "bucket int").distinct()
+    return _filter_table(keys.select("line_key.*").mapInArrow(run, "bucket int"))
+
+
+def _filter_table(buckets: DataFrame) -> np.ndarray:
     # at most one number for each place of the table
     there = np.zeros(1 << _FILTER_BITS, bool)
-    there[buckets.toPandas()["bucket"].to_numpy(np.int64)] = True
+    there[buckets.distinct().toPandas()["bucket"].to_numpy(np.int64)] = True
     return np.packbits(there)
 
 
+def _document_filter(keys: DataFrame) -> np.ndarray:
+    """The same for the documents of the keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_document_bucket(b.column(0).to_numpy())).astype(np.int32))], ["bucket"])
+
+    return _filter_table(keys.select("line_key.doc").mapInArrow(run, "bucket int"))
+
+
+def _document_bucket(doc: np.ndarray) -> np.ndarray:
+    return (_mixed(doc.view(np.uint64), 6) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+
+
 def _line_words(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFrame:
     """``line_key, set``: the word hashes of the lines among the keys, and of few others."""
-    wanted = _line_filter(keys)
+    wanted, documents = _line_filter(keys), _document_filter(keys)
+
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = np.unpackbits(documents).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(there[_document_bucket(pc.fill_null(batch.column(0), 0).to_numpy())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, lines in _parsed(batches, min_words):
+        for ids, lines in _parsed(few(batches), min_words):
             none, doc = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, 0).to_numpy()
             sig = lines.parity()
             at = np.flatnonzero(_among(wanted, none, doc, lines.number, sig))
@@ -447,13 +478,14 @@ def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_word
     packed = stored(packed_entries(docs, counts, cells, min_words), "prefix-entries")
     limit, pending, asked, matched = LIMIT, None, None, []
     while True:
-        found = candidates(packed, limit, asked).distinct()
+        found = candidates(packed, limit, asked)
         if pending is not None:
             found = found.join(pending, "y", "left_semi")
         found = stored(found, "candidates")
         pairs = found.where("x.line >= 0")
         earlier = stored(pairs.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "earlier-lines")
-        keys = earlier.select(F.col("x").alias("line_key")).unionByName(pairs.select(F.col("y").alias("line_key"))).distinct()
+        both = earlier.select(F.col("x").alias("line_key")).unionByName(pairs.select(F.col("y").alias("line_key")))
+        keys = stored(both.distinct(), "candidate-lines")
         words = stored(_line_words(docs, keys, min_words), "line-words")
         known = stored(earlier.join(words.withColumnRenamed("line_key", "x"), "x").select("x", "n", F.col("set").alias("x_set")), "earlier-words")
         later = spread_join(pairs, known, "x", "n").select("y", "x_set")
@@ -500,6 +532,21 @@ def _per_document(docs: DataFrame, min_words: int) -> tuple[DataFrame, Column]:
     return lists, (own.isNull() == F.col(_GONE + "none")) & (F.coalesce(own, F.lit(0)) == F.col(_GONE + "doc"))
 
 
+def later_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per document: ``doc_id, n_lines, n_removed, removed``, the numbers from 0 of its lines that have an
+    equal or similar earlier line. Texts are not shuffled.
+
+    As :func:`line_dedup`, but rows that share a doc_id share the list of their lines.
+    """
+    lists, same = _per_document(docs, min_words)
+    numbers = lists.withColumn(_GONE, F.array_sort(F.array_distinct(F.col(_GONE + ".line"))))
+    n_lines = F.when(column("text").isNull(), 0).otherwise(F.size(F.split(text_of(), "\n")))
+    rows = docs.select(column("doc_id"), n_lines.alias("n_lines"))
+    removed = F.coalesce(_GONE, F.array().cast("array<int>"))
+    joined = rows.join(numbers, same, "left")
+    return joined.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))
+
+
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> DataFrame:
     """The documents with later similar lines taken out of their ``text``, all columns as before, and with
     ``counts`` also ``n_lines, n_removed``, which replace columns of these names.
