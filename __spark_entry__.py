@@ -7,6 +7,7 @@ DuckDB SQL over views of the same tables. All of them work on whole tables.
 from __future__ import annotations
 
 import datetime
+import hashlib
 import importlib.util
 import uuid
 from collections.abc import Callable
@@ -19,6 +20,7 @@ from veil.functions.digest import salted_digest
 from veil.operators import identity, lookup, persons, rewrite, stats, suppress
 from veil.operators.chains import apply_chain
 from veil.plans import reports, steps
+from veil.plans.runner import run_jobs
 from veil.plans.tables import scratch_folder
 from veil.sources import audit, people, readers, schema, writers
 
@@ -72,11 +74,24 @@ _customer_hash(
     salt_first=True,
     encode="base64",
 )
-_customer_hash("hash_sha512", algorithm="SHA512")
-_customer_hash("hash_sha512_256", algorithm="SHA512", bytes=32)
-_customer_hash("hash_sha3_256", algorithm="SHA3_256")
-_customer_hash("hash_shake128_16", algorithm="SHAKE128", bytes=16)
-_customer_hash("hash_blake2b_16", algorithm="BLAKE2b", bytes=16)
+
+
+def _segment_hash(bits: int) -> None:
+    """SHA-224, 384 and 512, which the SQL side lacks: its digests are those of the five market segments."""
+    known = " ".join(
+        f"WHEN '{s}' THEN '{hashlib.new(f'sha{bits}', (s + SALT).encode()).hexdigest()}'" for s in _SEGMENTS
+    )
+
+    @query(f"SELECT c_custkey, CASE c_mktsegment {known} END AS digest FROM customer", f"hash_sha{bits}")
+    def run(spark, sf):
+        settings = {"fn": "hash", "origin": "{0}", "salt": SALT, "algorithm": f"SHA{bits}"}
+        df = chain(table(spark, sf, "customer"), "c_mktsegment", settings)
+        return df.select("c_custkey", F.col("_x_c_mktsegment_1").alias("digest"))
+
+
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+for _bits in (224, 384, 512):
+    _segment_hash(_bits)
 
 
 @query("SELECT c_custkey, lower(sha256('pepper' || c_name)) AS digest FROM customer")
@@ -744,6 +759,33 @@ def sql_functions(spark, sf):
     )
 
 
+_CALLS = {
+    "joined": ("{#concat}({0}, {$0}, '(x, y)')", "concat_ws('', c_name, seg, '(x, y)')"),
+    "digest": ("{#sha256}('|', {0}, {$0}, '-')", "sha256(concat_ws('|', c_name, seg, '-'))"),
+    "digest2": ("{#sha256_concat}('', {#concat}({$0}, {0}), 'b')", "sha256(concat_ws('', concat_ws('', seg, c_name), 'b'))"),
+    "up": ("{#ceil}({$1}, -2)", "ceil(c_acctbal / 100) * 100"),
+    "down": ("{#floor}({$1}, -3)", "floor(c_acctbal / 1000) * 1000"),
+    "near": ("{#round45}({$1}, -2)", "round(c_acctbal, -2)"),
+    "significant": ("{#rand_round}({$1}, 2, 'int')", "trunc(CASE WHEN c_acctbal = 0 THEN 0 ELSE round(c_acctbal / u) * u END)::INTEGER"),
+    "inside": ("{#rand_range}(3, 8, 'int') BETWEEN 3 AND 8", "true"),
+    "replaced": ("{#replace_string}({0}, '#', '-')", "replace(c_name, '#', '-')"),
+    "low": ("{#lower}({#substring}({0}, 1, 3))", "lower(substr(c_name, 1, 3))"),
+}
+
+
+@query(
+    f"""SELECT c_custkey, {', '.join(f'{sql} AS {name}' for name, (_, sql) in _CALLS.items())}
+        FROM (SELECT *, nullif(c_mktsegment, 'BUILDING') AS seg,
+                     CASE WHEN c_acctbal <> 0 THEN pow(10, floor(log10(abs(c_acctbal))) - 1) END AS u FROM customer)"""
+)
+def chain_calls(spark, sf):
+    """Functions of chain text by their names there, with nulls, nested calls and quoted commas."""
+    df = table(spark, sf, "customer").withColumn("seg", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")))
+    settings = [{"fn": "replace", "else": text} for text, _ in _CALLS.values()]
+    df = chain(df, "c_name", *settings, cols=["seg", "c_acctbal"])
+    return df.select("c_custkey", *[F.col(f"_x_c_name_{i + 1}").alias(n) for i, n in enumerate(_CALLS)])
+
+
 @query(
     """SELECT c_custkey, replace(c_name, '#', '-') AS replaced, substr(c_name, 1, 8) AS head, lower(c_mktsegment) AS low,
               upper(c_name) AS up, regexp_extract(c_name, '([0-9]+)$', 1) AS digits,
@@ -804,10 +846,10 @@ def _fits_sql(column: str) -> str:
 
 
 @query(
-    " UNION ALL ".join(_fits_sql(c) for c in ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    " UNION ALL ".join(_fits_sql(c) for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
 )
 def infer_types(spark, sf):
-    return audit.infer_types(table(spark, sf, "orders").drop("o_custkey"))
+    return audit.infer_types(table(spark, sf, "orders"))
 
 
 # ---------------------------------------------------------------- files
@@ -825,45 +867,132 @@ def csv_round_trip(spark, sf):
 
 
 @query(
-    """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderstatus <> 'O'
-       UNION ALL SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_custkey > 10"""
+    """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderkey > 10
+       UNION ALL SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_custkey > 10
+       UNION ALL SELECT p_partkey, p_size, p_brand FROM part WHERE p_partkey > 10"""
 )
 def union_files(spark, sf):
-    """Two files with their columns in different order, matched by name and filtered on load."""
+    """Files with their columns in three orders, matched by name and filtered on load."""
     folder = scratch(spark, "union")
-    orders = table(spark, sf, "orders").where("o_orderstatus <> 'O'")
+    orders = table(spark, sf, "orders")
     customers = table(spark, sf, "customer").select(
         F.col("c_mktsegment").alias("o_orderpriority"),
         F.col("c_custkey").alias("o_orderkey"),
         F.col("c_nationkey").alias("o_custkey"),
     )
+    parts = table(spark, sf, "part").select(
+        F.col("p_size").alias("o_custkey"), F.col("p_brand").alias("o_orderpriority"), F.col("p_partkey").alias("o_orderkey")
+    )
     writers.write_csv(orders.select("o_orderkey", "o_custkey", "o_orderpriority"), f"{folder}/part1.csv")
     writers.write_csv(customers, f"{folder}/part2.csv")
+    writers.write_csv(parts, f"{folder}/part3.csv")
     storage = {
         "directory": folder,
         "type_cast": {"o_orderkey": "long", "o_custkey": "long"},
-        "filter": "o_orderpriority LIKE '%-%' OR o_orderkey > 10",
+        "filter": "o_orderkey > 10",
     }
     return readers.load_table(spark, storage, "part*.csv")
 
 
-@query(
-    """SELECT count(*) AS row_count, count(CASE WHEN c_nationkey IN (3, 5) THEN 1 END) AS corrupt_count,
-              least(10, count(CASE WHEN c_nationkey IN (3, 5) THEN 1 END)) AS shown FROM customer"""
-)
-def corrupt_audit(spark, sf):
-    """Customers as CSV lines, some short of a field and some with text in a number."""
+_BAD_LINE = """CASE c_nationkey WHEN 3 THEN c_name WHEN 5 THEN 'none,' || c_name || ',' || c_nationkey
+                     ELSE c_custkey || ',' || c_name || ',' || c_nationkey END"""
+
+
+def _audited(spark: SparkSession, sf: str, schema: str | list) -> audit.Audit:
+    """Customers as CSV lines in several files, some short of a field and some with text in a number."""
     folder = scratch(spark, "audit")
+    customers = table(spark, sf, "customer")
     bad = F.when(F.col("c_nationkey") == 3, F.col("c_name")).when(
         F.col("c_nationkey") == 5, F.concat_ws(",", F.lit("none"), "c_name", "c_nationkey")
     )
     line = F.coalesce(bad, F.concat_ws(",", "c_custkey", "c_name", "c_nationkey"))
-    table(spark, sf, "customer").select(line.alias("line")).coalesce(1).write.text(folder)
-    checked = audit.audit_csv(spark, folder, "custkey bigint, name string, nationkey int", header=False)
-    totals = checked.summary().agg(
-        F.sum("row_count").alias("row_count"), F.sum("corrupt_count").alias("corrupt_count")
-    )
-    return totals.withColumn("shown", checked.first_lines().agg(F.count(F.lit(1))).scalar())
+    customers.select((F.col("c_custkey") % 3).alias("part"), line.alias("line")).write.partitionBy("part").text(folder)
+    return audit.audit_csv(spark, f"{folder}/part=*", schema, header=False)
+
+
+@query(
+    f"""SELECT c_custkey % 3 AS part, {_BAD_LINE} AS record, count(*) OVER (PARTITION BY c_custkey % 3) AS corrupt_count
+        FROM customer WHERE c_nationkey IN (3, 5)"""
+)
+def corrupt_audit(spark, sf):
+    """The bad lines themselves, with the number of bad records of their files."""
+    checked = _audited(spark, sf, "custkey bigint, name string, nationkey int")
+    part = F.regexp_extract("_file", "part=([0-9]+)", 1).cast("long").alias("part")
+    counts = checked.summary().groupBy(part).agg(F.sum("corrupt_count").alias("corrupt_count"))
+    bad = checked.rows.where(F.col(audit.CORRUPT).isNotNull()).select(part, F.col(audit.CORRUPT).alias("record"))
+    # one row per part
+    return bad.join(F.broadcast(counts), "part")
+
+
+@query(f"SELECT {_BAD_LINE} AS record FROM customer WHERE c_nationkey = 3")
+def corrupt_audit_all_text(spark, sf):
+    """As text only a record with too few fields is bad."""
+    checked = _audited(spark, sf, [{"name": n, "data_type": "string"} for n in ("custkey", "name", "nationkey")])
+    return checked.rows.where(F.col(audit.CORRUPT).isNotNull()).select(F.col(audit.CORRUPT).alias("record"))
+
+
+@query(
+    """SELECT c_custkey AS custkey, c_name AS name, c_acctbal AS balance, c_nationkey::BIGINT AS nation
+       FROM customer"""
+)
+def schema_builder(spark, sf):
+    """A CSV file read with a schema built from a configuration."""
+    folder = scratch(spark, "schema")
+    columns = {"custkey": "c_custkey", "name": "c_name", "balance": "c_acctbal", "nation": "c_nationkey"}
+    writers.write_csv(rewrite.select_block(table(spark, sf, "customer"), column=columns), f"{folder}/in.csv")
+    types = {"custkey": "long", "name": "string", "balance": "double", "nation": "long"}
+    spec = [{"name": n, "data_type": t} for n, t in types.items()]
+    return readers.load_table(spark, {"directory": folder, "schema": spec}, "in.csv")
+
+
+@query(
+    """SELECT n_nationkey, n_name, CASE n_regionkey WHEN 0 THEN 'south' WHEN 1 THEN 'west' END AS side FROM nation"""
+)
+def local_rows(spark, sf):
+    """Rows given in the program as the table of a lookup."""
+    sides = readers.create_table(spark, [(0, "south"), (1, "west")], columns=["region", "side"])
+    return lookup.lookup(table(spark, sf, "nation"), sides, ["n_regionkey"], ["region"], {"side": "side"}).drop("n_regionkey")
+
+
+@query(
+    """SELECT n_nationkey, r_name AS n_name, n_regionkey FROM nation JOIN region ON n_regionkey = r_regionkey"""
+)
+def lookup_in_place(spark, sf):
+    """A looked-up value takes the place of a column of that name."""
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    return lookup.lookup(nation, region, ["n_regionkey"], ["r_regionkey"], {"n_name": "r_name"})
+
+
+_JOBS_SQL = """SELECT 'org' AS source, c_custkey::VARCHAR AS id, c_name AS name, c_acctbal::VARCHAR AS balance FROM customer
+               UNION ALL SELECT 'data', c_custkey::VARCHAR, sha256(c_name || 'pepper'),
+                                (CASE WHEN c_acctbal > 9000 THEN 9000.0 ELSE c_acctbal END)::VARCHAR FROM customer"""
+
+
+@query(_JOBS_SQL)
+def job_run(spark, sf):
+    """A configured run from CSV ingest to the exported file, both read back."""
+    folder = scratch(spark, "jobs")
+    columns = {"id": "c_custkey", "name": "c_name", "balance": "c_acctbal"}
+    writers.write_csv(rewrite.select_block(table(spark, sf, "customer"), column=columns), f"{folder}/in/people.csv")
+    config = {
+        "catalog": "people",
+        "storage": f"{folder}/out",
+        "step_org": {"in": {"directory": f"{folder}/in", "filename": "people.csv", "type_cast": {"id": "long", "name": "string", "balance": "double"}}},
+        "step_deid": {
+            "column": {
+                "name": {1: {"fn": "hash", "origin": "{0}", "salt": SALT}},
+                "balance": {1: {"fn": "top_bottom_coding", "top": [9000, 9000]}},
+            }
+        },
+        "step_post": {},
+    }
+    wrote = run_jobs(spark, config, "org,pre,deid,post,post_1_file")
+    as_text = [F.col(c).cast("string").alias(c) for c in columns]
+    org = readers.read_parquet(spark, wrote["org"]).select(F.lit("org").alias("source"), *as_text)
+    casts = {"id": "string", "name": "string", "balance": "double"}
+    out, name = wrote["post_1_file"].rsplit("/", 1)
+    data = readers.load_table(spark, {"directory": out, "type_cast": casts}, name)
+    return org.unionByName(data.select(F.lit("data").alias("source"), *as_text))
 
 
 @query("SELECT c_custkey AS custkey, c_name AS name, c_nationkey AS nationkey FROM customer")
@@ -989,17 +1118,20 @@ _SAMPLE_SQL = """
         UNION ALL SELECT 'o_orderpriority', k::INTEGER, o_orderpriority, lower(o_orderpriority) FROM numbered
         UNION ALL SELECT 'o_orderstatus', k::INTEGER, o_orderstatus, NULL FROM numbered
         UNION ALL SELECT 'o_orderdate', k::INTEGER, o_orderdate::VARCHAR, NULL FROM numbered
+        UNION ALL SELECT 'o_totalprice', k::INTEGER, o_totalprice::VARCHAR, NULL FROM numbered
         UNION ALL SELECT 'band', k::INTEGER, NULL, 'b' || o_orderstatus FROM numbered"""
 )
 def sample_before_after(spark, sf):
     before = table(spark, sf, "orders").withColumnRenamed("o_orderkey", "_rn")
     after = before.select("_rn", F.lower("o_orderpriority").alias("o_orderpriority"), F.concat(F.lit("b"), "o_orderstatus").alias("band"))
     groups = [{"filter": "o_orderstatus = 'F'", "count": 4}, {"count": 3}]
-    picked = before.where("o_totalprice > 1000").drop("o_totalprice")
-    return reports.sample_compare(picked, after, groups)
+    return reports.sample_compare(before, after, groups, default_filter="o_totalprice > 1000")
 
 
-_TABLES = {"customer": 5, "orders": 6, "lineitem": 11, "events": 6, "documents": 5}
+_TABLES = {
+    "region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
+    "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4,
+}
 
 
 @query(

@@ -1,4 +1,4 @@
-from veil.functions.digest import DIGEST_BYTES, salted_digest, salted_hash
+from veil.functions.digest import ALGORITHMS, salted_digest, salted_hash
 from veil.functions.scalar import (
     ceil_to,
     concat_present,
@@ -16,7 +16,7 @@ from veil.functions.scalar import (
 from veil.functions.templates import Chain, Step, chain_column
 
 __all__ = [
-    "DIGEST_BYTES",
+    "ALGORITHMS",
     "Chain",
     "Step",
     "ceil_to",

@@ -9,21 +9,22 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Digest sizes in bytes each algorithm allows.
-DIGEST_BYTES = {
-    "SHA224": range(28, 29),
-    "SHA256": range(32, 33),
-    "SHA384": range(48, 49),
-    "SHA512": (28, 32, 64),
-    "SHA3_224": range(28, 29),
-    "SHA3_256": range(32, 33),
-    "SHA3_384": range(48, 49),
-    "SHA3_512": range(64, 65),
-    "SHAKE128": range(1, 33),
-    "SHAKE256": range(1, 65),
-    "BLAKE2s": range(1, 33),
-    "BLAKE2b": range(1, 65),
-}
+# The algorithms and their digest sizes in bytes. SHAKE and BLAKE2 give any size up to theirs.
+SHA2 = {"SHA224": 28, "SHA256": 32, "SHA384": 48, "SHA512": 64}
+SHA3 = {"SHA3_224": 28, "SHA3_256": 32, "SHA3_384": 48, "SHA3_512": 64}
+UP_TO = {"SHAKE128": 32, "SHAKE256": 64, "BLAKE2s": 32, "BLAKE2b": 64}
+# The truncated forms of SHA-512.
+SHA512_T = (28, 32)
+ALGORITHMS = (*SHA2, *SHA3, *UP_TO)
+
+
+def digest_size(algorithm: str, wanted: int | None) -> int:
+    """The wanted size if the algorithm has it, else its largest."""
+    if algorithm in UP_TO:
+        return wanted if wanted and 0 < wanted <= UP_TO[algorithm] else UP_TO[algorithm]
+    if algorithm == "SHA512" and wanted in SHA512_T:
+        return wanted
+    return (SHA2 | SHA3)[algorithm]
 
 
 def salted_hash(
@@ -54,14 +55,13 @@ def salted_digest(
     size: int | None = None,
 ) -> Column:
     """Binary digest of a value and a salt; null stays null."""
-    if algorithm not in DIGEST_BYTES:
-        raise ValueError(f"unknown hash algorithm {algorithm!r}; known: {', '.join(DIGEST_BYTES)}")
-    allowed = DIGEST_BYTES[algorithm]
-    size = size if size in allowed else max(allowed)
+    if algorithm not in ALGORITHMS:
+        raise ValueError(f"unknown hash algorithm {algorithm!r}; known: {', '.join(ALGORITHMS)}")
+    size = digest_size(algorithm, size)
     text = col.cast("string")
     if salt:
         text = F.concat(F.lit(salt), text) if salt_first else F.concat(text, F.lit(salt))
-    if algorithm.startswith("SHA") and algorithm[3:] == str(size * 8):
+    if SHA2.get(algorithm) == size:
         return F.unhex(F.sha2(text, size * 8))
     return _arrow_digest(algorithm, size)(text)
 

@@ -4,7 +4,7 @@ Sub-step ``n`` of column ``c`` writes ``_x_c_n``. In the expression text of a su
 
 * ``{0}`` is the base column, ``{n}`` the result of sub-step n, ``{-k}`` the k-th sub-step before,
 * ``{$i}`` is the i-th auxiliary column of the chain (key ``cols``),
-* ``{#f}`` is the Spark SQL function ``f`` (the name alone works too).
+* ``{#f}(...)`` is the function ``f`` of chain text, see :mod:`veil.functions.calls`, else that of Spark SQL.
 
 What remains is SQL, parsed by Catalyst.
 """
@@ -19,6 +19,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veil.functions.calls import expand_calls
+
 _TOKEN = re.compile(r"\{(?:(?P<sub>-?\d+)|\$(?P<aux>\d+)|#(?P<function>[^{}]+))\}")
 
 
@@ -96,12 +98,12 @@ class Step:
 
         def fill(match: re.Match) -> str:
             if match["function"]:
-                return match["function"]
+                return match[0]
             if match["aux"]:
                 return quoted(self.chain.aux[int(match["aux"])])
             return quoted(self.reference(int(match["sub"])))
 
-        return _TOKEN.sub(fill, str(template))
+        return expand_calls(_TOKEN.sub(fill, str(template)))
 
     def expr(self, value: Any) -> Column:
         """A column from SQL template text; columns and functions of the step pass through."""

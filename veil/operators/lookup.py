@@ -15,7 +15,9 @@ from veil.plans import tables
 from veil.plans.tables import Kept, keep, measure
 
 COUNT = "_traffic"
-_SALT, _SERVED = "_salt", "_served"
+_SALT, _SERVED, _VALUE = "_salt", "_served", "_value_"
+# Rows of a frequent key are dealt into this many parts.
+_SALTS = 256
 # Partial sketches are merged in this many tasks before the last one.
 _SKETCH_GROUPS = 64
 
@@ -52,27 +54,32 @@ def lookup(
     raw = table.df if isinstance(table, Kept) else table
     slim = raw.select(
         *[F.col(quoted(k)).alias(n) for k, n in zip(keys, names)],
-        *[F.col(quoted(v)).alias(new) for new, v in values.items()],
+        *[F.col(quoted(v)).alias(_VALUE + new) for new, v in values.items()],
     )
     if unique and not slim.groupBy(*names).count().where("count > 1").isEmpty():
         raise ValueError("the lookup table repeats keys")
-    columns = [F.col(quoted(c)) for c in df.columns]
+    # a value takes the place of a column that has its name
+    columns = [F.col(quoted(c)) for c in df.columns if c not in values]
+    found = [F.col(quoted(_VALUE + v)).alias(v) for v in values]
 
     if (table if isinstance(table, Kept) else measure(slim)).small:
-        return probe.join(F.broadcast(slim), _equal(own, names), "left").select(*columns, *values)
+        return probe.join(F.broadcast(slim), _equal(own, names), "left").select(*columns, *found)
 
     probe_hash, table_hash = _hashes(probe, own, slim, names)
     hot = _traffic(probe.select(probe_hash.alias("h"))).hot
     if hot:
         entries = keep(_prefixed(slim.where(table_hash.isin(hot)), _SERVED), "hot-entries")
-    if not hot or not entries.small:
-        # nothing to split, or a key repeated so often on both sides that its matches outnumber
-        # either; the latter is left to the skew handling of adaptive execution
-        return probe.join(slim, _equal(own, names), "left").select(*columns, *values)
-
-    # rows of hot keys get a salt that matches nothing, so they spread over the shuffle; it depends
-    # on the task only, so a retried task sends each row to the same place again
-    salt = F.when(probe_hash.isin(hot), F.spark_partition_id() + 1).otherwise(0).cast("long")
+    if not hot:
+        return probe.join(slim, _equal(own, names), "left").select(*columns, *found)
+    salt = F.when(probe_hash.isin(hot), _row_salt(df) + 1).otherwise(0).cast("long")
+    if not entries.small:
+        # a key that is frequent on both sides: its entries go to every salt, its rows to one each
+        every = F.when(table_hash.isin(hot), F.sequence(F.lit(1), F.lit(_SALTS))).otherwise(F.array(F.lit(0)))
+        dealt = slim.select("*", F.explode(every.cast("array<long>")).alias("_copy"))
+        salted = probe.withColumn(_SALT, salt)
+        return salted.join(dealt, _equal(own, names) & (F.col(_SALT) == F.col("_copy")), "left").select(*columns, *found)
+
+    # rows of hot keys get a salt that matches nothing, so they spread over the shuffle
     # always 0, but no constant: a constant would turn the salt from a shuffle key into a filter
     cold = slim.withColumn("_cold", F.pmod(table_hash, F.lit(1).cast("long")))
     joined = (
@@ -83,7 +90,11 @@ def lookup(
         )
     )
     return joined.select(
-        *columns, *[F.when(F.col(_SALT) > 0, F.col(_SERVED + v)).otherwise(F.col(v)).alias(v) for v in values]
+        *columns,
+        *[
+            F.when(F.col(_SALT) > 0, F.col(quoted(_SERVED + _VALUE + v))).otherwise(F.col(quoted(_VALUE + v))).alias(v)
+            for v in values
+        ],
     )
 
 
@@ -146,11 +157,18 @@ def count_in_window(df: DataFrame, by: Sequence[str | Column], out: str, hot: Da
     # at most one row per shuffle partition
     marked = keyed.join(F.broadcast(known), _equal(own, names), "left")
     is_hot = F.col(_SERVED + COUNT).isNotNull()
-    salted = marked.withColumn(_SALT, F.when(is_hot, F.spark_partition_id() + 1).otherwise(0))
+    salted = marked.withColumn(_SALT, F.when(is_hot, _row_salt(df) + 1).otherwise(0))
     counted = F.count(F.lit(1)).over(W.partitionBy(*own, _SALT))
     return salted.select(*columns, F.coalesce(F.col(_SERVED + COUNT), counted).alias(out))
 
 
+def _row_salt(df: DataFrame) -> Column:
+    """A part of ``_SALTS`` for each row, from its values and its task: a retried task repeats it, and the rows of
+    one task spread over all parts."""
+    values = [F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(_SALTS).cast("long"))
+
+
 def _traffic(hashes: DataFrame) -> Traffic:
     """Sketch of a table of key hashes ``h``: merged in two levels, with bounded memory throughout."""
     partitions = _partitions(hashes)

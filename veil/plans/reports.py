@@ -19,7 +19,6 @@ from veil.plans.tables import BROADCAST_BYTES, keep
 IDS = ("_rn", "_jk")
 SHORT_ROWS = 21
 SHORT_ENDS = 10
-MAX_ROWS = 1000
 DOTS = "..."
 
 
@@ -75,12 +74,12 @@ def with_seq(counts: DataFrame, sort_count: bool = True) -> DataFrame:
 
 
 def listing(
-    counts: DataFrame, max_rows: int | None = MAX_ROWS, shorten: bool = False, sort_count: bool = True
+    counts: DataFrame, max_rows: int | None = None, shorten: bool = False, sort_count: bool = True
 ) -> DataFrame:
     """The printed form of frequencies: ``column, position, seq, value, count, ratio``.
 
-    Columns with more than ``max_rows`` values (or 21 with ``shorten``) keep the first and last ten
-    with a ``...`` row between. ``max_rows=None`` without ``shorten`` lists everything.
+    Everything is listed, unless ``max_rows`` or ``shorten`` (21 rows) is given: then columns with more
+    values keep the first and last ten with a ``...`` row between.
     """
     order = _listing_order(sort_count)
     layout = ["column", "position", "seq", "value", "count", "ratio"]
@@ -153,7 +152,7 @@ def distribution_report(
     after: DataFrame | None = None,
     include=None,
     exclude=None,
-    max_rows: int | None = MAX_ROWS,
+    max_rows: int | None = None,
     shorten: bool = False,
     sort_count: bool = True,
     column_info: Iterable[Mapping] | None = None,

@@ -122,12 +122,12 @@ def _post(run: Run) -> str:
 
 def _post_file(run: Run) -> str:
     rows = export_rows(run.table("step_post"), run.rn, bool(run.config.get("data_with_jk")))
-    return run.report(rows, "step_post_1_file", f"data.{run.catalog}.csv")
+    return run.report(rows, "step_post_1_file", f"data.{run.catalog}.csv", single_file=False)
 
 
 def _post_jk(run: Run) -> str:
     links = crosswalk(run.table("step_deid"), run.chains[run.jk], run.rn, run.jk)
-    return run.report(links, "step_post_1_file", f"jk.{run.catalog}.csv")
+    return run.report(links, "step_post_1_file", f"jk.{run.catalog}.csv", single_file=False)
 
 
 def _dist(step: str, table: str) -> Callable[[Run], str]:
@@ -178,8 +178,10 @@ def _count(run: Run) -> str:
     counts = counts.withColumn("filesize", size)
     if run.config.get("step_post"):
         name = f"data.{run.catalog}.csv"
-        data = load_table(run.spark, {"directory": run._folder("step_post_1_file"), "multiLine": True}, name)
-        counts = counts.unionByName(reports.dataset_counts({name: data}, rn=""))
+        data = load_table(run.spark, {"directory": run._folder("step_post_1_file")}, name)
+        # the rows of the table it was written from: a quoted line break makes two lines of one row
+        rows = run.table("step_post").agg(F.count(F.lit(1))).scalar()
+        counts = counts.unionByName(reports.dataset_counts({name: data}, rn="").withColumn("row_count", rows))
     path = f"{run._folder('step_count')}/count.{run.catalog}.json"
     counts.coalesce(1).write.mode("overwrite").json(path)
     return path

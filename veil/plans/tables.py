@@ -54,12 +54,8 @@ def keep(df: DataFrame, label: str) -> Kept:
 
 
 def measure(df: DataFrame) -> Kept:
-    """The rows and bytes of a table, as far as they matter for a broadcast.
-
-    Stops at the number of rows that is too large at any width.
-    """
-    most = BROADCAST_BYTES // (VALUE_OVERHEAD * len(df.columns)) + 1
-    sizes = df.limit(most).agg(F.count(F.lit(1)).alias("rows"), F.sum(_width(df)).alias("bytes")).first()
+    """The rows and bytes of a table, from one aggregate over all of it."""
+    sizes = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_width(df)).alias("bytes")).first()
     return Kept(df, sizes["rows"], sizes["bytes"] or 0)
 
 

@@ -7,9 +7,9 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The syllables names are made of, family name first.
-FAMILY_SYLLABLES = "김 이 박 최 정 강 조 윤 장 임 한 오 서 신 권 황 안 송 전 홍".split()
-GIVEN_SYLLABLES = "영 일 이 삼 사 오 륙 칠 팔 구".split()
+# The syllables names are made of, family name first, one for each digit.
+FAMILY_SYLLABLES = "ban cor del fim gol hur jas kel lom nuv".split()
+GIVEN_SYLLABLES = "a be ci do eu fa gi ho iu la".split()
 # First birthday, genders, income per sequence number.
 FIRST_BIRTHDAY = datetime.date(1945, 8, 15)
 GENDERS = ("F", "M")

@@ -6,14 +6,12 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from veil.operators.rewrite import keep_where
 from veil.sources.schema import cast_columns, make_schema
 
-# Up to this many files matched by a pattern have their headers compared one by one.
-HEADER_FILES = 200
-
 # Settings of a storage entry that are ours, not options of the CSV source.
 _OWN_KEYS = {
     "directory", "filename", "filetype", "files", "filter", "key", "make_1_file", "orderby", "schema",
@@ -86,17 +84,19 @@ def _scan(spark: SparkSession, storage: Mapping[str, Any], name: str) -> DataFra
 
 
 def _read_by_header(spark: SparkSession, pattern: str, storage: Mapping[str, Any]) -> DataFrame:
-    """Files that may order their columns differently: one scan per distinct header."""
-    # lists the files only; their content column is pruned
-    listed = spark.read.format("binaryFile").load(pattern).select("path")
-    paths = sorted(r["path"] for r in listed.limit(HEADER_FILES + 1).collect())
-    if len(paths) > HEADER_FILES:
-        # a single scan that fails, instead of misreading, when a header differs
-        return read_csv(spark, pattern, **storage, enforceSchema=False)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(tuple(read_csv(spark, path, **storage).columns), []).append(path)
-    scans = [read_csv(spark, files, **storage) for files in groups.values()]
+    """Files that may order their columns differently: one scan per distinct header, for any number of files."""
+    options = csv_options(storage)
+    raw = {k: v for k, v in options.items() if k in ("encoding", "charset", "lineSep")}
+    text = spark.read.options(**raw).text(pattern).where("_metadata.file_block_start = 0 AND trim(value) <> ''")
+    if options.get("comment"):
+        text = text.where(~F.col("value").startswith(options["comment"]))
+    # the first line of each file; a task forms it before the shuffle
+    placed = text.select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("line"))
+    first = placed.groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    groups = [r["paths"] for r in first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()]
+    if len(groups) <= 1:
+        return read_csv(spark, pattern, **storage)
+    scans = [read_csv(spark, files, **storage) for files in sorted(groups)]
     df = scans[0]
     for other in scans[1:]:
         df = df.unionByName(other)

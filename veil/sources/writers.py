@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from veil.functions.templates import Chain, quoted
 from veil.sources.readers import _OWN_KEYS
 
-# Up to this many rows a CSV table may be asked for as a single file.
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(str(path))
@@ -28,8 +25,8 @@ def write_csv(
 ) -> None:
     """Write a CSV table. ``order_by`` is a list of ``{column: 'asc' | 'desc'}``.
 
-    The order holds over the part files taken by name. ``single_file`` writes one part when the
-    table is measured to be a small report; a larger one keeps its parts.
+    The order holds over the part files taken by name. ``single_file`` writes one part through one
+    task, whatever the size; ask for it for reports only.
     """
     options = {"header": True, "escape": '"'}
     options |= {k: v for k, v in settings.items() if k not in _OWN_KEYS and k != "mode" and v is not None}
@@ -38,7 +35,7 @@ def write_csv(
         for entry in order_by
         for c, direction in entry.items()
     ]
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
+    if single_file:
         df = df.coalesce(1)
         df = df.sortWithinPartitions(*keys) if keys else df
     elif keys:
