@@ -307,7 +307,8 @@ def cell_pairs(rows: np.ndarray, role: np.ndarray, limit: int, asked: np.ndarray
     pair, once = np.unique(line[y] << 32 | line[x], return_index=True)
     x, y = x[once], y[once]
     bits = np.bitwise_count(e["sig"][x] ^ e["sig"][y])
-    best = np.lexsort((line[x], bits, line[y]))
+    chance = _mixed((line[x] << 32 | line[y]).view(np.uint64), 7)
+    best = np.lexsort((chance, bits, line[y]))
     x, y = x[best], y[best]
     own = line[y]
     starts = np.flatnonzero(np.diff(own, prepend=-1))
@@ -386,7 +387,7 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
     both = flat.select(*[F.struct(*[F.col(f"{s}_{k}").alias(k) for k in _KEY]).alias(s) for s in "xy"], "bits")
     # over all cells, the best of a line again; a line has more if any cell says so or a candidate is left over
     ways = both.groupBy("y", "x").agg(F.min("bits").alias("bits"))
-    best = W.partitionBy("y").orderBy(F.col("x.line") < 0, "bits", "x")
+    best = W.partitionBy("y").orderBy(F.col("x.line") < 0, "bits", F.xxhash64("x", "y"), "x")
     ranked = ways.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= limit + 1)
     left_over = (F.col("x.line") < 0) | (F.col("_n") > limit)
     none = F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(_KEY, (False, 0, -1, 0), ("boolean", "long", "int", "long"))])
@@ -439,7 +440,7 @@ def _document_bucket(doc: np.ndarray) -> np.ndarray:
 
 
 def _line_words(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFrame:
-    """``line_key, set``: the word hashes of the lines among the keys, and of few others."""
+    """``line_key, set``: the word hashes of the lines among the keys, and of few others; rows that repeat a document repeat its lines."""
     wanted, documents = _line_filter(keys), _document_filter(keys)
 
     def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -457,8 +458,21 @@ def _line_words(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*_KEY, "set"])
 
     rows = docs.mapInArrow(run, "none boolean, doc long, line int, sig long, set binary")
-    # rows that repeat a document give their lines once
-    return rows.select(F.struct(*_KEY).alias("line_key"), "set").dropDuplicates(["line_key"])
+    return rows.select(F.struct(*_KEY).alias("line_key"), "set")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
+    """``line_key`` of the later lines of pairs that are similar by their full sets."""
+    asks = pairs.select(F.col("x").alias("line_key"), "x", "y", F.lit(True).alias("early")).unionByName(
+        pairs.select(F.col("y").alias("line_key"), "x", "y", F.lit(False).alias("early"))
+    )
+    words = _line_words(docs, stored(asks.select("line_key").distinct(), "candidate-lines"), min_words)
+    # of equally near candidates each line has taken one by chance, so no line is asked for by a great share of all
+    both = asks.join(words, "line_key").groupBy("x", "y").agg(
+        F.max(F.when(F.col("early"), F.col("set"))).alias("x_set"), F.max(F.when(~F.col("early"), F.col("set"))).alias("y_set")
+    )
+    key = "line_key struct<none: boolean, doc: bigint, line: int, sig: bigint>"
+    return both.select("y", "x_set", "y_set").mapInArrow(_similar, key).distinct()
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -483,15 +497,7 @@ def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_word
             found = found.join(pending, "y", "left_semi")
         found = stored(found, "candidates")
         pairs = found.where("x.line >= 0")
-        earlier = stored(pairs.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "earlier-lines")
-        both = earlier.select(F.col("x").alias("line_key")).unionByName(pairs.select(F.col("y").alias("line_key")))
-        keys = stored(both.distinct(), "candidate-lines")
-        words = stored(_line_words(docs, keys, min_words), "line-words")
-        known = stored(earlier.join(words.withColumnRenamed("line_key", "x"), "x").select("x", "n", F.col("set").alias("x_set")), "earlier-words")
-        later = spread_join(pairs, known, "x", "n").select("y", "x_set")
-        both = later.join(words.select(F.col("line_key").alias("y"), F.col("set").alias("y_set")), "y").select("y", "y_set", "x_set")
-        key = "line_key struct<none: boolean, doc: bigint, line: int, sig: bigint>"
-        hits = stored(both.mapInArrow(_similar, key).distinct(), "similar-lines")
+        hits = stored(_verified(docs, pairs, min_words), "similar-lines")
         matched.append(hits)
         more = found.where("x.line < 0").select("y").distinct()
         pending = stored(more.join(hits.withColumnRenamed("line_key", "y"), "y", "left_anti"), "pending")
