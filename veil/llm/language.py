@@ -200,8 +200,8 @@ class Predictor:
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
         starts, length = offsets[:-1][owner] + nth * WINDOW, np.minimum(WINDOW, sizes[owner] - nth * WINDOW)
         total = np.zeros((len(texts), len(net.langs)))
-        for at in range(0, len(owner), 4096):
-            part = slice(at, at + 4096)
+        for at in range(0, len(owner), 1024):
+            part = slice(at, at + 1024)
             p = softmax(features(self.tables, net.bias, windows_of(data, starts[part], length[part])) @ net.out + net.out_bias)
             np.add.at(total, owner[part], p * length[part, None])
         best = total.argmax(axis=1)

@@ -36,11 +36,11 @@ THRESHOLD = (4, 5)
 MIN_WORDS = 5
 LIMIT, GROWTH = 1, 32
 _COUNT_BITS = 20
-_CELL_ENTRIES = 2_000_000
+_CELL_ENTRIES = 250_000
 _CHUNK_LINES = 1 << 16
 _PAIRED = 256  # groups up to this size are paired by shifting the sorted entries
-_FLUSH = 1_000_000
-_PART_BYTES = 8 << 20
+_FLUSH = 250_000
+_PART_BYTES = 3 << 20
 _SEED = 11
 _KEY = ["none", "doc", "line", "sig"]
 _FILTER_BITS = 22
@@ -461,6 +461,33 @@ def _line_words(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFrame:
     return rows.select(F.struct(*_KEY).alias("line_key"), "set")
 
 
+def _narrowed(packed: DataFrame, asked: np.ndarray) -> DataFrame:
+    """The entries of words that lines of a filter table have; the others can be no candidates of theirs."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, data in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
+                rows = _unpacked(data, n)
+                own = _among(asked, rows["none"], rows["doc"].copy(), rows["line"], rows["sig"].copy())
+                bucket = np.unique(rows["word"][own] >> np.uint32(32 - _FILTER_BITS))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32))], ["bucket"])
+
+    table = _filter_table(packed.mapInArrow(words, "bucket int"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = np.unpackbits(table).astype(bool)
+        for batch in batches:
+            rows = []
+            for *place, n, data in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                own = _unpacked(data, n)
+                own = own[there[own["word"] >> np.uint32(32 - _FILTER_BITS)]]
+                if len(own):
+                    rows.append((*place, own))
+            yield from _batches(iter(rows))
+
+    return packed.mapInArrow(keep, packed.schema)
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
     """``line_key`` of the later lines of pairs that are similar by their full sets."""
     asks = pairs.select(F.col("x").alias("line_key"), "x", "y", F.lit(True).alias("early")).unionByName(
@@ -504,6 +531,7 @@ def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_word
         if pending.isEmpty():
             break
         asked = _line_filter(pending.withColumnRenamed("y", "line_key"))
+        packed = stored(_narrowed(packed, asked), "prefix-entries")
         limit *= GROWTH
     out = matched[0]
     for m in matched[1:]:
