@@ -104,3 +104,55 @@ def test_moments(spark):
     assert row["stddev"] == pytest.approx(np.sqrt((x**2).sum() / 3))
     assert row["skewness"] == pytest.approx((x**3).mean() / (x**2).mean() ** 1.5)
     assert row["kurtosis"] == pytest.approx((x**4).mean() / (x**2).mean() ** 2 - 3)
+
+
+def test_quantiles_keep_the_type_of_the_values(spark):
+    base = 2**53
+    df = spark.range(1, 2000).select((F.col("id") * 2 + base + 1).alias("a"), (F.col("id") / F.lit(8)).cast("decimal(30,3)").alias("d"))
+    got = found(stats.quantiles(df.select("a"), ["a"], POINTS))
+    assert [got[("a", p)] for p in POINTS] == [exact([2 * i + base + 1 for i in range(1, 2000)], p) for p in POINTS]
+    values = sorted(r["d"] for r in df.select("d").collect())
+    got = found(stats.quantiles(df.select("d"), ["d"], POINTS))
+    assert [got[("d", p)] for p in POINTS] == [exact(values, p) for p in POINTS]
+    of_a = stats.moments(df, ["a", "d"]).where("column = 'a'").first()
+    assert of_a["min"] == base + 3 and of_a["max"] == 2 * 1999 + base + 1
+
+
+@pytest.mark.parametrize("margin", [0.0, -0.2])
+def test_brackets_that_miss_are_widened(spark, monkeypatch, margin):
+    from veil.operators import ranks
+
+    monkeypatch.setattr(ranks, "overview", lambda df, c, p, m=margin, f=ranks.overview: f(df, c, p, m))
+    monkeypatch.setattr(ranks, "SKETCH_SIZE", 16)
+    df = spark.range(5000).select((F.hash("id") % 3000).alias("a"), F.rand(1).alias("b"))
+    got = found(stats.quantiles(df, ["a", "b"], POINTS))
+    for c in ("a", "b"):
+        data = [r[0] for r in df.select(c).collect()]
+        assert [got[(c, p)] for p in POINTS] == [exact(data, p) for p in POINTS]
+
+
+def test_many_values_in_brackets_are_ranked_in_slices(spark, monkeypatch):
+    from veil.operators import ranks
+
+    monkeypatch.setattr(ranks, "_IN_WINDOWS", 10)
+    df = spark.range(3000).select((F.hash("id") % 3000).alias("a"))
+    data = [r[0] for r in df.collect()]
+    got = found(stats.quantiles(df, ["a"], POINTS))
+    assert [got[("a", p)] for p in POINTS] == [exact(data, p) for p in POINTS]
+
+
+def test_not_a_number_is_the_largest(spark):
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, float("nan"), float("nan"), float("inf")]], "a double")
+    got = found(stats.quantiles(df, ["a"], [0.5, 1.0]))
+    assert got[("a", 0.5)] == 3.0 and math.isnan(got[("a", 1.0)])
+
+
+def test_quantiles_shuffle_only_what_brackets_hold(spark):
+    """Two scans, and few values in the exchange."""
+    from veil.operators import ranks
+
+    df = spark.range(200_000).select(F.rand(5).alias("a"))
+    known = ranks.overview(df, ["a"], [0.25, 0.5])
+    counted = ranks._counted(df, ["a"], ranks.common_type(df, ["a"]), {0: ranks._merged(known["a"].brackets.values())})
+    assert counted.count() < 0.03 * 200_000
+    assert counted.agg(F.sum(ranks.COPIES)).first()[0] == 200_000

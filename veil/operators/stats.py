@@ -1,26 +1,23 @@
 """Statistics of numeric columns: moments, quantiles, outlier bounds and the values next to them.
 
-All columns are handled together in long form, so one pass serves every column.
-Exact quantiles come from a range-partitioned table of distinct values, never from one task that
-holds all of them; ``accuracy`` asks for the mergeable sketch instead.
+All columns are handled together, so one pass serves every column. Whole numbers and decimals keep
+their type; only means, deviations and bounds are doubles. Exact quantiles need two scans and never one
+task that holds all values; ``accuracy`` asks for the mergeable sketch instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DataType, DoubleType, LongType, NumericType, StringType, StructField, StructType
 
 from veil.functions.longform import COLUMN, VALUE, long_form, with_names
 from veil.functions.templates import as_list, quoted
-from veil.operators.identity import SLICE, ordered_slices, running_offsets
-from veil.plans.tables import keep
+from veil.operators.ranks import Overview, common_type, exact_quantiles, overview
 
-COPIES = "_copies"
+# The points and the column names of the profile report.
 PROFILE_QUANTILES = (0.01, 0.25, 0.5, 0.75, 0.99)
 QUARTILES = (0.25, 0.75)
 BOUND_RULES = ("3sigma", "1.5iqr")
@@ -33,71 +30,8 @@ def numeric_columns(df: DataFrame, columns: Iterable[str]) -> list[str]:
 
 
 def long_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The non-null values of numeric columns as double, with the column's place."""
-    return long_form(df, columns, "double").where(F.col(VALUE).isNotNull())
-
-
-@dataclass(frozen=True)
-class ValueTable:
-    """Distinct values with their copies in range partitions, and a summary of each partition."""
-
-    values: DataFrame
-    slices: DataFrame
-
-    @classmethod
-    def of(cls, df: DataFrame, columns: Sequence[str]) -> ValueTable:
-        distinct = long_numbers(df, columns).groupBy(COLUMN, VALUE).agg(F.count(F.lit(1)).alias(COPIES))
-        values = ordered_slices(distinct, COLUMN, VALUE, label="values").df
-        per_slice = values.groupBy(COLUMN, SLICE).agg(
-            F.sum(COPIES).alias("_size"),
-            F.min(VALUE).alias("_least"),
-            F.max(VALUE).alias("_most"),
-            F.sum(F.col(VALUE) * F.col(COPIES)).alias("_sum"),
-        )
-        return cls(values, keep(per_slice, "value-summary").df)
-
-    def quantiles(self, points: Sequence[float]) -> DataFrame:
-        """Exact quantiles ``(column, point, value)``; only the slices that hold a wanted rank are read."""
-        totals = self.slices.groupBy(COLUMN).agg(F.sum("_size").alias("_total"))
-        rank = F.greatest(F.lit(1), F.ceil(F.col("point") * F.col("_total")))
-        targets = (
-            running_offsets(self.slices, "_size", COLUMN)
-            .join(totals, COLUMN)
-            .withColumn("point", F.explode(F.array(*[F.lit(float(p)) for p in points])))
-            .withColumn("_rank", rank - F.col("_before"))
-            .where("_rank > 0 AND _rank <= _size")
-            .select(COLUMN, SLICE, "point", "_rank")
-        )
-        # one row per column and point; their slices become a filter on the files read
-        rows = targets.collect()
-        wanted = sorted({r[SLICE] for r in rows})
-        found = targets.sparkSession.createDataFrame(rows, targets.schema)
-        inside = W.partitionBy(COLUMN, SLICE, "point").orderBy(VALUE)
-        return (
-            self.values.where(F.col(SLICE).isin(wanted))
-            .join(F.broadcast(found), [COLUMN, SLICE])
-            .withColumn("_upto", F.sum(COPIES).over(inside.rowsBetween(W.unboundedPreceding, 0)))
-            .where(F.col("_rank").between(F.col("_upto") - F.col(COPIES) + 1, F.col("_upto")))
-            .select(COLUMN, "point", VALUE)
-        )
-
-    def summary(self) -> DataFrame:
-        """Count, extremes, mean and sample deviation per column."""
-        first = self.slices.groupBy(COLUMN).agg(
-            F.sum("_size").alias("not_null"),
-            F.min("_least").alias("min"),
-            F.max("_most").alias("max"),
-            (F.sum("_sum") / F.sum("_size")).alias("_mean"),
-        )
-        squares = F.sum(F.col(COPIES) * F.pow(F.col(VALUE) - F.col("_mean"), 2))
-        # one row per column
-        second = (
-            self.values.join(F.broadcast(first.select(COLUMN, "_mean")), COLUMN)
-            .groupBy(COLUMN)
-            .agg(squares.alias("_squares"))
-        )
-        deviation = F.when(F.col("not_null") > 1, F.sqrt(F.col("_squares") / (F.col("not_null") - 1)))
-        return first.join(second, COLUMN).withColumn("_sd", deviation).drop("_squares")
+    """The non-null values of numeric columns in their common type, with the column's place."""
+    return long_form(df, columns, common_type(df, columns).simpleString()).where(F.col(VALUE).isNotNull())
 
 
 def quantiles(
@@ -105,7 +39,7 @@ def quantiles(
 ) -> DataFrame:
     """Quantiles as ``(column, point, value)``: the smallest value whose share of rows reaches the point."""
     if accuracy is None:
-        return with_names(ValueTable.of(df, columns).quantiles(points), columns)
+        return with_names(exact_quantiles(df, columns, points), columns)
     sketch = F.percentile_approx(VALUE, list(points), accuracy)
     found = (
         long_numbers(df, columns)
@@ -119,6 +53,7 @@ def quantiles(
 def moments(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
     """Count, extremes, mean, median and higher moments, one row per numeric column."""
     names = numeric_columns(df, columns)
+    number = F.col(VALUE).cast("double")
     found = (
         long_numbers(df, names)
         .groupBy(COLUMN)
@@ -127,11 +62,11 @@ def moments(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> Dat
             F.min(VALUE).alias("min"),
             F.max(VALUE).alias("max"),
             F.array(F.min(VALUE), F.max(VALUE)).alias("min_max"),
-            F.avg(VALUE).alias("avg"),
+            F.avg(number).alias("avg"),
             F.percentile_approx(VALUE, 0.5, accuracy).alias("median"),
-            F.stddev_samp(VALUE).alias("stddev"),
-            F.skewness(VALUE).alias("skewness"),
-            F.kurtosis(VALUE).alias("kurtosis"),
+            F.stddev_samp(number).alias("stddev"),
+            F.skewness(number).alias("skewness"),
+            F.kurtosis(number).alias("kurtosis"),
         )
     )
     return with_names(found, names)
@@ -149,8 +84,8 @@ def iqr_range(df: DataFrame, column: str, accuracy: int | None = None) -> DataFr
     if isinstance(df.schema[column].dataType, StringType):
         raise ValueError(f"interquartile range of string column {column!r}")
     if accuracy is None:
-        found = ValueTable.of(df, [column]).quantiles(QUARTILES)
-        q1, q3 = [F.max(F.when(F.col("point") == p, F.col(VALUE))) for p in QUARTILES]
+        found = exact_quantiles(df, [column], QUARTILES)
+        q1, q3 = [F.max(F.when(F.col("point") == p, F.col(VALUE).cast("double"))) for p in QUARTILES]
         quartiles = found.agg(q1.alias("q1"), q3.alias("q3"))
     else:
         pair = F.percentile_approx(F.col(quoted(column)).cast("double"), list(QUARTILES), accuracy)
@@ -174,12 +109,13 @@ def nearest_values(df: DataFrame, column: str, bounds: DataFrame, lower="right",
     """
     c = F.col(quoted(column))
     b = bounds.select(F.struct("low", "up")).scalar()
+    number, none = c.cast("double"), F.lit(None).cast(df.schema[column].dataType)
     aggregates = {}
     for side, wanted in (("low", lower), ("up", upper)):
-        aggregates[f"{side}_left"] = F.max(F.when(c <= b[side], c)) if _asks(wanted, "left") else _no_value()
-        aggregates[side] = F.max(b[side]) if wanted else _no_value()
-        aggregates[f"{side}_right"] = F.min(F.when(c >= b[side], c)) if _asks(wanted, "right") else _no_value()
-    return df.agg(*[a.cast("double").alias(n) for n, a in aggregates.items()])
+        aggregates[f"{side}_left"] = F.max(F.when(number <= b[side], c)) if _asks(wanted, "left") else none
+        aggregates[side] = F.max(b[side]).cast("double") if wanted else _no_value()
+        aggregates[f"{side}_right"] = F.min(F.when(number >= b[side], c)) if _asks(wanted, "right") else none
+    return df.agg(*[a.alias(n) for n, a in aggregates.items()])
 
 
 def numeric_profile(
@@ -192,8 +128,9 @@ def numeric_profile(
 ) -> DataFrame:
     """One row per numeric column: count, extremes, percentiles, and both outlier rules.
 
-    The data is read once into a table of distinct values, from which everything else follows;
-    with ``accuracy`` it is read twice, with sketches in place of that table.
+    Values come in the common type of the columns, bounds as double. The data is read three times: for the
+    overview, for the values near the percentiles, and for the neighbours of the bounds. With
+    ``accuracy`` a sketch gives the percentiles, and the second reading is saved.
     """
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -201,57 +138,65 @@ def numeric_profile(
     names = numeric_columns(df, columns)
     if not names:
         raise ValueError("none of the columns is numeric")
+    kind = common_type(df, names)
+    known = overview(df, names, PROFILE_QUANTILES)
     if accuracy is None:
-        distinct = ValueTable.of(df, names)
-        values = distinct.values
-        wide = distinct.quantiles(PROFILE_QUANTILES).groupBy(COLUMN).agg(
-            *[F.max(F.when(F.col("point") == p, F.col(VALUE))).alias(_percent(p)) for p in PROFILE_QUANTILES]
-        )
-        summary = distinct.summary().join(wide, COLUMN)
+        found = exact_quantiles(df, names, PROFILE_QUANTILES, known)
     else:
-        values = long_numbers(df, names)
-        q = F.percentile_approx(VALUE, list(PROFILE_QUANTILES), accuracy)
-        summary = (
-            values.groupBy(COLUMN)
-            .agg(
-                F.count(VALUE).alias("not_null"),
-                F.min(VALUE).alias("min"),
-                F.max(VALUE).alias("max"),
-                F.avg(VALUE).alias("_mean"),
-                F.stddev_samp(VALUE).alias("_sd"),
-                q.alias("_q"),
-            )
-            .withColumns({_percent(p): F.col("_q")[i] for i, p in enumerate(PROFILE_QUANTILES)})
-        )
-    q1, q3 = F.col("`25%`"), F.col("`75%`")
-    bounds = {
-        "low(3sigma)": F.col("_mean") - F.col("_sd") * z if lower else _no_value(),
-        "up(3sigma)": F.col("_mean") + F.col("_sd") * z if upper else _no_value(),
-        "low(1.5iqr)": q1 - (q3 - q1) * 1.5 if lower else _no_value(),
-        "up(1.5iqr)": q3 + (q3 - q1) * 1.5 if upper else _no_value(),
-    }
-    # one row per profiled column; kept, since the neighbours and the report both need it
-    summary = keep(summary.withColumns(bounds), "profile").df
-    limits = F.broadcast(summary.select(COLUMN, *map(quoted, bounds)))
-    neighbours = []
-    for name in bounds:
-        wanted, bound = (lower if name.startswith("low") else upper), F.col(quoted(name))
-        left = F.max(F.when(F.col(VALUE) <= bound, F.col(VALUE))) if _asks(wanted, "left") else _no_value()
-        right = F.min(F.when(F.col(VALUE) >= bound, F.col(VALUE))) if _asks(wanted, "right") else _no_value()
-        neighbours += [left.alias(f"{name}_left"), right.alias(f"{name}_right")]
-    nearby = values.join(limits, COLUMN).groupBy(COLUMN).agg(*neighbours)
-
-    every = df.sparkSession.createDataFrame([(i,) for i in range(len(names))], f"{COLUMN} int")
-    layout = ["min", "max", *map(_percent, PROFILE_QUANTILES)]
+        sketch = F.percentile_approx(VALUE, list(PROFILE_QUANTILES), accuracy)
+        points = F.array(*map(F.lit, PROFILE_QUANTILES)).alias("point")
+        rows = long_numbers(df, names).groupBy(COLUMN).agg(F.arrays_zip(points, sketch.alias(VALUE)).alias("found"))
+        found = rows.select(COLUMN, F.inline("found"))
+    # one row per column and point
+    percentiles = {(r[COLUMN], r["point"]): r[VALUE] for r in found.collect()}
+    lines = []
+    for i, name in enumerate(names):
+        own = known[name]
+        q = [percentiles.get((i, p)) for p in PROFILE_QUANTILES]
+        bounds = _bounds(own, q[1], q[3], z)
+        for side, wanted in (("low", lower), ("up", upper)):
+            bounds |= {f"{side}({rule})": None for rule in BOUND_RULES if not wanted}
+        lines.append([name, own.not_null, own.least, own.most, *q, bounds])
+    nearby = df.agg(*[a for i, line in enumerate(lines) for a in _neighbours(i, names[i], kind, line[-1], lower, upper)]).first()
+    layout = [("min", kind), ("max", kind), *((_percent(p), kind) for p in PROFILE_QUANTILES)]
     for rule in BOUND_RULES:
         for side in ("low", "up"):
-            layout += [f"{side}({rule})_left", f"{side}({rule})", f"{side}({rule})_right"]
-    report = every.join(summary, COLUMN, "left").join(nearby, COLUMN, "left").orderBy(COLUMN)
-    return with_names(report, names).select(
-        COLUMN,
-        F.coalesce("not_null", F.lit(0)).cast("long").alias("not_null"),
-        *[F.col(quoted(n)) for n in layout],
-    )
+            layout += [(f"{side}({rule})_left", kind), (f"{side}({rule})", DoubleType()), (f"{side}({rule})_right", kind)]
+    rows = []
+    for i, (*head, bounds) in enumerate(lines):
+        ends = []
+        for rule in BOUND_RULES:
+            for side in ("low", "up"):
+                name = f"{side}({rule})"
+                ends += [nearby[f"{i}{name}_left"], bounds[name], nearby[f"{i}{name}_right"]]
+        rows.append((*head, *ends))
+    fields = [StructField(COLUMN, StringType()), StructField("not_null", LongType())]
+    return df.sparkSession.createDataFrame(rows, StructType([*fields, *[StructField(n, t) for n, t in layout]]))
+
+
+def _bounds(own: Overview, q1, q3, z: float) -> dict[str, float | None]:
+    """The bounds of both rules; a column of one value has no deviation."""
+    sigma = None if own.deviation is None else z * own.deviation
+    fence = None if q1 is None else 1.5 * (float(q3) - float(q1))
+    return {
+        "low(3sigma)": None if sigma is None else own.mean - sigma,
+        "up(3sigma)": None if sigma is None else own.mean + sigma,
+        "low(1.5iqr)": None if fence is None else float(q1) - fence,
+        "up(1.5iqr)": None if fence is None else float(q3) + fence,
+    }
+
+
+def _neighbours(i: int, column: str, kind: DataType, bounds: dict[str, float | None], lower, upper) -> list[Column]:
+    value, number, none = F.col(quoted(column)).cast(kind), F.col(quoted(column)).cast("double"), F.lit(None).cast(kind)
+    out = []
+    for name, bound in bounds.items():
+        wanted = lower if name.startswith("low") else upper
+        left = right = none
+        if bound is not None:
+            left = F.max(F.when(number <= F.lit(bound), value)) if _asks(wanted, "left") else none
+            right = F.min(F.when(number >= F.lit(bound), value)) if _asks(wanted, "right") else none
+        out += [left.alias(f"{i}{name}_left"), right.alias(f"{i}{name}_right")]
+    return out
 
 
 def _percent(point: float) -> str:
