@@ -75,9 +75,8 @@ def test_hot_rows_spread_over_the_shuffle(no_broadcast, no_coalescing, facts, en
 
 def test_traffic_finds_hot_keys_only(facts):
     found = module._traffic(facts.select(F.xxhash64("k").alias("h")))
-    assert found.hot == [facts.where("k = 7").select(F.xxhash64("k")).first()[0]]
-    assert 600 < found.groups < 800
-    assert module._traffic(facts.where("id < 0").select(F.xxhash64("k").alias("h"))) == module.Traffic(0, [])
+    assert found == [facts.where("k = 7").select(F.xxhash64("k")).first()[0]]
+    assert module._traffic(facts.where("id < 0").select(F.xxhash64("k").alias("h"))) == []
 
 
 def test_hot_groups_of_counts(spark, facts):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,15 +21,6 @@ _SALTS = 256
 _SKETCH_GROUPS = 64
 
 
-@dataclass(frozen=True)
-class Traffic:
-    """An estimate of how rows spread over keys. It picks a plan; every plan gives exact results."""
-
-    groups: int
-    hot: list[int]
-    """Hashes of the keys that hold more rows than the fair share of a shuffle partition."""
-
-
 def lookup(
     df: DataFrame,
     table: DataFrame | Kept,
@@ -66,7 +56,7 @@ def lookup(
         return probe.join(F.broadcast(slim), _equal(own, names), "left").select(*columns, *found)
 
     probe_hash, table_hash = _hashes(probe, own, slim, names)
-    hot = _traffic(probe.select(probe_hash.alias("h"))).hot
+    hot = _traffic(probe.select(probe_hash.alias("h")))
     if hot:
         entries = keep(_prefixed(slim.where(table_hash.isin(hot)), _SERVED), "hot-entries")
     if not hot:
@@ -131,13 +121,15 @@ def attach_group_count(
     source = df if source is None else source
     keyed, own = _with_keys(source, by)
     own_hash = F.xxhash64(*own)
-    traffic = _traffic(keyed.select(own_hash.alias("h")))
-    if not same_rows or traffic.groups * tables.VALUE_OVERHEAD * (len(own) + 1) <= tables.BROADCAST_BYTES:
+    # a count of distinct hashes is far cheaper than the sketch of frequent ones, which few groups do not need
+    groups = keyed.agg(F.approx_count_distinct(own_hash)).first()[0] if same_rows else 0
+    if groups * tables.VALUE_OVERHEAD * (len(own) + 1) <= tables.BROADCAST_BYTES:
         counts = keep(group_counts(source, by), "group-counts")
         if counts.small or not same_rows:
             counted = lookup(df, counts, by, [f"_k{i}" for i in range(len(own))], {out: COUNT})
             return _null_without_key(counted, by, out) if null_keys == "null" else counted
-    hot = keep(group_counts(keyed.where(own_hash.isin(traffic.hot)), own), "hot-groups").df if traffic.hot else None
+    frequent = _traffic(keyed.select(own_hash.alias("h")))
+    hot = keep(group_counts(keyed.where(own_hash.isin(frequent)), own), "hot-groups").df if frequent else None
     counted = count_in_window(df, by, out, hot)
     return _null_without_key(counted, by, out) if null_keys == "null" else counted
 
@@ -169,24 +161,25 @@ def _row_salt(df: DataFrame) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(_SALTS).cast("long"))
 
 
-def _traffic(hashes: DataFrame) -> Traffic:
-    """Sketch of a table of key hashes ``h``: merged in two levels, with bounded memory throughout."""
+def _traffic(hashes: DataFrame) -> list[int]:
+    """The hashes ``h`` that hold more rows than the fair share of a shuffle partition, by a sketch.
+
+    It is merged in two levels, with bounded memory throughout. It picks a plan; every plan is exact.
+    """
     partitions = _partitions(hashes)
     tracked = min(max(4096, 8 * partitions), 65536)
     sketches = hashes.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g")).agg(
         F.count(F.lit(1)).alias("n"),
         F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("items"),
-        F.expr("hll_sketch_agg(h)").alias("distinct"),
     )
     # grouped, since sketches of no rows cannot be combined
     row = sketches.groupBy(F.lit(0).alias("all")).agg(
         F.sum("n").alias("n"),
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(items, {tracked}), {min(partitions, tracked)})").alias("top"),
-        F.expr("hll_sketch_estimate(hll_union_agg(distinct))").alias("groups"),
     ).first()
     if row is None:
-        return Traffic(0, [])
-    return Traffic(row["groups"], [t["item"] for t in row["top"] if t["count"] * partitions > row["n"]])
+        return []
+    return [t["item"] for t in row["top"] if t["count"] * partitions > row["n"]]
 
 
 def _hashes(left: DataFrame, own: Sequence[str], right: DataFrame, names: Sequence[str]) -> tuple[Column, Column]:
