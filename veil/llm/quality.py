@@ -189,18 +189,17 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
         for batch in batches:
             if batch.num_rows:
                 content, metadata = _views(batch, 2)
-                columns = [batch.column(0).cast(pa.int64()), batch.column(1), *(pa.array(list(v)) for v in (content, metadata))]
+                packed = [pa.array([row.tobytes() for row in v], pa.binary()) for v in (content, metadata)]
+                columns = [batch.column(0).cast(pa.int64()), batch.column(1), *packed]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "content", "metadata"])
 
-    found = rows.mapInArrow(describe, "doc_id long, label int, content array<float>, metadata array<float>").toPandas()
+    found = rows.mapInArrow(describe, "doc_id long, label int, content binary, metadata binary").toPandas()
     if found.empty:
         return CoTrained(None, None, 0.5)
-    for view in ("content", "metadata"):
-        found[view] = [np.asarray(v, np.float64) for v in found[view]]
-    found["key"] = [v.tobytes() for v in found["content"]]
-    found = found.sort_values(["doc_id", "key"])
+    found = found.sort_values(["doc_id", "content"])
+    views = [np.frombuffer(b"".join(found[v]), np.float32).reshape(len(found), -1) for v in ("content", "metadata")]
     kept_out = np.array([zlib.crc32(str(d).encode()) % 4 == 0 for d in found["doc_id"]])
-    return co_train(np.stack(found["content"]), np.stack(found["metadata"]), found["label"].to_numpy(), kept_out)
+    return co_train(*views, found["label"].to_numpy(), kept_out)
 
 
 def score_quality(docs: DataFrame, model: CoTrained) -> DataFrame:
