@@ -24,7 +24,7 @@ from pyspark.sql.types import NumericType
 from veil.llm.common import column, text_of
 
 # Bounds of the samples that the classifiers are trained on.
-LABELLED, POOL = 4000, 4000
+LABELLED, POOL = 2000, 2000
 ROUNDS, SURE, PER_ROUND = 4, 0.95, 200
 KEEP = 0.5
 METADATA = ("source", "lang", "n_chars")
