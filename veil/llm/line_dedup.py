@@ -1,7 +1,8 @@
 """Line dedup: an exact set-similarity join over the words of lines.
 
-A line is the set of its words. It is removed if an earlier line, in the order of doc_id and line
-number, has a Jaccard similarity of at least ``THRESHOLD``. Lines of one set are found by a digest of the
+A line is the set of its words. It is removed if an earlier line, in the order of doc_id, line number and
+row, has a Jaccard similarity of at least ``THRESHOLD``. Rows are known by their place in the table, so those
+that share a doc_id or have none are kept apart. Lines of one set are found by a digest of the
 set. For the others, words are ordered by rarity, and two similar lines must share one of the
 first words of that order (prefix filter). Only those words are shuffled; each goes with the line's
 size, its place in the line and one parity bit vector of the words, and pairs are dropped when
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -42,11 +43,12 @@ _PAIRED = 256  # groups up to this size are paired by shifting the sorted entrie
 _FLUSH = 250_000
 _PART_BYTES = 3 << 20
 _SEED = 11
-_KEY = ["none", "doc", "line", "sig"]
+_KEY = ["none", "doc", "line", "row"]
 _FILTER_BITS = 22
 _GONE = "_veil_removed_"
+_ROW = "_veil_row"
 _ENTRY = np.dtype(
-    [("word", "<u4"), ("place", "<u4"), ("size", "<u4"), ("line", "<i4"), ("none", "u1"), ("doc", "<i8"), ("sig", "<u8")]
+    [("word", "<u4"), ("place", "<u4"), ("size", "<u4"), ("line", "<i4"), ("none", "u1"), ("doc", "<i8"), ("row", "<i8"), ("sig", "<u8")]
 )
 
 
@@ -96,36 +98,43 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _parsed(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple[pa.Array, Lines]]:
-    """Batches of ``doc_id, text`` in parts, with their lines."""
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, text``: the place of the row in the table first."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+
+
+def _parsed(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple[np.ndarray, pa.Array, Lines]]:
+    """Batches of ``row, doc_id, text`` in parts: the row and doc_id of each line, and the lines."""
     for batch in batches:
         at = 0
-        for part in slices(batch.column(1), _PART_BYTES):
+        for part in slices(batch.column(2), _PART_BYTES):
             lines = Lines(part, min_words)
             if len(lines.sizes):
-                yield batch.column(0).slice(at, len(part)).take(pa.array(lines.text)), lines
+                own = pa.array(lines.text + at)
+                yield batch.column(0).take(own).to_numpy(), batch.column(1).take(own), lines
             at += len(part)
 
 
 def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id, line, sig, size, words`` of every line, ``words`` being a digest of its set of words; and how many
+    """``row, doc_id, line, size, words`` of every line, ``words`` being a digest of its set of words; and how many
     lines hold words of each hash prefix. Both come from one reading of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _COUNT_BITS, np.int64)
-        for ids, lines in _parsed(batches, min_words):
+        for rows, ids, lines in _parsed(batches, min_words):
             counts += np.bincount((lines.tokens >> np.uint64(64 - _COUNT_BITS)).astype(np.int64), minlength=len(counts))
-            columns = [ids, pa.array(lines.number), pa.array(lines.parity().view(np.int64))]
+            columns = [pa.array(rows), ids, pa.array(lines.number)]
             columns += [pa.array(lines.sizes.astype(np.int32)), pa.array(lines.digests(), pa.binary())]
             columns += [pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
         pieces = np.minimum(counts, 2**32 - 1).astype("<u4").reshape(16, -1)
-        columns = [pa.nulls(16, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())]
+        columns = [pa.nulls(16, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())]
         columns += [pa.array(range(16), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "line", "sig", "size", "words", "piece", "counts"]
-    both = stored(docs.mapInArrow(run, "doc_id long, line int, sig long, size int, words binary, piece int, counts binary"), "lines")
+    names = ["row", "doc_id", "line", "size", "words", "piece", "counts"]
+    schema = "row long, doc_id long, line int, size int, words binary, piece int, counts binary"
+    both = stored(_numbered(docs).mapInArrow(run, schema), "lines")
     return both.where("piece IS NULL").drop("piece", "counts"), summed(both.where("piece IS NOT NULL").select("piece", "counts"))
 
 
@@ -156,7 +165,7 @@ def _overlap(sizes: np.ndarray) -> np.ndarray:
     return -((-sizes * a) // (a + b))
 
 
-def _entries(ids: pa.Array, lines: Lines, counts: np.ndarray, seen: dict) -> tuple[np.ndarray, np.ndarray]:
+def _entries(rows: np.ndarray, ids: pa.Array, lines: Lines, counts: np.ndarray, seen: dict) -> tuple[np.ndarray, np.ndarray]:
     """Prefix entries, and how many lines may share each word.
 
     A line whose set an earlier line of this task has is left out: it is removed for that.
@@ -164,7 +173,7 @@ def _entries(ids: pa.Array, lines: Lines, counts: np.ndarray, seen: dict) -> tup
     none, doc = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, 0).to_numpy()
     new = np.zeros(len(lines.sizes), bool)
     for i, d in enumerate(lines.digests()):
-        order = (none[i], doc[i], lines.number[i])
+        order = (none[i], doc[i], lines.number[i], rows[i])
         if d not in seen or order < seen[d]:
             seen[d] = order
             new[i] = True
@@ -181,7 +190,7 @@ def _entries(ids: pa.Array, lines: Lines, counts: np.ndarray, seen: dict) -> tup
     order, place, owner = order[first], place[first], owner[first]
     out = np.zeros(len(order), _ENTRY)
     out["word"], out["place"], out["size"], out["line"] = low[order], place, lines.sizes[owner], lines.number[owner]
-    out["none"], out["doc"], out["sig"] = none[owner], doc[owner], lines.parity()[owner]
+    out["none"], out["doc"], out["row"], out["sig"] = none[owner], doc[owner], rows[owner], lines.parity()[owner]
     return out, often[order]
 
 
@@ -196,7 +205,7 @@ def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: i
         plain = chunks <= 1
         yield from _by_cell(rows[plain], cell[plain])
         rows, cell, chunks = rows[~plain], cell[~plain], chunks[~plain]
-        own = (_mixed(rows["sig"] ^ rows["doc"].view(np.uint64), 3) % chunks.astype(np.uint64)).astype(np.int64)
+        own = (_mixed(rows["sig"] ^ rows["row"].view(np.uint64), 3) % chunks.astype(np.uint64)).astype(np.int64)
         places = np.stack([cell, chunks, own], axis=1)
         for c, n, k in np.unique(places, axis=0).tolist():
             data = rows[(places == (c, n, k)).all(axis=1)]
@@ -206,8 +215,8 @@ def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, waiting, often = {}, [], []
-        for ids, lines in _parsed(batches, min_words):
-            entries, n = _entries(ids, lines, counts, seen)
+        for places, ids, lines in _parsed(batches, min_words):
+            entries, n = _entries(places, ids, lines, counts, seen)
             waiting.append(entries), often.append(n)
             if sum(map(len, waiting)) > _FLUSH:
                 yield from _batches(pack(waiting, often))
@@ -215,7 +224,7 @@ def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: i
         if waiting:
             yield from _batches(pack(waiting, often))
 
-    return docs.mapInArrow(run, "cell int, i int, j int, role int, n int, entries binary")
+    return _numbered(docs).mapInArrow(run, "cell int, i int, j int, role int, n int, entries binary")
 
 
 def _by_cell(rows: np.ndarray, cell: np.ndarray) -> Iterator[tuple]:
@@ -261,8 +270,11 @@ def _passes(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
 def _before(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether the line of ``i`` is earlier than that of ``j``."""
     x, y = rows[i], rows[j]
-    same = (x["none"] == y["none"]) & (x["doc"] == y["doc"])
-    return (x["none"] < y["none"]) | ((x["none"] == y["none"]) & (x["doc"] < y["doc"])) | (same & (x["line"] < y["line"]))
+    before, same = np.zeros(len(x), bool), np.ones(len(x), bool)
+    for c in _KEY:
+        before |= same & (x[c] < y[c])
+        same &= x[c] == y[c]
+    return before
 
 
 def cell_pairs(rows: np.ndarray, role: np.ndarray, limit: int, asked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -347,10 +359,10 @@ def _block_pairs(e, rows, role, later, first: int, end: int, limit: int) -> Iter
 
 def _line_numbers(rows: np.ndarray) -> np.ndarray:
     """Numbers of the lines of entries, in the order of lines."""
-    order = np.lexsort((rows["sig"], rows["line"], rows["doc"], rows["none"]))
+    order = np.lexsort([rows[c] for c in reversed(_KEY)])
     own = rows[order]
     changed = np.zeros(len(rows), bool)
-    for c in ("none", "doc", "line", "sig"):
+    for c in _KEY:
         changed[1:] |= own[c][1:] != own[c][:-1]
     out = np.zeros(len(rows), np.int64)
     out[order] = np.cumsum(changed)
@@ -370,7 +382,7 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
         rows, role = np.concatenate(parts), np.concatenate(roles)
         wanted = None
         if asked is not None:
-            wanted = _among(asked, rows["none"], rows["doc"].copy(), rows["line"], rows["sig"].copy())
+            wanted = _among(asked, rows["line"], rows["row"].copy())
         x, y, more = cell_pairs(rows, role, limit, wanted)
         earlier = np.concatenate([rows[x], np.zeros(len(more), _ENTRY)])
         earlier["line"][len(x) :] = -1
@@ -378,11 +390,11 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
         for side, own in (("x", earlier), ("y", rows[np.append(y, more)])):
             columns[f"{side}_none"] = pa.array(own["none"].astype(bool))
             columns[f"{side}_doc"], columns[f"{side}_line"] = pa.array(own["doc"].copy()), pa.array(own["line"].copy())
-            columns[f"{side}_sig"] = pa.array(own["sig"].copy().view(np.int64))
+            columns[f"{side}_row"] = pa.array(own["row"].copy())
         bits = np.bitwise_count(earlier["sig"] ^ rows["sig"][np.append(y, more)])
         return pa.table(columns | {"bits": pa.array(bits.astype(np.int32))})
 
-    sides = [", ".join(f"{s}_{k}" for k in ("none boolean", "doc long", "line int", "sig long")) for s in "xy"]
+    sides = [", ".join(f"{s}_{k}" for k in ("none boolean", "doc long", "line int", "row long")) for s in "xy"]
     flat = packed.groupBy("cell", "i", "j").applyInArrow(run, ", ".join([*sides, "bits int"]))
     both = flat.select(*[F.struct(*[F.col(f"{s}_{k}").alias(k) for k in _KEY]).alias(s) for s in "xy"], "bits")
     # over all cells, the best of a line again; a line has more if any cell says so or a candidate is left over
@@ -394,15 +406,14 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
     return ranked.select(F.when(left_over, none).otherwise(F.col("x")).alias("x"), "y").distinct()
 
 
-def _hash(none: np.ndarray, doc: np.ndarray, line: np.ndarray, sig: np.ndarray) -> np.ndarray:
-    place = _mixed(line.astype(np.uint64) << np.uint64(1) | none.astype(np.uint64), 4)
-    return _mixed(doc.view(np.uint64) ^ place, 5) ^ sig
+def _hash(line: np.ndarray, row: np.ndarray) -> np.ndarray:
+    return _mixed(row.view(np.uint64) ^ _mixed(line.astype(np.uint64), 4), 5)
 
 
-def _among(table: np.ndarray, *key: np.ndarray) -> np.ndarray:
+def _among(table: np.ndarray, line: np.ndarray, row: np.ndarray) -> np.ndarray:
     """Whether lines may be among the keys of a filter table."""
     there = np.unpackbits(table).astype(bool)
-    return there[(_hash(*key[:3], key[3].view(np.uint64)) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
+    return there[(_hash(line, row) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
 
 
 def _line_filter(keys: DataFrame) -> np.ndarray:
@@ -410,12 +421,10 @@ def _line_filter(keys: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            none = b.column(0).to_numpy(zero_copy_only=False)
-            doc, line, sig = (b.column(i).to_numpy() for i in (1, 2, 3))
-            bucket = _hash(none, doc, line, sig.view(np.uint64)) >> np.uint64(64 - _FILTER_BITS)
+            bucket = _hash(b.column(0).to_numpy(), b.column(1).to_numpy()) >> np.uint64(64 - _FILTER_BITS)
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(bucket).astype(np.int32))], ["bucket"])
 
-    return _filter_table(keys.select("line_key.*").mapInArrow(run, "bucket int"))
+    return _filter_table(keys.select("line_key.line", "line_key.row").mapInArrow(run, "bucket int"))
 
 
 def _filter_table(buckets: DataFrame) -> np.ndarray:
@@ -425,39 +434,38 @@ def _filter_table(buckets: DataFrame) -> np.ndarray:
     return np.packbits(there)
 
 
-def _document_filter(keys: DataFrame) -> np.ndarray:
-    """The same for the documents of the keys."""
+def _row_filter(keys: DataFrame) -> np.ndarray:
+    """The same for the rows of the keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_document_bucket(b.column(0).to_numpy())).astype(np.int32))], ["bucket"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_row_bucket(b.column(0).to_numpy())).astype(np.int32))], ["bucket"])
 
-    return _filter_table(keys.select("line_key.doc").mapInArrow(run, "bucket int"))
+    return _filter_table(keys.select("line_key.row").mapInArrow(run, "bucket int"))
 
 
-def _document_bucket(doc: np.ndarray) -> np.ndarray:
-    return (_mixed(doc.view(np.uint64), 6) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+def _row_bucket(row: np.ndarray) -> np.ndarray:
+    return (_mixed(row.view(np.uint64), 6) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
 
 
 def _line_words(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFrame:
-    """``line_key, set``: the word hashes of the lines among the keys, and of few others; rows that repeat a document repeat its lines."""
-    wanted, documents = _line_filter(keys), _document_filter(keys)
+    """``line_key, set``: the word hashes of the lines among the keys, and of few others."""
+    wanted, owners = _line_filter(keys), _row_filter(keys)
 
     def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        there = np.unpackbits(documents).astype(bool)
+        there = np.unpackbits(owners).astype(bool)
         for batch in batches:
-            yield batch.filter(pa.array(there[_document_bucket(pc.fill_null(batch.column(0), 0).to_numpy())]))
+            yield batch.filter(pa.array(there[_row_bucket(batch.column(0).to_numpy())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, lines in _parsed(few(batches), min_words):
+        for places, ids, lines in _parsed(few(batches), min_words):
             none, doc = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, 0).to_numpy()
-            sig = lines.parity()
-            at = np.flatnonzero(_among(wanted, none, doc, lines.number, sig))
+            at = np.flatnonzero(_among(wanted, lines.number, places))
             sets = [lines.tokens[a : a + n].tobytes() for a, n in zip(lines.starts[at].tolist(), lines.sizes[at].tolist())]
-            columns = [pa.array(none[at]), pa.array(doc[at]), pa.array(lines.number[at]), pa.array(sig[at].view(np.int64)), pa.array(sets, pa.binary())]
+            columns = [pa.array(none[at]), pa.array(doc[at]), pa.array(lines.number[at]), pa.array(places[at]), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*_KEY, "set"])
 
-    rows = docs.mapInArrow(run, "none boolean, doc long, line int, sig long, set binary")
+    rows = _numbered(docs).mapInArrow(run, "none boolean, doc long, line int, row long, set binary")
     return rows.select(F.struct(*_KEY).alias("line_key"), "set")
 
 
@@ -468,7 +476,7 @@ def _narrowed(packed: DataFrame, asked: np.ndarray) -> DataFrame:
         for batch in batches:
             for n, data in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
                 rows = _unpacked(data, n)
-                own = _among(asked, rows["none"], rows["doc"].copy(), rows["line"], rows["sig"].copy())
+                own = _among(asked, rows["line"], rows["row"].copy())
                 bucket = np.unique(rows["word"][own] >> np.uint32(32 - _FILTER_BITS))
                 yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32))], ["bucket"])
 
@@ -498,7 +506,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
     both = asks.join(words, "line_key").groupBy("x", "y").agg(
         F.max(F.when(F.col("early"), F.col("set"))).alias("x_set"), F.max(F.when(~F.col("early"), F.col("set"))).alias("y_set")
     )
-    key = "line_key struct<none: boolean, doc: bigint, line: int, sig: bigint>"
+    key = "line_key struct<none: boolean, doc: bigint, line: int, row: bigint>"
     return both.select("y", "x_set", "y_set").mapInArrow(_similar, key).distinct()
 
 
@@ -544,9 +552,9 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     table, counts = line_table(docs, min_words)
     lines = table.withColumn(
         "line_key",
-        F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "line", "sig"),
+        F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "line", "row"),
     )
-    place = F.struct("line_key.none", "line_key.doc", "line_key.line")
+    place = F.col("line_key")
     sets = lines.groupBy("words").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = stored(sets.where("n > 1"), "repeated-lines")
     equal = spread_join(lines, repeated, "words", "n").where(place > F.col("first")).select("line_key")
@@ -556,29 +564,22 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return equal.unionByName(near_later_lines(docs, counts, int(entries), min_words)).distinct()
 
 
-def _per_document(docs: DataFrame, min_words: int) -> tuple[DataFrame, Column]:
-    """The removed lines of each document as an array ``_GONE``, and the condition that joins it."""
-    own = column("doc_id").cast("long")
-    plain = docs.select(own.alias("doc_id"), text_of().alias("text"))
-    gone = removed_lines(plain, min_words).groupBy("line_key.none", "line_key.doc")
-    lists = gone.agg(F.collect_list(F.struct("line_key.line", "line_key.sig")).alias(_GONE))
-    lists = lists.select(F.col("none").alias(_GONE + "none"), F.col("doc").alias(_GONE + "doc"), _GONE)
-    return lists, (own.isNull() == F.col(_GONE + "none")) & (F.coalesce(own, F.lit(0)) == F.col(_GONE + "doc"))
+def _per_row(docs: DataFrame, min_words: int) -> DataFrame:
+    """``_ROW, _GONE``: the numbers of the removed lines of each row that has any, no more than the row has lines."""
+    plain = docs.select(column("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    gone = removed_lines(plain, min_words).groupBy(F.col("line_key.row").alias(_ROW))
+    return gone.agg(F.array_sort(F.collect_list("line_key.line")).alias(_GONE))
 
 
 def later_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document: ``doc_id, n_lines, n_removed, removed``, the numbers from 0 of its lines that have an
-    equal or similar earlier line. Texts are not shuffled.
-
-    As :func:`line_dedup`, but rows that share a doc_id share the list of their lines.
+    equal or similar earlier line, as :func:`line_dedup` removes them. Texts are not shuffled.
     """
-    lists, same = _per_document(docs, min_words)
-    numbers = lists.withColumn(_GONE, F.array_sort(F.array_distinct(F.col(_GONE + ".line"))))
     n_lines = F.when(column("text").isNull(), 0).otherwise(F.size(F.split(text_of(), "\n")))
-    rows = docs.select(column("doc_id"), n_lines.alias("n_lines"))
+    rows = docs.select(F.monotonically_increasing_id().alias(_ROW), column("doc_id").cast("long").alias("doc_id"), n_lines.alias("n_lines"))
     removed = F.coalesce(_GONE, F.array().cast("array<int>"))
-    joined = rows.join(numbers, same, "left")
-    return joined.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))
+    joined = rows.join(_per_row(docs, min_words), _ROW, "left")
+    return joined.select("doc_id", "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> DataFrame:
@@ -586,10 +587,10 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True)
     ``counts`` also ``n_lines, n_removed``, which replace columns of these names.
 
     Words are what white space separates, in lower case. Lines with fewer than ``min_words`` distinct words are
-    kept. A null text stays null. A null doc_id comes after all others; lines of rows that share a
-    doc_id and a line number do not remove each other.
+    kept. A null text stays null. A null doc_id comes after all others; of lines that share a doc_id and a
+    line number, that of the row that comes first in the table is the earlier one. ``docs`` is read several times
+    and must give its rows in the same places, as a stored table does.
     """
-    lists, same = _per_document(docs, min_words)
     kept = [f for f in docs.schema.fields if not counts or f.name not in ("n_lines", "n_removed")]
     place = [f.name for f in kept].index("text")
 
@@ -599,11 +600,7 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True)
             values, removed = texts.to_pylist(), np.zeros(batch.num_rows, np.int32)
             n_lines = [0 if v is None else v.count("\n") + 1 for v in values]
             for i in np.flatnonzero(lost.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                if values[i] is None:
-                    continue
-                lines = Lines(texts.slice(i, 1), min_words)
-                wanted = {(g["line"], g["sig"]) for g in lost[i].as_py()}
-                drop = {n for n, s in zip(lines.number.tolist(), lines.parity().view(np.int64).tolist()) if (n, s) in wanted}
+                drop = set(lost[i].as_py())
                 values[i] = "\n".join(x for n, x in enumerate(values[i].split("\n")) if n not in drop)
                 removed[i] = len(drop)
             columns = [batch.column(k) for k in range(len(kept))]
@@ -613,5 +610,6 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True)
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     schema = StructType(kept + [StructField(c, IntegerType()) for c in ("n_lines", "n_removed") if counts])
-    joined = docs.join(lists.hint("shuffle_hash"), same, "left").select(*[column(f.name) for f in kept], _GONE)
+    placed = docs.withColumn(_ROW, F.monotonically_increasing_id())
+    joined = placed.join(_per_row(docs, min_words).hint("shuffle_hash"), _ROW, "left").select(*[column(f.name) for f in kept], _GONE)
     return joined.mapInArrow(cut, schema)
