@@ -35,6 +35,8 @@ from veil.llm.tokens import slices
 
 THRESHOLD = (4, 5)
 MIN_WORDS = 5
+# Smaller sets are similar to equal ones only: one word more or less than three leaves three quarters.
+_PREFIX_WORDS = 4
 LIMIT, GROWTH = 1, 32
 _COUNT_BITS = 20
 _CELL_ENTRIES = 250_000
@@ -68,6 +70,8 @@ class Lines:
         # one number per line and word, so that one sort brings a line's equal words together
         pairs = np.sort(owner << 32 | coded.indices.to_numpy().astype(np.int64))
         pairs = pairs[np.append(np.ones(min(1, len(pairs)), bool), pairs[1:] != pairs[:-1])]
+        # white space at either end of a line gives an empty word, which is none
+        pairs = pairs[(named != "")[pairs & 0xFFFFFFFF]]
         owner, tokens = pairs >> 32, hashes[pairs & 0xFFFFFFFF]
         sizes = np.bincount(owner, minlength=len(ends) - 1)
         enough = sizes >= min_words
@@ -559,9 +563,10 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     repeated = stored(sets.where("n > 1"), "repeated-lines")
     equal = spread_join(lines, repeated, "words", "n").where(place > F.col("first")).select("line_key")
     a, b = THRESHOLD
-    prefix = F.col("size") - F.ceil(F.col("size") * a / b) + 1
+    near_words = max(min_words, _PREFIX_WORDS)
+    prefix = F.when(F.col("size") >= near_words, F.col("size") - F.ceil(F.col("size") * a / b) + 1)
     entries = lines.agg(F.sum(prefix)).first()[0] or 0
-    return equal.unionByName(near_later_lines(docs, counts, int(entries), min_words)).distinct()
+    return equal.unionByName(near_later_lines(docs, counts, int(entries), near_words)).distinct()
 
 
 def _per_row(docs: DataFrame, min_words: int) -> DataFrame:

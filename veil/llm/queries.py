@@ -78,7 +78,7 @@ def op6_quality_cotraining(spark, sf):
 
 @_query()
 def op7_line_dedup(spark, sf):
-    cleaned = line_dedup.line_dedup(table(spark, sf, "documents"))
+    cleaned = line_dedup.line_dedup(table(spark, sf, "documents"), min_words=1)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     return cleaned.select("doc_id", "n_lines", "n_removed", digest.alias("text_sha256"))
 
