@@ -95,6 +95,41 @@ class Lines:
         return ufunc.reduceat(values, self.starts) if len(self.starts) else np.zeros(0, np.uint64)
 
 
+class Shingles(Lines):
+    """Each whole text as one line whose words are its shingles of ``length`` words: in ASCII lower case, white space
+    is ASCII. A shorter text is one shingle, and so is one without words."""
+
+    def __init__(self, texts: pa.Array, min_words: int, length: int):
+        words = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+        coded = words.flatten().dictionary_encode()
+        named = coded.dictionary.to_numpy(zero_copy_only=False)
+        hashes = np.array([xxhash.xxh3_64_intdigest(w, _SEED) for w in named], np.uint64)
+        index = coded.indices.to_numpy()
+        owner = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy()))
+        true = (named != "")[index]
+        owner, word = owner[true], hashes[index[true]]
+        n = np.bincount(owner, minlength=len(texts))
+        start, at = (np.cumsum(n) - n)[owner], np.arange(len(owner))
+        first = at[at - start <= np.maximum(n[owner] - length, 0)]
+        end = start[first] + n[owner[first]]
+        value = np.zeros(len(first), np.uint64)
+        for k in range(length):
+            there = first + k < end
+            value[there] = _mixed(value[there] ^ word[first[there] + k], k + 1)
+        bare = np.flatnonzero(n == 0)
+        owner, value = np.append(owner[first], bare), np.append(value, np.zeros(len(bare), np.uint64))
+        order = np.lexsort((value, owner))
+        owner, value = owner[order], value[order]
+        once = np.ones(len(owner), bool)
+        once[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
+        owner, value = owner[once], value[once]
+        sizes = np.bincount(owner, minlength=len(texts))
+        enough = sizes >= min_words
+        self.tokens, self.sizes, self.text = value[enough[owner]], sizes[enough], np.flatnonzero(enough)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.number = np.zeros(len(self.text), np.int32)
+
+
 def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     x = x + np.uint64(0x9E3779B97F4A7C15 * salt % 2**64)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -107,25 +142,28 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
 
 
-def _parsed(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple[np.ndarray, pa.Array, Lines]]:
-    """Batches of ``row, doc_id, text`` in parts: the row and doc_id of each line, and the lines."""
+def _parsed(batches: Iterator[pa.RecordBatch], min_words: int, shingle: int) -> Iterator[tuple[np.ndarray, pa.Array, Lines]]:
+    """Batches of ``row, doc_id, text`` in parts: the row and doc_id of each line, and the lines.
+
+    With ``shingle`` each text is one line of shingles of so many words.
+    """
     for batch in batches:
         at = 0
         for part in slices(batch.column(2), _PART_BYTES):
-            lines = Lines(part, min_words)
+            lines = Shingles(part, min_words, shingle) if shingle else Lines(part, min_words)
             if len(lines.sizes):
                 own = pa.array(lines.text + at)
                 yield batch.column(0).take(own).to_numpy(), batch.column(1).take(own), lines
             at += len(part)
 
 
-def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, np.ndarray]:
+def line_table(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0) -> tuple[DataFrame, np.ndarray]:
     """``row, doc_id, line, size, words`` of every line, ``words`` being a digest of its set of words; and how many
     lines hold words of each hash prefix. Both come from one reading of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _COUNT_BITS, np.int64)
-        for rows, ids, lines in _parsed(batches, min_words):
+        for rows, ids, lines in _parsed(batches, min_words, shingle):
             counts += np.bincount((lines.tokens >> np.uint64(64 - _COUNT_BITS)).astype(np.int64), minlength=len(counts))
             columns = [pa.array(rows), ids, pa.array(lines.number)]
             columns += [pa.array(lines.sizes.astype(np.int32)), pa.array(lines.digests(), pa.binary())]
@@ -198,7 +236,7 @@ def _entries(rows: np.ndarray, ids: pa.Array, lines: Lines, counts: np.ndarray,
     return out, often[order]
 
 
-def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: int = MIN_WORDS) -> DataFrame:
+def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
     """Prefix entries, packed by cell: ``cell, i, j, role, entries``. Cells of words that more lines share
     than a chunk holds have a number for each pair of chunks."""
 
@@ -219,7 +257,7 @@ def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, waiting, often = {}, [], []
-        for places, ids, lines in _parsed(batches, min_words):
+        for places, ids, lines in _parsed(batches, min_words, shingle):
             entries, n = _entries(places, ids, lines, counts, seen)
             waiting.append(entries), often.append(n)
             if sum(map(len, waiting)) > _FLUSH:
@@ -452,7 +490,7 @@ def _row_bucket(row: np.ndarray) -> np.ndarray:
     return (_mixed(row.view(np.uint64), 6) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
 
 
-def _line_words(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFrame:
+def _line_words(docs: DataFrame, keys: DataFrame, min_words: int, shingle: int) -> DataFrame:
     """``line_key, set``: the word hashes of the lines among the keys, and of few others."""
     wanted, owners = _line_filter(keys), _row_filter(keys)
 
@@ -462,7 +500,7 @@ def _line_words(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFrame:
             yield batch.filter(pa.array(there[_row_bucket(batch.column(0).to_numpy())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for places, ids, lines in _parsed(few(batches), min_words):
+        for places, ids, lines in _parsed(few(batches), min_words, shingle):
             none, doc = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, 0).to_numpy()
             at = np.flatnonzero(_among(wanted, lines.number, places))
             sets = [lines.tokens[a : a + n].tobytes() for a, n in zip(lines.starts[at].tolist(), lines.sizes[at].tolist())]
@@ -500,12 +538,12 @@ def _narrowed(packed: DataFrame, asked: np.ndarray) -> DataFrame:
     return packed.mapInArrow(keep, packed.schema)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, min_words: int, shingle: int) -> DataFrame:
     """``line_key`` of the later lines of pairs that are similar by their full sets."""
     asks = pairs.select(F.col("x").alias("line_key"), "x", "y", F.lit(True).alias("early")).unionByName(
         pairs.select(F.col("y").alias("line_key"), "x", "y", F.lit(False).alias("early"))
     )
-    words = _line_words(docs, stored(asks.select("line_key").distinct(), "candidate-lines"), min_words)
+    words = _line_words(docs, stored(asks.select("line_key").distinct(), "candidate-lines"), min_words, shingle)
     # of equally near candidates each line has taken one by chance, so no line is asked for by a great share of all
     both = asks.join(words, "line_key").groupBy("x", "y").agg(
         F.max(F.when(F.col("early"), F.col("set"))).alias("x_set"), F.max(F.when(~F.col("early"), F.col("set"))).alias("y_set")
@@ -525,10 +563,10 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_()))], ["line_key"])
 
 
-def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_words: int = MIN_WORDS) -> DataFrame:
+def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
     """``line_key`` of lines with a similar earlier line, but for lines whose set an earlier line has."""
     cells = max(partitions(docs.sparkSession), -(-entries // _CELL_ENTRIES))
-    packed = stored(packed_entries(docs, counts, cells, min_words), "prefix-entries")
+    packed = stored(packed_entries(docs, counts, cells, min_words, shingle), "prefix-entries")
     limit, pending, asked, matched = LIMIT, None, None, []
     while True:
         found = candidates(packed, limit, asked)
@@ -536,7 +574,7 @@ def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_word
             found = found.join(pending, "y", "left_semi")
         found = stored(found, "candidates")
         pairs = found.where("x.line >= 0")
-        hits = stored(_verified(docs, pairs, min_words), "similar-lines")
+        hits = stored(_verified(docs, pairs, min_words, shingle), "similar-lines")
         matched.append(hits)
         more = found.where("x.line < 0").select("y").distinct()
         pending = stored(more.join(hits.withColumnRenamed("line_key", "y"), "y", "left_anti"), "pending")
@@ -551,9 +589,9 @@ def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_word
     return out.distinct()
 
 
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
     """``line_key`` of every line with an equal or similar earlier line, from ``doc_id, text``."""
-    table, counts = line_table(docs, min_words)
+    table, counts = line_table(docs, min_words, shingle)
     lines = table.withColumn(
         "line_key",
         F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "line", "row"),
@@ -566,7 +604,7 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     near_words = max(min_words, _PREFIX_WORDS)
     prefix = F.when(F.col("size") >= near_words, F.col("size") - F.ceil(F.col("size") * a / b) + 1)
     entries = lines.agg(F.sum(prefix)).first()[0] or 0
-    return equal.unionByName(near_later_lines(docs, counts, int(entries), near_words)).distinct()
+    return equal.unionByName(near_later_lines(docs, counts, int(entries), near_words, shingle)).distinct()
 
 
 def _per_row(docs: DataFrame, min_words: int) -> DataFrame:
@@ -618,3 +656,16 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True)
     placed = docs.withColumn(_ROW, F.monotonically_increasing_id())
     joined = placed.join(_per_row(docs, min_words).hint("shuffle_hash"), _ROW, "left").select(*[column(f.name) for f in kept], _GONE)
     return joined.mapInArrow(cut, schema)
+
+
+def keep_dissimilar(docs: DataFrame, shingle: int) -> DataFrame:
+    """The documents, all columns as they are, without those that have an earlier document of similar shingles.
+
+    Of any two documents whose sets of shingles have a Jaccard similarity of at least ``THRESHOLD`` the later one goes,
+    in the order of doc_id, null last, and row. Texts without words are equal. ``docs`` is read several times and
+    must give its rows in the same places, as a stored table does.
+    """
+    plain = docs.select(column("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    gone = removed_lines(plain, 1, shingle).select(F.col("line_key.row").alias(_ROW))
+    placed = docs.withColumn(_ROW, F.monotonically_increasing_id())
+    return placed.join(gone.hint("shuffle_hash"), _ROW, "left_anti").drop(_ROW)
