@@ -1,4 +1,4 @@
-"""Exact dedup: sorted runs of digests, merged as a tree.
+"""Exact dedup: runs of digests, merged by a tree of hash aggregates; nothing is sorted.
 
 Documents are dealt into ``FANIN ** LEVELS`` runs. A run holds one entry per digest: the smallest
 identifier seen and the number of rows. In each round, ``FANIN`` neighbouring runs meet and their
