@@ -46,7 +46,7 @@ def components(n: int, linked) -> list[int]:
     return [find(i) for i in range(n)]
 
 
-def later_lines(rows, min_words=5):
+def later_lines(rows, min_words=1):
     """``(row, line)`` of lines with an earlier line of Jaccard similarity 0.8 or more."""
     lines = [
         (r, (d is None, d or 0, k), frozenset(x.lower().split()))
@@ -59,3 +59,15 @@ def later_lines(rows, min_words=5):
         for r, o, w in lines
         if any(o2 < o and 5 * len(w & w2) >= 4 * len(w | w2) for _, o2, w2 in lines)
     }
+
+
+def shingle_set(text, length=5) -> frozenset:
+    """The distinct shingles of a text in ASCII lower case; a shorter text is one shingle."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return frozenset(tuple(words[i : i + length]) for i in range(max(1, len(words) - length + 1)))
+
+
+def dissimilar(texts) -> list[int]:
+    """The places of texts without an earlier one of Jaccard similarity 0.8 or more."""
+    sets = [shingle_set(t) for t in texts]
+    return [i for i, s in enumerate(sets) if not any(5 * len(s & o) >= 4 * len(s | o) for o in sets[:i])]

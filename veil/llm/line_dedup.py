@@ -34,7 +34,7 @@ from veil.llm.common import column, partitions, spread_join, stored, text_of
 from veil.llm.tokens import slices
 
 THRESHOLD = (4, 5)
-MIN_WORDS = 5
+MIN_WORDS = 1
 # Smaller sets are similar to equal ones only: one word more or less than three leaves three quarters.
 _PREFIX_WORDS = 4
 LIMIT, GROWTH = 1, 32
@@ -100,7 +100,8 @@ class Shingles(Lines):
     is ASCII. A shorter text is one shingle, and so is one without words."""
 
     def __init__(self, texts: pa.Array, min_words: int, length: int):
-        words = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+        # lower case first: ascii_lower of a slice that was cast gives shifted rows
+        words = pc.ascii_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()))
         coded = words.flatten().dictionary_encode()
         named = coded.dictionary.to_numpy(zero_copy_only=False)
         hashes = np.array([xxhash.xxh3_64_intdigest(w, _SEED) for w in named], np.uint64)
