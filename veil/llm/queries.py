@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, centroids, chat, exact_dedup, language, licenses, line_dedup, packing, quality, simhash, tokenfile, topk
+from veil.llm import bpe, centroids, chat, exact_dedup, language, licenses, line_dedup, packing, quality, simhash, tokenfile, topk, variants
 from veil.llm.common import table
 from veil.plans.tables import scratch_folder
 
@@ -132,6 +132,11 @@ def op11_chat_format(spark, sf):
     return chat.format_chat(conversations.select(*added.columns).unionByName(added))
 
 
+@_query()
+def op12_spelling_variants(spark, sf):
+    return variants.spelling_variants(table(spark, sf, "documents"))
+
+
 def _clustering_sql(rounds: int) -> str:
     """Each round as two tables: the nearest centroid of each vector, and the centroids moved there."""
     parts = [
