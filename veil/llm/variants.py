@@ -24,12 +24,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veil.llm.common import column, stored, text_of
+from veil.llm.common import column, partitions, stored, text_of
 
 RUNS = r"[a-zÀ-ÿ]+"
 DAMAGE = 199
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
-SHORTEST, LONGEST = 2, 5
+SHORTEST, LONGEST = 2, 3
 # A gram is frequent above this share of all grams; a longer gram is kept above an eighth of that.
 DIVISOR = 4096
 _KEPT = 8
@@ -146,7 +146,9 @@ def gram_index(vocabulary: DataFrame, frequency: dict[str, int]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["word", "n", "size", "shared", "sig", "lists"])
 
     kind = pa.list_(pa.struct([("gram", pa.string()), ("at", pa.int32())]))
-    return stored(vocabulary.mapInArrow(run, _INDEX), "gram-index")
+    # a stored vocabulary is small in bytes and dear to decompose
+    spread = vocabulary.repartition(partitions(vocabulary.sparkSession), "word")
+    return stored(spread.mapInArrow(run, _INDEX), "gram-index")
 
 
 def _one_edit(a: str, b: str) -> Column:
