@@ -11,6 +11,7 @@ import hashlib
 import importlib.util
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from veil.functions import scalar
 from veil.functions.digest import salted_digest
 from veil.operators import identity, lookup, persons, rewrite, stats, suppress
-from veil.operators.chains import apply_chain
+from veil.operators.chains import apply_chain, register_op
 from veil.plans import reports, steps
 from veil.plans.runner import run_jobs
 from veil.plans.tables import scratch_folder
@@ -898,6 +899,18 @@ def csv_round_trip(spark, sf):
     return readers.load_table(spark, {"directory": folder, "type_cast": casts}, "orders.csv")
 
 
+@query("SELECT doc_id, text, lang || chr(10) || '\"' || source AS note FROM documents")
+def csv_line_breaks(spark, sf):
+    """Whole texts, line breaks and quotes included, written as CSV and read in ranges by many tasks."""
+    folder = scratch(spark, "breaks")
+    note = F.concat("lang", F.lit('\n"'), "source")
+    docs = table(spark, sf, "documents").select("doc_id", "text", note.alias("note"))
+    exact = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    writers.write_csv(docs, f"{folder}/docs.csv", single_file=True, quoteAll=True, **exact)
+    storage = {"directory": folder, "multiline": True, "type_cast": {"doc_id": "long"}, **exact}
+    return readers.load_table(spark, storage, "docs.csv")
+
+
 @query(
     """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderkey > 10
        UNION ALL SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_custkey > 10
@@ -951,7 +964,7 @@ def corrupt_audit(spark, sf):
     checked = _audited(spark, sf, "custkey bigint, name string, nationkey int")
     part = F.regexp_extract("_file", "part=([0-9]+)", 1).cast("long").alias("part")
     counts = checked.summary().groupBy(part).agg(F.sum("corrupt_count").alias("corrupt_count"))
-    bad = checked.rows.where(F.col(audit.CORRUPT).isNotNull()).select(part, F.col(audit.CORRUPT).alias("record"))
+    bad = checked.bad.select(part, F.col(audit.CORRUPT).alias("record"))
     # one row per part
     return bad.join(F.broadcast(counts), "part")
 
@@ -960,7 +973,26 @@ def corrupt_audit(spark, sf):
 def corrupt_audit_all_text(spark, sf):
     """As text only a record with too few fields is bad."""
     checked = _audited(spark, sf, [{"name": n, "data_type": "string"} for n in ("custkey", "name", "nationkey")])
-    return checked.rows.where(F.col(audit.CORRUPT).isNotNull()).select(F.col(audit.CORRUPT).alias("record"))
+    return checked.bad.select(F.col(audit.CORRUPT).alias("record"))
+
+
+@query(
+    f"""SELECT c_custkey % 3 AS part, CAST(row_number() OVER (PARTITION BY c_custkey % 3 ORDER BY c_custkey) AS INTEGER) AS line, {_BAD_LINE} AS record
+        FROM customer WHERE c_nationkey IN (3, 5) QUALIFY line <= 10"""
+)
+def corrupt_first_lines(spark, sf):
+    """The first ten bad lines of each file, of one sorted file per part."""
+    folder = scratch(spark, "first-lines")
+    bad = F.when(F.col("c_nationkey") == 3, F.col("c_name")).when(
+        F.col("c_nationkey") == 5, F.concat_ws(",", F.lit("none"), "c_name", "c_nationkey")
+    )
+    line = F.coalesce(bad, F.concat_ws(",", "c_custkey", "c_name", "c_nationkey"))
+    part = F.col("c_custkey") % 3
+    rows = table(spark, sf, "customer").select("c_custkey", part.alias("part"), line.alias("line"))
+    rows.repartition(3, "part").sortWithinPartitions("part", "c_custkey").drop("c_custkey").write.partitionBy("part").text(folder)
+    checked = audit.audit_csv(spark, f"{folder}/part=*", "custkey bigint, name string, nationkey int", header=False)
+    part = F.regexp_extract("_file", "part=([0-9]+)", 1).cast("long").alias("part")
+    return checked.first_lines().select(part, "line", F.col(audit.CORRUPT).alias("record"))
 
 
 @query(
@@ -1027,6 +1059,72 @@ def job_run(spark, sf):
     return org.unionByName(data.select(F.lit("data").alias("source"), *as_text))
 
 
+_SAMPLED = "SELECT c_custkey AS id, c_name AS name, row_number() OVER (ORDER BY c_custkey) AS k FROM customer WHERE c_nationkey = 7 QUALIFY k <= 4"
+
+
+@query(
+    f"""WITH links AS (SELECT sha256('k' || c_custkey || 'pepper') AS jk, c_custkey || '!' AS id, c_name || chr(10) || 'x' AS name,
+                              c_nationkey AS nation FROM customer),
+            sampled AS ({_SAMPLED})
+       SELECT 'jk' AS report, jk AS item, NULL AS value, 1::BIGINT AS n FROM links
+       UNION ALL SELECT 'dist_old', 'nation', nation::VARCHAR, count(*) FROM links GROUP BY nation
+       UNION ALL SELECT 'dist_new', 'id', id, count(*) FROM links GROUP BY id
+       UNION ALL SELECT 'sum_old', 'nation', min(nation) || ' ' || max(nation), count(*) FROM links
+       UNION ALL SELECT 'sample', 'id', id || ' ' || id || '!', k FROM sampled
+       UNION ALL SELECT 'sample', 'name', name || chr(10) || 'x ' || name || chr(10) || 'x', k FROM sampled
+       UNION ALL SELECT 'count', 'people.csv rows', NULL, count(*) FROM links
+       UNION ALL SELECT 'count', 'people.csv columns', NULL, 3
+       UNION ALL SELECT 'count', 'people.csv bytes', NULL, 15 + sum(octet_length(encode(rtrim(id, '!') || ',"' || name || '",' || nation)) + 1)::BIGINT FROM links
+       UNION ALL SELECT 'count', 'data.people.csv rows', NULL, count(*) FROM links
+       UNION ALL SELECT 'count', 'data.people.csv columns', NULL, 4
+       UNION ALL SELECT 'count', 'data.people.csv bytes', NULL,
+                        19 + sum(octet_length(encode(row_number - 1 || ',' || id || ',"' || name || '",' || nation)) + 1)::BIGINT
+                 FROM (SELECT *, row_number() OVER () AS row_number FROM links)"""
+)
+def job_reports(spark, sf):
+    """The other jobs of a run: crosswalk, frequencies, profile, samples, and the count of what was exported. The names
+    hold line breaks; an operator of its own is registered for a chain."""
+    register_op("mark", lambda df, step: df.withColumn(step.output, F.concat(step.expr("{0}"), F.lit("!"))))
+    folder = scratch(spark, "reports")
+    name = F.concat("c_name", F.lit("\nx")).alias("name")
+    source = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), name, F.col("c_nationkey").alias("nation"))
+    writers.write_csv(source.repartitionByRange(1, "id").sortWithinPartitions("id"), f"{folder}/in/people.csv")
+    config = {
+        "catalog": "people",
+        "storage": f"{folder}/out",
+        "step_org": {"in": {"directory": f"{folder}/in", "filename": "people.csv", "multiline": True, "type_cast": {"id": "string", "name": "string", "nation": "int"}}},
+        "step_deid": {
+            "column": {
+                "_jk": {"cols": ["id"], 1: {"fn": "hash", "origin": "concat('k', {$0})", "salt": SALT}},
+                "id": {1: {"fn": "mark"}},
+            }
+        },
+        "step_post": {"exclude": ["none"]},
+        "step_dist_old": {"include": ["nation"]},
+        "step_dist_new": {"include": ["id"]},
+        "step_sum_old": {"include": ["nation"]},
+        "step_sample": {"filters": [{"filter": "nation = 7", "count": 4}]},
+    }
+    wrote = run_jobs(spark, config, "org,pre,deid,post,post_1_file,post_jk,dist_old,dist_new,sum_old,sample,count")
+
+    def report(job: str, item, value, n, **settings) -> DataFrame:
+        out, file = wrote[job].rsplit("/", 1)
+        rows = spark.read.json(wrote[job]) if job == "count" else readers.load_table(spark, {"directory": out, **settings}, file)
+        label = {"post_jk": "jk"}.get(job, job)
+        return rows.select(F.lit(label).alias("report"), F.expr(item).alias("item"), F.expr(value).alias("value"), F.expr(n).cast("long").alias("n"))
+
+    parts = [
+        report("post_jk", "_jk", "CAST(NULL AS string)", "1"),
+        report("dist_old", "column", "value", "count"),
+        report("dist_new", "column", "value", "count"),
+        report("sum_old", "column", "concat(CAST(min AS int), ' ', CAST(max AS int))", "not_null"),
+        report("sample", "name", "concat(before, ' ', after)", "sample_no", multiline=True).where("item IN ('id', 'name')"),
+        *[report("count", f"concat(dataset, ' {label}')", "CAST(NULL AS string)", column)
+          for label, column in (("rows", "row_count"), ("columns", "column_count"), ("bytes", "filesize"))],
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("SELECT c_custkey AS custkey, c_name AS name, c_nationkey AS nationkey FROM customer")
 def promote_clean_files(spark, sf):
     folder = scratch(spark, "promote")

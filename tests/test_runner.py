@@ -123,3 +123,19 @@ def test_row_local_chains_make_one_scan(spark, tmp_path):
     plan = plan_of(steps.publish(steps.deidentify(df, chains), chains, ["a", "b"]))
     assert plan.count("Scan parquet") == 2 and "Exchange" not in plan and "Join" not in plan
     assert "ReadSchema: struct<id:bigint,a:string,b:int>" in plan
+
+
+def test_count_sees_what_was_exported(spark, config, tmp_path):
+    """Rows and bytes are those of the exported file, line breaks in values included, not of the table behind it."""
+    config["step_deid"]["column"]["name"] = {1: {"fn": "replace", "else": "concat({0}, '\n', '\"x')"}}
+    paths = run_jobs(spark, config, "org,pre,deid,post,post_1_file,count")
+    counts = {r["dataset"]: r for r in spark.read.json(paths["count"]).collect()}
+    exported = sorted((tmp_path / "out/step_post_1_file/data.people.csv").glob("part-*"))
+    assert counts["data.people.csv"].row_count == spark.read.parquet(paths["post"]).count() > 50
+    assert counts["data.people.csv"].filesize == sum(p.stat().st_size for p in exported)
+    largest = max(exported, key=lambda p: p.stat().st_size)
+    largest.write_bytes(largest.read_bytes()[:200])
+    for crc in largest.parent.glob(".*.crc"):
+        crc.unlink()
+    again = {r["dataset"]: r for r in spark.read.json(run_jobs(spark, config, "count")["count"]).collect()}
+    assert again["data.people.csv"].row_count < counts["data.people.csv"].row_count

@@ -112,7 +112,7 @@ def test_audit_finds_bad_types_and_arity(spark, tmp_path):
     assert not checked.is_clean() and not checked.promote(str(tmp_path / "out"))
     # all-string form: only wrong arity shows
     text = audit.audit_csv(spark, str(tmp_path / "bad.csv"))
-    assert text.rows.where("_corrupt_record IS NOT NULL").count() == 2
+    assert text.bad.count() == 2
     clean = audit.audit_csv(spark, str(tmp_path / "good.csv"), declared)
     assert clean.promote(str(tmp_path / "org_rn"))
     promoted = spark.read.parquet(str(tmp_path / "org_rn"))

@@ -8,14 +8,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veil.functions.templates import as_list
 from veil.operators.stats import numeric_columns, numeric_profile
 from veil.operators.suppress import dup_histogram
 from veil.plans import reports, steps
-from veil.sources.readers import load_table
+from veil.sources.quoted import count_records
+from veil.sources.readers import csv_options, load_table
 from veil.sources.writers import crosswalk, export_rows, save_table
 
 
@@ -173,20 +174,26 @@ def _count(run: Run) -> str:
     source = run.config["step_org"]["in"]
     counts = reports.dataset_counts({str(source["filename"]): run.table("org_rn")}, run.rn)
     # the source's own bytes, while rows are counted where they are filtered already
-    files = run.spark.read.format("binaryFile").load(f"{source['directory']}/{source['filename']}")
-    size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).scalar()
-    counts = counts.withColumn("filesize", size)
+    counts = counts.withColumn("filesize", _bytes(run, f"{source['directory']}/{source['filename']}"))
     if run.config.get("step_post"):
+        # the exported file itself: an incomplete export has fewer rows than the table it was written from
         name = f"data.{run.catalog}.csv"
-        data = load_table(run.spark, {"directory": run._folder("step_post_1_file")}, name)
-        # the rows of the table it was written from: a quoted line break makes two lines of one row
-        rows = run.table("step_post").agg(F.count(F.lit(1))).scalar()
-        counts = counts.unionByName(reports.dataset_counts({name: data}, rn="").withColumn("row_count", rows))
+        path = f"{run._folder('step_post_1_file')}/{name}"
+        data = run.spark.read.options(**csv_options({})).csv(path)
+        rows = count_records(run.spark, path, csv_options({})).agg(F.coalesce(F.sum("records"), F.lit(0))).scalar()
+        exported = reports.dataset_counts({name: data}, rn="", with_size=False)
+        counts = counts.unionByName(exported.withColumns({"row_count": rows, "filesize": _bytes(run, path)}))
     path = f"{run._folder('step_count')}/count.{run.catalog}.json"
     counts.coalesce(1).write.mode("overwrite").json(path)
     return path
 
 
+def _bytes(run: Run, path: str) -> Column:
+    """The bytes of the files, from their listing."""
+    files = run.spark.read.format("binaryFile").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).scalar()
+
+
 _TABLES = {"org": "org_rn", "pre": "step_pre", "old": "step_pre", "new": "step_post"}
 JOBS: dict[str, Callable[[Run], str | None]] = {
     "org": _org,

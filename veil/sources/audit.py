@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from veil.functions.longform import long_form, with_names
+from veil.functions.templates import quoted
 from veil.operators.identity import add_row_id
 from veil.plans.tables import keep
 from veil.sources.readers import read_csv
@@ -23,30 +27,34 @@ SHOWN_LINES = 10
 
 @dataclass(frozen=True)
 class Audit:
-    """A parsed copy of the files, with each bad record's text and file."""
+    """The files as they parse, their bad records and their counts.
+
+    ``rows`` is not stored: it parses the files again, with all columns. ``bad`` holds ``_file, _rn,
+    _corrupt_record`` of the bad records only, ``counts`` the rows and bad records of each file and task.
+    """
 
     rows: DataFrame
+    bad: DataFrame
+    counts: DataFrame
 
     def summary(self) -> DataFrame:
         """Rows and bad records per file."""
-        return self.rows.groupBy(FILE).agg(
-            F.count(F.lit(1)).alias("row_count"), F.count(CORRUPT).alias("corrupt_count")
+        return self.counts.groupBy(FILE).agg(
+            F.sum("row_count").alias("row_count"), F.sum("corrupt_count").alias("corrupt_count")
         )
 
     def first_lines(self, count: int = SHOWN_LINES) -> DataFrame:
         """The first bad lines of each file."""
         first = W.partitionBy(FILE).orderBy("_rn")
-        bad = self.rows.where(F.col(CORRUPT).isNotNull())
         # the rank filter is applied before the shuffle too, so each task sends few lines
         return (
-            bad.select(FILE, "_rn", CORRUPT)
-            .withColumn("line", F.row_number().over(first))
+            self.bad.withColumn("line", F.row_number().over(first))
             .where(F.col("line") <= count)
             .select(FILE, "line", CORRUPT)
         )
 
     def is_clean(self) -> bool:
-        return self.rows.where(F.col(CORRUPT).isNotNull()).isEmpty()
+        return self.bad.isEmpty()
 
     def promote(self, path: str) -> bool:
         """Write the rows as the ingest table when no record is bad; tells whether it did."""
@@ -62,11 +70,10 @@ def audit_csv(
     schema: str | StructType | Sequence[Mapping] | None = None,
     **settings,
 ) -> Audit:
-    """Parse all columns of all files and keep the outcome.
+    """Parse all columns of all files once, keeping the bad records and the counts.
 
     Without a schema all columns of the header are text, so that only records with too few or too
-    many fields are bad. The parsed rows are written first: a query that needs fewer columns would
-    parse fewer, and miss bad values in the others.
+    many fields are bad. What is written grows with the bad records, not with the files.
     """
     if isinstance(schema, str):
         declared = StructType.fromDDL(schema)
@@ -75,11 +82,37 @@ def audit_csv(
     else:
         declared = make_schema(schema)
     full = StructType([*declared.fields, StructField(CORRUPT, StringType())])
-    parsed = read_csv(
-        spark, path, **(settings | {"schema": full, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    )
-    located = add_row_id(parsed.select("*", F.col("_metadata.file_path").alias(FILE)))
-    return Audit(keep(located, "audit").df)
+    bad_mode = {"schema": full, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = add_row_id(read_csv(spark, path, file_column=FILE, **(settings | bad_mode)))
+    # a query that needs fewer columns would parse fewer, and miss bad values in the others
+    used = F.xxhash64(*[F.col(quoted(c)) for c in declared.names])
+    found = keep(parsed.select(FILE, "_rn", CORRUPT, used.alias("_used")).mapInArrow(_bad_and_counts, _FOUND), "audit").df
+    bad = found.where("row_count IS NULL").select(FILE, "_rn", CORRUPT)
+    return Audit(parsed, bad, found.where("row_count IS NOT NULL").select(FILE, "row_count", "corrupt_count"))
+
+
+_FOUND = f"{FILE} string, _rn long, {CORRUPT} string, row_count long, corrupt_count long"
+
+
+def _bad_and_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bad records of a task, and last its counts per file."""
+    names = [FILE, "_rn", CORRUPT, "row_count", "corrupt_count"]
+    rows, corrupt = Counter(), Counter()
+    for batch in batches:
+        files, is_bad = batch.column(0), batch.column(2).is_valid()
+        for name in pc.value_counts(files).to_pylist():
+            rows[name["values"]] += name["counts"]
+        bad = batch.filter(is_bad)
+        if bad.num_rows:
+            for name in pc.value_counts(bad.column(0)).to_pylist():
+                corrupt[name["values"]] += name["counts"]
+            none = pa.nulls(bad.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*bad.columns[:3], none, none], names)
+    if rows:
+        n = len(rows)
+        columns = [pa.array(list(rows), pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())]
+        columns += [pa.array(rows.values(), pa.int64()), pa.array([corrupt[f] for f in rows], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def _candidates(value: Column) -> dict[str, Column]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from veil.operators.rewrite import keep_where
+from veil.sources import quoted
 from veil.sources.schema import cast_columns, make_schema
 
 # Settings of a storage entry that are ours, not options of the CSV source.
@@ -37,12 +38,22 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*map(str, paths))
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], **settings) -> DataFrame:
-    reader = spark.read.options(**csv_options(settings))
+def read_csv(spark: SparkSession, path: str | Sequence[str], file_column: str | None = None, **settings) -> DataFrame:
+    """Read CSV files; ``file_column`` adds the file of each row.
+
+    Files with line breaks in quotes (``multiline``) are read in ranges by many tasks, unless types are to
+    be guessed or the text is not UTF-8.
+    """
+    options, path = csv_options(settings), path if isinstance(path, list) else str(path)
     schema = settings.get("schema")
     if schema:
-        reader = reader.schema(schema if isinstance(schema, str) else make_schema(schema))
-    return reader.csv(path if isinstance(path, list) else str(path))
+        schema = StructType.fromDDL(schema) if isinstance(schema, str) else make_schema(schema)
+    if str(options["multiLine"]).lower() == "true" and quoted.splittable(options):
+        df = quoted.read_records(spark, path, options, schema or None)
+        return df.withColumnRenamed(quoted.FILE, file_column) if file_column else df.drop(quoted.FILE)
+    reader = spark.read.options(**options)
+    df = (reader.schema(schema) if schema else reader).csv(path)
+    return df.select("*", F.col("_metadata.file_path").alias(file_column)) if file_column else df
 
 
 def load_table(spark: SparkSession, storage: Mapping[str, Any], filename: str | Sequence[str]) -> DataFrame:
