@@ -192,3 +192,34 @@ def test_empty_input(spark, facts, entries):
     assert attach_group_count(none, ["k"], "n").count() == 0
     assert suppress_rare(none, F.col("k"), 3, "out").count() == 0
     assert keep_singletons(none, ["k"]).count() == 0
+
+
+def test_grid_of_a_key_frequent_on_both_sides(spark, no_coalescing):
+    """Rows and entries of the key are cut; copies stay bounded by the fair share, and no cell holds more."""
+    facts = spark.range(8000).select("id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.lit(-5)).otherwise(F.col("id")).alias("k"))
+    table = spark.range(3000).select(F.when(F.col("id") < 2400, 7).otherwise(F.col("id")).alias("key"), F.col("id").alias("val"))
+    got = lookup(facts, table, ["k"], ["key"], {"val": "val"}, broadcast_bytes=0)
+    wanted = facts.join(table, F.col("k").eqNullSafe(F.col("key")), "left")
+    sums = [F.count(F.lit(1)), F.sum("id"), F.sum("val"), F.sum(F.col("id") * F.coalesce("val", F.lit(-1)))]
+    assert got.agg(*sums).first() == wanted.agg(*sums).first()
+    share = 8000 // 8
+    rows, entries = 2667, 2400
+    row_slices, entry_slices = -(-rows // share), -(-entries // share)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    cells = got.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(cells) > 1 and sum(c["count"] for c in cells) == rows * entries
+    assert max(c["count"] for c in cells) < 0.6 * rows * entries
+    # a cell takes one slice of either side
+    copies = row_slices * entries + entry_slices * rows
+    assert copies <= row_slices * entry_slices * 2 * share
+
+
+def test_salts_follow_the_shuffle_partitions(spark, facts):
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        largest = facts.select(module._row_salt(facts).alias("s")).agg(F.max("s")).first()[0]
+        assert 256 < largest < 1200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -15,7 +15,8 @@ from veil.plans.tables import Kept, keep, measure
 
 COUNT = "_traffic"
 _SALT, _SERVED, _VALUE = "_salt", "_served", "_value_"
-# Rows of a frequent key are dealt into this many parts.
+_ROW_SLICES, _ENTRY_SLICES = "_row_slices", "_entry_slices"
+# Rows of a frequent key are dealt into so many parts at least.
 _SALTS = 256
 # Partial sketches are merged in this many tasks before the last one.
 _SKETCH_GROUPS = 64
@@ -29,12 +30,14 @@ def lookup(
     values: dict[str, str],
     *,
     unique: bool = False,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Left join on null-safe key equality, adding ``values`` (new name -> table column).
 
-    A table measured to be small is broadcast. For a larger one the keys that many rows of ``df``
+    A table measured to be small (``broadcast_bytes``) is broadcast. For a larger one the keys that many rows of ``df``
     share are found first: their entries are broadcast, while their rows are salted through the
-    shuffle join that serves all other keys. Repeated keys in the table repeat rows, as in any left
+    shuffle join that serves all other keys. Where those entries are too many for that, rows and
+    entries of a frequent key are cut into slices and meet in a grid. Repeated keys in the table repeat rows, as in any left
     join, unless ``unique`` asks for an error.
     """
     if len(match) != len(keys):
@@ -52,7 +55,8 @@ def lookup(
     columns = [F.col(quoted(c)) for c in df.columns if c not in values]
     found = [F.col(quoted(_VALUE + v)).alias(v) for v in values]
 
-    if (table if isinstance(table, Kept) else measure(slim)).small:
+    limit = tables.BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if (table if isinstance(table, Kept) else measure(slim)).bytes <= limit:
         return probe.join(F.broadcast(slim), _equal(own, names), "left").select(*columns, *found)
 
     probe_hash, table_hash = _hashes(probe, own, slim, names)
@@ -62,12 +66,9 @@ def lookup(
     if not hot:
         return probe.join(slim, _equal(own, names), "left").select(*columns, *found)
     salt = F.when(probe_hash.isin(hot), _row_salt(df) + 1).otherwise(0).cast("long")
-    if not entries.small:
-        # a key that is frequent on both sides: its entries go to every salt, its rows to one each
-        every = F.when(table_hash.isin(hot), F.sequence(F.lit(1), F.lit(_SALTS))).otherwise(F.array(F.lit(0)))
-        dealt = slim.select("*", F.explode(every.cast("array<long>")).alias("_copy"))
-        salted = probe.withColumn(_SALT, salt)
-        return salted.join(dealt, _equal(own, names) & (F.col(_SALT) == F.col("_copy")), "left").select(*columns, *found)
+    if entries.bytes > limit:
+        joined = _grid_join(probe, own, probe_hash, entries.df, slim, names, hot)
+        return joined.select(*columns, *found)
 
     # rows of hot keys get a salt that matches nothing, so they spread over the shuffle
     # always 0, but no constant: a constant would turn the salt from a shuffle key into a filter
@@ -88,6 +89,43 @@ def lookup(
     )
 
 
+def _grid_join(
+    probe: DataFrame, own: list[str], probe_hash: Column, entries: DataFrame, slim: DataFrame, names: list[str], hot: list[int]
+) -> DataFrame:
+    """Left join where some keys are frequent on both sides.
+
+    The rows and the entries of such a key are cut into slices of a fair share at most, and each pair of
+    slices meets in a cell of its own: a row is copied once per slice of entries, an entry once per slice of rows.
+    """
+    rows = probe.where(probe_hash.isin(hot)).groupBy(*own).agg(F.count(F.lit(1)).alias("_rows"))
+    served = [_SERVED + n for n in names]
+    listed = entries.groupBy(*served).agg(F.count(F.lit(1)).alias("_entries"))
+    share = F.greatest(F.floor(F.lit(measure(probe.select(*own)).rows) / _partitions(probe)), F.lit(1))
+    slices = [F.ceil(F.col(c) / share).cast("long").alias(n) for c, n in (("_rows", _ROW_SLICES), ("_entries", _ENTRY_SLICES))]
+    # at most one key per shuffle partition is that frequent
+    grid = keep(rows.join(listed, _equal(own, served)).select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(own)], *slices), "grid").df
+    grid_keys = [f"_g{i}" for i in range(len(own))]
+
+    dealt_rows = probe.join(F.broadcast(grid), _equal(own, grid_keys), "left").drop(*grid_keys)
+    gridded = F.col(_ROW_SLICES).isNotNull()
+    # frequent keys without an entry get a slice that matches nothing
+    slice_of_row = F.when(gridded, F.pmod(_row_hash(probe), F.col(_ROW_SLICES))).when(
+        probe_hash.isin(hot), -1 - _row_salt(probe)
+    ).otherwise(F.lit(0).cast("long"))
+    dealt_rows = dealt_rows.withColumn("_at", slice_of_row).withColumn(
+        "_with", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(_ENTRY_SLICES, F.lit(1).cast("long")) - 1))
+    )
+    dealt = slim.join(F.broadcast(grid), _equal(names, grid_keys), "left").drop(*grid_keys)
+    slice_of_entry = F.when(gridded, F.pmod(_row_hash(slim), F.col(_ENTRY_SLICES))).otherwise(F.lit(0).cast("long"))
+    dealt = dealt.withColumn("_slice", slice_of_entry).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(_ROW_SLICES, F.lit(1).cast("long")) - 1))
+    ).drop(_ROW_SLICES, _ENTRY_SLICES)
+    cell = (F.col("_at") == F.col("_copy")) & (F.col("_with") == F.col("_slice"))
+    joined = dealt_rows.join(dealt, _equal(own, names) & cell, "left")
+    # a slice may be empty, but a key of the grid has an entry in another one
+    return joined.where(~gridded | F.col("_copy").isNotNull())
+
+
 def group_counts(df: DataFrame, by: Sequence[str | Column]) -> DataFrame:
     """Rows per group as ``_k0.., _traffic``; partial counts are formed before the shuffle."""
     keys = [_column(b).alias(f"_k{i}") for i, b in enumerate(by)]
@@ -154,11 +192,15 @@ def count_in_window(df: DataFrame, by: Sequence[str | Column], out: str, hot: Da
     return salted.select(*columns, F.coalesce(F.col(_SERVED + COUNT), counted).alias(out))
 
 
-def _row_salt(df: DataFrame) -> Column:
-    """A part of ``_SALTS`` for each row, from its values and its task: a retried task repeats it, and the rows of
-    one task spread over all parts."""
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of each row from its values and its task: a retried task repeats it, and equal rows of other tasks differ."""
     values = [F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(_SALTS).cast("long"))
+    return F.xxhash64(F.spark_partition_id(), *values)
+
+
+def _row_salt(df: DataFrame) -> Column:
+    """A part for each row; a key of any share fills no more than a quarter of a shuffle partition with one part."""
+    return F.pmod(_row_hash(df), F.lit(max(_SALTS, 4 * _partitions(df))).cast("long"))
 
 
 def _traffic(hashes: DataFrame) -> list[int]:
