@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -14,6 +12,7 @@ from veil.functions.scalar import keyed_between, random_between
 from veil.functions.templates import Step, as_list
 from veil.operators.identity import number_rows
 from veil.operators.lookup import lookup
+from veil.operators.store import Store
 from veil.plans.tables import keep
 
 VALUE = "_value"
@@ -25,15 +24,6 @@ def distinct_keys(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def counter_table(df: DataFrame, keys: Sequence[str], start: int = 1, seed=None) -> DataFrame:
     """Number the distinct keys 1..N, in key order, or with a seed in a secret order."""
     found = distinct_keys(df, keys)
@@ -58,23 +48,22 @@ def date_noise_table(df: DataFrame, keys: Sequence[str], days=None, minutes=None
 def pseudonym_table(df: DataFrame, keys: Sequence[str], build: Build, path: str, extend: bool = False) -> DataFrame:
     """The table of a build function over the distinct keys of ``df``, written once and then reused.
 
-    ``extend`` adds keys that are new since; without it they have no entry.
+    ``extend`` adds keys that are new since, as a version that is published whole or not at all; without
+    it they have no entry. One writer at a time.
     """
-    spark = df.sparkSession
-    table = read_if_present(spark, path)
+    store = Store(df.sparkSession, path, keys)
+    table = store.table()
     if table is None:
-        build(df, 1).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        store.publish(build(df, 1))
+        return store.table()
     if extend:
-        known = table.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
-        fresh = keep(distinct_keys(df, keys).join(known, same, "left_anti"), "new-keys")
+        fresh = keep(store.missing(df), "new-keys")
         if fresh.rows:
             # only a counter goes on from the highest number; noise ignores the start
             is_number = table.schema[VALUE].dataType.typeName() == "long"
             last = table.agg(F.max(VALUE)).first()[0] if is_number else 0
-            build(fresh.df, (last or 0) + 1).write.mode("append").parquet(path)
-            table = spark.read.parquet(path)
+            store.publish(build(fresh.df, (last or 0) + 1))
+            table = store.table()
     return table
 
 
