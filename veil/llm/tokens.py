@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 # Pieces remembered per Python worker, about 200 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 # Texts are encoded in batches of about this many bytes.
 BATCH_BYTES = 6 << 20
 _BLANK = "Ġ"  # a blank, as byte-level vocabularies spell it
@@ -171,17 +171,21 @@ class PieceEncoder:
         self.places.update(zip(pieces, range(first, first + len(pieces))))
 
     def _tidy(self, coming: int) -> None:
-        """Make room: pieces met in one batch only are forgotten, or all if that is not enough."""
-        kept = [p for p, i in self.places.items() if self.seen[i] > 1]
-        if 2 * (len(kept) + coming) > REMEMBERED:
-            kept = []
+        """Make room: pieces met in the fewest batches are forgotten until half of the memory is free."""
+        seen = self.seen[: len(self.places)]
+        room = REMEMBERED // 2 - min(coming, REMEMBERED // 2)
+        least = 2
+        while least < 256 and np.count_nonzero(seen >= least) > room:
+            least += 1
+        kept = [p for p, i in self.places.items() if seen[i] >= least]
         at = np.array([self.places[p] for p in kept], np.int64)
-        lengths = self.lengths[at]
+        lengths, seen = self.lengths[at], seen[at]
         ids = gather(self.ids, self.starts[at], lengths)
         self._forget()
         if kept:
             self._remember(kept, ids, lengths)
-            self.seen[: len(kept)] = 2
+            # half of what it was, so that pieces of long ago make room in turn
+            self.seen[: len(kept)] = (seen + 1) // 2
 
 
 _encoders: dict[str, PieceEncoder] = {}
