@@ -19,7 +19,8 @@ def test_every_level_merges_sorted_runs(spark):
     assert nodes == ["SortAggregate", "SortAggregate", "Sort", "Exchange"] * 3
     # runs are exchanged by range of digests, so a level never lies in one partition
     assert plan.count("hashpartitioning(range#") == 3
-    assert level.agg(F.sum("size"), F.count("*")).first() == (500, 40 * level.select("run").distinct().count())
+    assert level.agg(F.sum("size")).first()[0] == 500
+    assert level.count() == level.select("run", "digest").distinct().count() < 500
 
 
 def test_ranges_of_a_level_fill_many_partitions(spark):
