@@ -19,9 +19,9 @@ import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 # Pieces remembered per Python worker, about 200 bytes each.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 # Texts are encoded in batches of about this many bytes.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 3 << 20
 _BLANK = "Ġ"  # a blank, as byte-level vocabularies spell it
 _MARKS = ".,!?;:|$%&#*"  # after a letter, a run of these at the end of a piece is a word of its own
 _SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
