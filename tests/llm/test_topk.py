@@ -70,3 +70,18 @@ def test_blocks_of_any_shape(monkeypatch, trial):
         scores = sorted((-int(matrix[j] @ matrix[i]), int(ids[j])) for j in range(n) if j != i)[:k]
         expected += [(int(ids[i]), s, j) for s, j in scores]
     assert sorted((int(a), -int(s), int(b)) for a, b, s in zip(*found)) == sorted(expected)
+
+
+def test_components_beyond_the_scaled_range(spark):
+    """Finite components whose scaled value is no double any more; scores are held at the limits of a long."""
+    rows = [(0, [1.7e308, 0.5]), (1, [1.0, 1.0]), (2, [-1.0, 3.0]), (3, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id = 0")).orderBy("rank").collect()]
+    assert got == [(1, 2**63 - 1), (3, 1024 * 2048 // 2), (2, -(2**63))]
+
+
+def test_repeated_rows_lie_in_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "VECTOR_BLOCK", 50)
+    df = spark.createDataFrame([(7, [0.5, 0.25])] * 400 + [(0, [1.0, 1.0])], "vec_id long, embedding array<double>").repartition(4)
+    got = topk.top_k(df, df.where("vec_id = 0"), k=500).collect()
+    assert [r.score for r in got] == [1024 * 512 + 1024 * 256] * 400 and {r.vec_id for r in got} == {7}

@@ -110,21 +110,28 @@ def search_block(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, que
     return [owners, np.concatenate([b[0] for b in best]), np.concatenate([b[1] for b in best])]
 
 
-def _integers(lists: pa.ListArray, scale: int, width: int) -> np.ndarray:
-    """floor(scale * x) as a matrix; shorter vectors are filled up with zeros."""
+def _matrix(lists: pa.ListArray, width: int) -> np.ndarray:
+    """Vectors as the rows of a matrix; shorter ones are filled up with zeros."""
     flat, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
     out = np.zeros((len(sizes), width))
-    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = np.floor(scale * flat)
+    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
     return out
 
 
+def _exactly(x: float, scale: int) -> int:
+    """floor(scale * x); a double this large is an integer, whose multiple may be larger than any double."""
+    return int(x) * scale if abs(x) >= 2**52 else int(np.floor(x * scale))
+
+
 def _block_of(pair: pa.Table, k: int, scale: int) -> pa.Table:
     lists = pair.column("vector").combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     width = max([1, *np.diff(lists.offsets.to_numpy())])
-    matrix = _integers(lists, scale, width)
-    if width and float(np.abs(matrix).max()) ** 2 * width > _EXACT:
-        matrix = np.array([[int(x) for x in row] for row in matrix], object).reshape(matrix.shape)
+    values = _matrix(lists, width)
+    with np.errstate(over="ignore"):
+        matrix = np.floor(scale * values)
+    if width and not np.abs(matrix).max() <= (_EXACT / width) ** 0.5:
+        matrix = np.array([[_exactly(x, scale) for x in row] for row in values.tolist()], object).reshape(matrix.shape)
     ids = pair.column("vec_id").to_numpy()
     asks = pair.column("asks").to_numpy(zero_copy_only=False)
     q, v, score = search_block(ids[~asks], matrix[~asks], ids[asks], matrix[asks], k)
@@ -148,10 +155,12 @@ def top_k(
     Shorter vectors count as filled up with zeros, repeated rows as rows of their own among the
     candidates and once among the queries; scores beyond a long are held at its limits. No queries or no other vectors give no rows. Other columns are ignored.
     """
-    found = stored(usable(vectors, vec_id, vector), "vectors")
+    found = stored(usable(vectors, vec_id, vector).withColumn("row", F.monotonically_increasing_id()), "vectors")
     asked = stored(usable(queries, vec_id, vector).dropDuplicates(), "queries")
     v_blocks, q_blocks = (max(1, -(-df.count() // size)) for df, size in ((found, VECTOR_BLOCK), (asked, QUERY_BLOCK)))
-    own, others = [F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n)).cast("int") for n in (v_blocks, q_blocks)]
+    # by the place in the table, so that repeated rows lie in all blocks
+    own = F.pmod(F.xxhash64("row"), F.lit(v_blocks)).cast("int")
+    others = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(q_blocks)).cast("int")
     every = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (v_blocks, q_blocks)]
     dealt = found.select(
         "vec_id", "vector", F.lit(False).alias("asks"), own.alias("v"), every[1].alias("q")
