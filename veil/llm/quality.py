@@ -1,9 +1,9 @@
 """Quality classifier by co-training: what a text says and what its page record says teach each other.
 
 Two logistic regressions see different views of a document, its text and its metadata. Both start
-from the labelled sample. In each round, each view labels the unlabelled documents of the pool of
-which it is sure, by its calibrated probability, and those labels join the training set of the other
-view. At last both are calibrated on labelled documents kept from training, and their log odds are
+from the labelled sample. In each round, each view looks at every document of the corpus without a
+label; of those of which it is sure, by its calibrated probability, some are drawn by a hash and
+join the training set of the other view. At last both are calibrated on labelled documents kept from training, and their log odds are
 added, less the prior that both contain.
 """
 
@@ -11,20 +11,22 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from veil.llm.common import column, text_of
+from veil.llm.common import column, stored, text_of
 
-# Bounds of the samples that the classifiers are trained on.
-LABELLED, POOL = 2000, 2000
+# The bound of the labelled sample; each round adds at most PER_ROUND documents per view and label.
+LABELLED = 2000
 ROUNDS, SURE, PER_ROUND = 4, 0.95, 200
 KEEP = 0.5
 METADATA = ("source", "lang", "n_chars")
@@ -130,29 +132,73 @@ class CoTrained:
         return probability(a), probability(b), probability(a + b - prior)
 
 
-def co_train(content: np.ndarray, metadata: np.ndarray, label: np.ndarray, kept_out: np.ndarray) -> CoTrained:
-    """Train on rows with ``label`` 0 or 1, with those of label -1 as the pool."""
+@dataclass(frozen=True)
+class Sure:
+    """Documents with which a view teaches the other one."""
+
+    view: int
+    value: int
+    content: np.ndarray
+    metadata: np.ndarray
+
+
+Draw = Callable[[list[Logistic], int], list[Sure]]
+
+
+def sure_of(models: list[Logistic], content: np.ndarray, metadata: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+    """For each view and label, which documents the view is sure of."""
+    found = {}
+    for view, (model, x) in enumerate(zip(models, (content, metadata))):
+        p = probability(model.odds(x))
+        found[view, 0], found[view, 1] = 1 - p >= SURE, p >= SURE
+    return found
+
+
+def draw_from(content: np.ndarray, metadata: np.ndarray) -> Draw:
+    """Draw from documents in memory."""
+
+    def draw(models: list[Logistic], turn: int) -> list[Sure]:
+        if not len(content):
+            return []
+        h = np.array([xxhash.xxh64_intdigest(c.tobytes() + m.tobytes(), turn) for c, m in zip(content, metadata)], np.uint64)
+        out = []
+        for (view, value), sure in sure_of(models, content, metadata).items():
+            at = np.flatnonzero(sure)
+            at = at[np.argsort(h[at], kind="stable")[:PER_ROUND]]
+            out.append(Sure(view, value, content[at], metadata[at]))
+        return out
+
+    return draw
+
+
+def co_train(
+    content: np.ndarray, metadata: np.ndarray, label: np.ndarray, kept_out: np.ndarray, draw: Draw | None = None
+) -> CoTrained:
+    """Train on rows with ``label`` 0 or 1; the views teach each other with what ``draw`` finds, at first among rows of label -1."""
     known = label >= 0
+    draw = draw or draw_from(content[~known], metadata[~known])
     good = int((label == 1).sum())
     prior = (good + 1) / (known.sum() + 2)
     teach, check = known & ~kept_out, known & kept_out
     if any(len(set(label[part])) < 2 for part in (teach, check)):
         return CoTrained(None, None, float(prior))
     views = [content, metadata]
-    labels = [np.where(teach, label, -1) for _ in views]
-    pool = ~known
-    models = [None, None]
+    taught = [(x[teach], label[teach]) for x in views]
+    met: list[set[bytes]] = [set(), set()]
     for turn in range(ROUNDS + 1):
-        for i, x in enumerate(views):
-            own = labels[i] >= 0
-            models[i] = fit_logistic(x[own], labels[i][own]).calibrated(x[check], label[check])
-        if turn == ROUNDS or not pool.any():
+        models = [fit_logistic(x, y).calibrated(v[check], label[check]) for (x, y), v in zip(taught, views)]
+        if turn == ROUNDS:
             break
-        for i, x in enumerate(views):
-            p, other = probability(models[i].odds(x)), labels[1 - i]
-            for value, sureness in ((1, p), (0, 1 - p)):
-                fresh = np.flatnonzero(pool & (other < 0) & (sureness >= SURE))
-                other[fresh[np.argsort(-sureness[fresh], kind="stable")[:PER_ROUND]]] = value
+        for found in draw(models, turn):
+            other = 1 - found.view
+            keys = [c.tobytes() + m.tobytes() for c, m in zip(found.content, found.metadata)]
+            fresh = [i for i, key in enumerate(keys) if key not in met[other]]
+            met[other].update(keys)
+            x, y = taught[other]
+            taught[other] = (
+                np.concatenate([x, (found.content, found.metadata)[other][fresh]]),
+                np.append(y, np.full(len(fresh), found.value, y.dtype)),
+            )
     return CoTrained(*models, float(prior))
 
 
@@ -168,8 +214,71 @@ def _described(docs: DataFrame, *first) -> DataFrame:
     return docs.select(*first, text_of(), *[c.alias(f"m{i}") for i, c in enumerate(described)])
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> CoTrained:
-    """Train on at most ``labelled`` documents with a label and ``pool`` without one."""
+_DESCRIBED = "doc_id long, label int, content binary, metadata binary"
+
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Views as bytes; of the metadata, the places of its ones."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            content, metadata = _views(part, 2)
+            ones = [np.flatnonzero(row).astype(np.uint8) for row in metadata]
+            packed = [pa.array([row.tobytes() for row in v], pa.binary()) for v in (content, ones)]
+            columns = [part.column(0).cast(pa.int64()), part.column(1).cast(pa.int32()), *packed]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "content", "metadata"])
+
+
+def _unpacked(content: list[bytes], metadata: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    ones = np.frombuffer(b"".join(metadata), np.uint8).reshape(len(metadata), len(METADATA))
+    spread = np.zeros((len(metadata), _BUCKETS * len(METADATA)), np.float32)
+    spread[np.arange(len(metadata))[:, None], ones] = 1
+    return np.frombuffer(b"".join(content), np.float32).reshape(len(content), -1), spread
+
+
+def draw_at_scale(pool: DataFrame) -> Draw:
+    """Draw from a stored table of ``content, metadata``: a count of the sure documents sets the hash below which they are drawn."""
+
+    def sure_rows(models: list[Logistic], turn: int, ends: dict | None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1000):
+                    content, metadata = (batch.column(i).slice(at, 1000).to_pylist() for i in (0, 1))
+                    sure = sure_of(models, *_unpacked(content, metadata))
+                    # above 0, so that it is a long
+                    h = np.array([xxhash.xxh64_intdigest(c + m, turn) >> 1 for c, m in zip(content, metadata)], np.int64)
+                    for (view, value), there in sure.items():
+                        kept = np.flatnonzero(there & (h <= (-1 if ends is None else ends.get((view, value), -1))))
+                        n = 1 if ends is None else len(kept)
+                        full = lambda x, n=n: pa.array(np.full(n, x, np.int64))
+                        names = ["view", "value", "n", "h", "content", "metadata"]
+                        told = [pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary())]
+                        drawn = [pa.array(h[kept])] + [pa.array([x[i] for i in kept], pa.binary()) for x in (content, metadata)]
+                        columns = [full(view), full(value), full(int(there.sum())), *(told if ends is None else drawn)]
+                        yield pa.RecordBatch.from_arrays(columns, names)
+
+        return pool.mapInArrow(run, "view long, value long, n long, h long, content binary, metadata binary")
+
+    def draw(models: list[Logistic], turn: int) -> list[Sure]:
+        counts = sure_rows(models, turn, None).groupBy("view", "value").agg(F.sum("n").alias("n")).collect()
+        # half as many again, because a hash draws a few more or less than its share
+        ends = {(r["view"], r["value"]): min(2**63 - 1, int(2**63 * 1.5 * PER_ROUND / r["n"])) for r in counts if r["n"]}
+        drawn = sure_rows(models, turn, ends)
+        out = []
+        if not ends:
+            return out
+        # at most ``PER_ROUND`` rows per view and label
+        place = W.partitionBy("view", "value").orderBy("h", "content", "metadata")
+        kept = drawn.withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= PER_ROUND).drop("_n").toPandas()
+        for (view, value), rows in kept.sort_values(["h", "content", "metadata"]).groupby(["view", "value"]):
+            out.append(Sure(int(view), int(value), *_unpacked(list(rows["content"]), list(rows["metadata"]))))
+        return out
+
+    return draw
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> CoTrained:
+    """Train on at most ``labelled`` documents with a label; all others take part in the exchange, equal ones as one."""
     order = [F.xxhash64("doc_id"), "doc_id"]
     marks = (
         labels.where("quality IN (0, 1)")
@@ -180,26 +289,23 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     )
     ids = docs.select(column("doc_id").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     known = ids.join(marks, "doc_id").orderBy(*order).limit(labelled)
-    others = ids.join(marks, "doc_id", "left_anti").orderBy(*order).limit(pool).withColumn("label", F.lit(-1))
-    # at most ``labelled + pool`` rows
-    wanted = F.broadcast(known.unionByName(others).withColumnRenamed("doc_id", "_wanted"))
-    rows = _described(docs.join(wanted, column("doc_id") == F.col("_wanted")), F.col("_wanted"), F.col("label").cast("int"))
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                content, metadata = _views(batch, 2)
-                packed = [pa.array([row.tobytes() for row in v], pa.binary()) for v in (content, metadata)]
-                columns = [batch.column(0).cast(pa.int64()), batch.column(1), *packed]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "content", "metadata"])
-
-    found = rows.mapInArrow(describe, "doc_id long, label int, content binary, metadata binary").toPandas()
+    # at most ``labelled`` rows
+    wanted = F.broadcast(stored(known.withColumnRenamed("doc_id", "_wanted"), "quality-labels"))
+    same = column("doc_id") == F.col("_wanted")
+    rows = _described(docs.join(wanted, same), F.col("_wanted"), F.col("label").cast("int"))
+    # one row an id, however often it is repeated
+    one = F.min(F.struct("content", "metadata")).alias("one")
+    found = rows.mapInArrow(_describe, _DESCRIBED).groupBy("doc_id", "label").agg(one).select("doc_id", "label", "one.*").toPandas()
     if found.empty:
         return CoTrained(None, None, 0.5)
-    found = found.sort_values(["doc_id", "content"])
-    views = [np.frombuffer(b"".join(found[v]), np.float32).reshape(len(found), -1) for v in ("content", "metadata")]
+    found = found.sort_values("doc_id")
+    views = _unpacked(list(found["content"]), list(found["metadata"]))
+    label = found["label"].to_numpy()
     kept_out = np.array([zlib.crc32(str(d).encode()) % 4 == 0 for d in found["doc_id"]])
-    return co_train(*views, found["label"].to_numpy(), kept_out)
+    nothing = F.lit(None).cast("int")
+    others = _described(docs.join(wanted, same, "left_anti"), column("doc_id"), nothing).mapInArrow(_describe, _DESCRIBED)
+    pool = stored(others.groupBy("content", "metadata").agg(F.lit(1).alias("one")).select("content", "metadata"), "quality-pool")
+    return co_train(*views, label, kept_out, draw_at_scale(pool))
 
 
 def score_quality(docs: DataFrame, model: CoTrained) -> DataFrame:
@@ -236,12 +342,12 @@ def keep_good(docs: DataFrame, model: CoTrained, least: float = KEEP) -> DataFra
     return docs.mapInArrow(run, docs.schema)
 
 
-def quality_classifier(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> DataFrame:
+def quality_classifier(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """One row per document with the probability of good quality by each view and by both.
 
-    Trained on bounded samples; every whole text is scored. A null text is empty; missing or null metadata
+    The labelled sample is bounded; every whole text is scored, in the exchange and at the end. A null text is empty; missing or null metadata
     is a value of its own. Labels other than 0 and 1 and contradicting ones are ignored. Without
     labels of both kinds every document has the prior as its score. Rows that repeat keep their
     rows; other columns are ignored.
     """
-    return score_quality(docs, fit(docs, labels, labelled, pool))
+    return score_quality(docs, fit(docs, labels, labelled))
