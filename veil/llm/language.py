@@ -154,6 +154,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, spread: int = SAMPLE_WINDOWS) ->
         .where("lang IS NOT NULL")
         .join(F.broadcast(chosen), "doc_id", "left_semi")
         .mapInArrow(lambda batches: _samples(batches, spread), "doc_id long, lang string, place int, bytes binary")
+        # one window a place, however often an id is repeated
+        .groupBy("doc_id", "lang", "place")
+        .agg(F.min("bytes").alias("bytes"))
         .toPandas()
         .sort_values(["lang", "doc_id", "place", "bytes"])
     )
