@@ -35,7 +35,7 @@ def test_quality_sample_has_one_row_an_id(spark):
 
 
 def test_draws_at_scale_are_those_in_memory(spark):
-    """The exchange over a table finds what the plain form finds, over all rows."""
+    """Where no view is sure of more than are drawn, the exchange over a table finds what the plain form finds."""
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     none = F.lit(None).cast("int")
     rows = quality._described(docs, F.col("doc_id"), none).mapInArrow(quality._describe, quality._DESCRIBED)
@@ -46,6 +46,7 @@ def test_draws_at_scale_are_those_in_memory(spark):
     key = lambda found: {(s.view, s.value, c.tobytes(), m.tobytes()) for s in found for c, m in zip(s.content, s.metadata)}
     unpacked = quality._unpacked(list(packed["content"]), list(packed["metadata"]))
     sure = quality.sure_of(models, *unpacked)
+    assert max(x.sum() for x in sure.values()) <= quality.PER_ROUND
     got = quality.draw_at_scale(pool)(models, 1)
     assert sum(len(s.content) for s in got) == sum(min(quality.PER_ROUND, int(x.sum())) for x in sure.values()) > 0
     assert key(got) == key(quality.draw_from(*unpacked)(models, 1))
