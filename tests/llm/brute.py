@@ -47,9 +47,10 @@ def components(n: int, linked) -> list[int]:
 
 
 def later_lines(rows, min_words=1):
-    """``(row, line)`` of lines with an earlier line of Jaccard similarity 0.8 or more."""
+    """``(row, line)`` of lines with an earlier line of Jaccard similarity 0.8 or more; the row decides between equal
+    ids and line numbers."""
     lines = [
-        (r, (d is None, d or 0, k), frozenset(x.lower().split()))
+        (r, (d is None, d or 0, k, r), frozenset(x.lower().split()))
         for r, (d, t) in enumerate(rows)
         for k, x in enumerate((t or "").split("\n"))
     ]
