@@ -19,7 +19,7 @@ are split into cells of line chunks, so no task gets a whole frequent word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,9 @@ _FLUSH = 250_000
 _PART_BYTES = 3 << 20
 _SEED = 11
 _KEY = ["none", "doc", "line", "row"]
-_FILTER_BITS = 22
+# Filter tables have so many bits at least and at most (8 MB); only work depends on that.
+_LEAST_FILTER_BITS, _FILTER_BITS = 16, 26
+_PIECES = 16
 _GONE = "_veil_removed_"
 _ROW = "_veil_row"
 _ENTRY = np.dtype(
@@ -425,7 +427,7 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
         rows, role = np.concatenate(parts), np.concatenate(roles)
         wanted = None
         if asked is not None:
-            wanted = _among(asked, rows["line"], rows["row"].copy())
+            wanted = _among(asked, _hash(rows["line"], rows["row"].copy()))
         x, y, more = cell_pairs(rows, role, limit, wanted)
         earlier = np.concatenate([rows[x], np.zeros(len(more), _ENTRY)])
         earlier["line"][len(x) :] = -1
@@ -453,42 +455,71 @@ def _hash(line: np.ndarray, row: np.ndarray) -> np.ndarray:
     return _mixed(row.view(np.uint64) ^ _mixed(line.astype(np.uint64), 4), 5)
 
 
-def _among(table: np.ndarray, line: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """Whether lines may be among the keys of a filter table."""
-    there = np.unpackbits(table).astype(bool)
-    return there[(_hash(line, row) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
+def _row_hash(row: np.ndarray) -> np.ndarray:
+    return _mixed(row.view(np.uint64), 6)
 
 
-def _line_filter(keys: DataFrame) -> np.ndarray:
-    """A table of fixed size that says of most lines that they are not among the keys."""
+def _set_hash(words: pa.Array) -> np.ndarray:
+    """The first half of each digest of a set of words."""
+    return np.frombuffer(b"".join(words.to_pylist()), np.uint64)[::2]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bucket = _hash(b.column(0).to_numpy(), b.column(1).to_numpy()) >> np.uint64(64 - _FILTER_BITS)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(bucket).astype(np.int32))], ["bucket"])
 
-    return _filter_table(keys.select("line_key.line", "line_key.row").mapInArrow(run, "bucket int"))
+def _word_hash(word: np.ndarray) -> np.ndarray:
+    return word.astype(np.uint64) << np.uint64(32)
 
 
-def _filter_table(buckets: DataFrame) -> np.ndarray:
-    # at most one number for each place of the table
-    there = np.zeros(1 << _FILTER_BITS, bool)
-    there[buckets.distinct().toPandas()["bucket"].to_numpy(np.int64)] = True
-    return np.packbits(there)
+def _among(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether hashes may be among those a filter table was made of."""
+    at = (hashes >> np.uint64(64 - _filter_bits(table))).astype(np.int64)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
 
 
-def _row_filter(keys: DataFrame) -> np.ndarray:
-    """The same for the rows of the keys."""
+def _filter_bits(table: np.ndarray) -> int:
+    return int(8 * len(table)).bit_length() - 1
+
+
+def _filter(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], expected: int) -> np.ndarray:
+    """A filter table of the hashes that batches of the rows give. It has about eight bits for each of the ``expected``
+    ones, within bounds, so it stays small whatever the input; a table too full only lets more through.
+
+    Every task marks a table of its own and hands over the marked pieces, which are combined in two levels.
+    """
+    bits = min(max(int(8 * expected).bit_length(), _LEAST_FILTER_BITS), _FILTER_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_row_bucket(b.column(0).to_numpy())).astype(np.int32))], ["bucket"])
+        there = np.zeros(1 << bits, bool)
+        for batch in batches:
+            there[(hashes(batch) >> np.uint64(64 - bits)).astype(np.int64)] = True
+        pieces = np.packbits(there).reshape(_PIECES, -1)
+        some = np.flatnonzero(pieces.any(axis=1))
+        marks = pa.array([p.tobytes() for p in pieces[some]], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), marks], ["piece", "marks"])
+
+    def either(key: tuple, group: pa.Table) -> pa.Table:
+        marks = np.zeros((1 << bits) // 8 // _PIECES, np.uint8)
+        for x in group.column("marks"):
+            marks |= np.frombuffer(x.as_py(), np.uint8)
+        return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "marks": pa.array([marks.tobytes()], pa.binary())})
+
+    schema = "piece int, marks binary"
+    spread = rows.mapInArrow(run, schema).withColumn("_task", F.spark_partition_id() % 64)
+    whole = spread.groupBy("piece", "_task").applyInArrow(either, schema).groupBy("piece").applyInArrow(either, schema)
+    table = np.zeros((_PIECES, (1 << bits) // 8 // _PIECES), np.uint8)
+    # 2**_FILTER_BITS bits at most, whatever the input
+    for r in whole.collect():
+        table[r["piece"]] = np.frombuffer(r["marks"], np.uint8)
+    return table.ravel()
+
 
-    return _filter_table(keys.select("line_key.row").mapInArrow(run, "bucket int"))
+def _line_filter(keys: DataFrame) -> np.ndarray:
+    """A table that says of most lines that they are not among the stored keys."""
+    places = keys.select("line_key.line", "line_key.row")
+    return _filter(places, lambda b: _hash(b.column(0).to_numpy(), b.column(1).to_numpy()), keys.count())
 
 
-def _row_bucket(row: np.ndarray) -> np.ndarray:
-    return (_mixed(row.view(np.uint64), 6) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+def _row_filter(keys: DataFrame) -> np.ndarray:
+    """The same for the rows of the stored keys."""
+    return _filter(keys.select("line_key.row"), lambda b: _row_hash(b.column(0).to_numpy()), keys.count())
 
 
 def _line_words(docs: DataFrame, keys: DataFrame, min_words: int, shingle: int) -> DataFrame:
@@ -496,14 +527,13 @@ def _line_words(docs: DataFrame, keys: DataFrame, min_words: int, shingle: int)
     wanted, owners = _line_filter(keys), _row_filter(keys)
 
     def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        there = np.unpackbits(owners).astype(bool)
         for batch in batches:
-            yield batch.filter(pa.array(there[_row_bucket(batch.column(0).to_numpy())]))
+            yield batch.filter(pa.array(_among(owners, _row_hash(batch.column(0).to_numpy()))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for places, ids, lines in _parsed(few(batches), min_words, shingle):
             none, doc = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, 0).to_numpy()
-            at = np.flatnonzero(_among(wanted, lines.number, places))
+            at = np.flatnonzero(_among(wanted, _hash(lines.number, places)))
             sets = [lines.tokens[a : a + n].tobytes() for a, n in zip(lines.starts[at].tolist(), lines.sizes[at].tolist())]
             columns = [pa.array(none[at]), pa.array(doc[at]), pa.array(lines.number[at]), pa.array(places[at]), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*_KEY, "set"])
@@ -515,23 +545,22 @@ def _line_words(docs: DataFrame, keys: DataFrame, min_words: int, shingle: int)
 def _narrowed(packed: DataFrame, asked: np.ndarray) -> DataFrame:
     """The entries of words that lines of a filter table have; the others can be no candidates of theirs."""
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n, data in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
-                rows = _unpacked(data, n)
-                own = _among(asked, rows["line"], rows["row"].copy())
-                bucket = np.unique(rows["word"][own] >> np.uint32(32 - _FILTER_BITS))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32))], ["bucket"])
+    def words(batch: pa.RecordBatch) -> np.ndarray:
+        own = [np.zeros(0, np.uint32)]
+        for n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            rows = _unpacked(data, n)
+            own.append(rows["word"][_among(asked, _hash(rows["line"], rows["row"].copy()))])
+        return _word_hash(np.concatenate(own))
 
-    table = _filter_table(packed.mapInArrow(words, "bucket int"))
+    # a line asked for has no more than a few entries for each bit of its filter table
+    table = _filter(packed.select("n", "entries"), words, len(asked))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        there = np.unpackbits(table).astype(bool)
         for batch in batches:
             rows = []
             for *place, n, data in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 own = _unpacked(data, n)
-                own = own[there[own["word"] >> np.uint32(32 - _FILTER_BITS)]]
+                own = own[_among(table, _word_hash(own["word"]))]
                 if len(own):
                     rows.append((*place, own))
             yield from _batches(iter(rows))
