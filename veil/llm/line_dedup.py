@@ -210,14 +210,16 @@ def _overlap(sizes: np.ndarray) -> np.ndarray:
     return -((-sizes * a) // (a + b))
 
 
-def _entries(rows: np.ndarray, ids: pa.Array, lines: Lines, counts: np.ndarray, seen: dict) -> tuple[np.ndarray, np.ndarray]:
+def _entries(rows: np.ndarray, ids: pa.Array, lines: Lines, counts: np.ndarray, seen: dict, repeats: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Prefix entries, and how many lines may share each word.
 
     A line whose set an earlier line of this task has is left out: it is removed for that.
     """
     none, doc = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, 0).to_numpy()
-    new = np.zeros(len(lines.sizes), bool)
-    for i, d in enumerate(lines.digests()):
+    digests = lines.digests()
+    new = np.zeros(len(lines.sizes), bool) if repeats is None else ~_among(repeats, _set_hash(digests))
+    for i in np.flatnonzero(~new).tolist():
+        d = digests[i]
         order = (none[i], doc[i], lines.number[i], rows[i])
         if d not in seen or order < seen[d]:
             seen[d] = order
@@ -239,9 +241,10 @@ def _entries(rows: np.ndarray, ids: pa.Array, lines: Lines, counts: np.ndarray,
     return out, often[order]
 
 
-def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
+def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: int = MIN_WORDS, shingle: int = 0, repeats: np.ndarray | None = None) -> DataFrame:
     """Prefix entries, packed by cell: ``cell, i, j, role, entries``. Cells of words that more lines share
-    than a chunk holds have a number for each pair of chunks."""
+    than a chunk holds have a number for each pair of chunks. ``repeats`` is a filter table of the sets that several
+    lines have."""
 
     def pack(entries: list, often: list) -> Iterator[tuple]:
         rows, often = np.concatenate(entries), np.concatenate(often)
@@ -261,7 +264,7 @@ def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, waiting, often = {}, [], []
         for places, ids, lines in _parsed(batches, min_words, shingle):
-            entries, n = _entries(places, ids, lines, counts, seen)
+            entries, n = _entries(places, ids, lines, counts, seen, repeats)
             waiting.append(entries), often.append(n)
             if sum(map(len, waiting)) > _FLUSH:
                 yield from _batches(pack(waiting, often))
@@ -459,9 +462,9 @@ def _row_hash(row: np.ndarray) -> np.ndarray:
     return _mixed(row.view(np.uint64), 6)
 
 
-def _set_hash(words: pa.Array) -> np.ndarray:
+def _set_hash(words: pa.Array | list[bytes]) -> np.ndarray:
     """The first half of each digest of a set of words."""
-    return np.frombuffer(b"".join(words.to_pylist()), np.uint64)[::2]
+    return np.frombuffer(b"".join(words.to_pylist() if isinstance(words, pa.Array) else words), np.uint64)[::2]
 
 
 def _word_hash(word: np.ndarray) -> np.ndarray:
@@ -593,13 +596,13 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_()))], ["line_key"])
 
 
-def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
+def near_later_lines(docs: DataFrame, counts: np.ndarray, repeats: np.ndarray, entries: int, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
     """``line_key`` of lines with a similar earlier line, but for lines whose set an earlier line has."""
     cells = max(partitions(docs.sparkSession), -(-entries // _CELL_ENTRIES))
-    packed = stored(packed_entries(docs, counts, cells, min_words, shingle), "prefix-entries")
+    packed = stored(packed_entries(docs, counts, cells, min_words, shingle, repeats), "prefix-entries")
     limit, pending, asked, matched = LIMIT, None, None, []
     while True:
-        found = candidates(packed, limit, asked)
+        found = candidates(packed if asked is None else _narrowed(packed, asked), limit, asked)
         if pending is not None:
             found = found.join(pending, "y", "left_semi")
         found = stored(found, "candidates")
@@ -611,7 +614,6 @@ def near_later_lines(docs: DataFrame, counts: np.ndarray, entries: int, min_word
         if pending.isEmpty():
             break
         asked = _line_filter(pending.withColumnRenamed("y", "line_key"))
-        packed = stored(_narrowed(packed, asked), "prefix-entries")
         limit *= GROWTH
     out = matched[0]
     for m in matched[1:]:
@@ -627,14 +629,24 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0)
         F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "line", "row"),
     )
     place = F.col("line_key")
-    sets = lines.groupBy("words").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = stored(sets.where("n > 1"), "repeated-lines")
-    equal = spread_join(lines, repeated, "words", "n").where(place > F.col("first")).select("line_key")
+    # most sets are met once: only the lines of others, and few more, are shuffled
+    shared = lines.groupBy("words").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("words")
+    repeats = _filter(shared, lambda b: _set_hash(b.column(0)), lines.count())
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_among(repeats, _set_hash(batch.column(0)))))
+
+    key = "line_key struct<none: boolean, doc: bigint, line: int, row: bigint>"
+    few = stored(lines.select("words", "line_key").mapInArrow(some, f"words binary, {key}"), "repeated-lines")
+    sets = few.groupBy("words").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    repeated = stored(sets.where("n > 1"), "repeated-sets")
+    equal = spread_join(few, repeated, "words", "n").where(place > F.col("first")).select("line_key")
     a, b = THRESHOLD
     near_words = max(min_words, _PREFIX_WORDS)
     prefix = F.when(F.col("size") >= near_words, F.col("size") - F.ceil(F.col("size") * a / b) + 1)
     entries = lines.agg(F.sum(prefix)).first()[0] or 0
-    return equal.unionByName(near_later_lines(docs, counts, int(entries), near_words, shingle)).distinct()
+    return equal.unionByName(near_later_lines(docs, counts, repeats, int(entries), near_words, shingle)).distinct()
 
 
 def _per_row(docs: DataFrame, min_words: int) -> DataFrame:
