@@ -9,7 +9,8 @@ size, its place in the line and one parity bit vector of the words, and pairs ar
 sizes differ too much (length filter), when too few words are left after the shared one (positional filter),
 or when more parity bits differ than words may. What remains is verified on the full sets.
 
-Of many candidates of a line only the earliest are verified first. Lines that had more, and found no match
+Lines of many words are first compared by a longer parity vector, which is stored once a line. Of many candidates of a
+line only the nearest by parity are verified first. Lines that had more, and found no match
 among those, take part in another round with a higher limit, until no such line is left; so the
 limit decides about work, not about results.
 
@@ -37,17 +38,18 @@ THRESHOLD = (4, 5)
 MIN_WORDS = 1
 # Smaller sets are similar to equal ones only: one word more or less than three leaves three quarters.
 _PREFIX_WORDS = 4
-LIMIT, GROWTH = 1, 32
+LIMIT, GROWTH = 8, 32
 _COUNT_BITS = 20
 _CELL_ENTRIES = 250_000
 _CHUNK_LINES = 1 << 16
 _PAIRED = 256  # groups up to this size are paired by shifting the sorted entries
 _FLUSH = 250_000
+_NARROW_WORDS = 64  # so many words at most are told apart by 64 bits
 _PART_BYTES = 3 << 20
 _SEED = 11
 _KEY = ["none", "doc", "line", "row"]
 # Filter tables have so many bits at least and at most (8 MB); only work depends on that.
-_LEAST_FILTER_BITS, _FILTER_BITS = 16, 26
+_LEAST_FILTER_BITS, _FILTER_BITS = 22, 26
 _PIECES = 16
 _GONE = "_veil_removed_"
 _ROW = "_veil_row"
@@ -56,6 +58,14 @@ _ENTRY = np.dtype(
 )
 
 
+def _may_be_similar(x_size: int, x: bytes, y_size: int, y: bytes) -> bool:
+    """Whether wide parity vectors, the longer one folded, differ in no more bits than similar sets may differ in words."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    folded = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    both = np.int64(x_size + y_size)
+    return int(np.bitwise_count(a ^ folded).sum()) <= both - 2 * _overlap(both)
+
+
 class Lines:
     """The lines of a batch of texts that have enough words: distinct word hashes, grouped by line."""
 
@@ -93,6 +103,23 @@ class Lines:
         sums = [self._reduce(np.add, _mixed(self.tokens, s)) for s in (1, 2)]
         return [a + b for a, b in zip(*([x.tobytes() for x in s] for s in sums))]
 
+    def wide(self) -> list[bytes | None]:
+        """Parity of lines of many words over two to four bits a word, their number a power of two; none for other lines."""
+        long = np.flatnonzero(self.sizes > _NARROW_WORDS)
+        out: list[bytes | None] = [None] * len(self.sizes)
+        if len(long):
+            bits = np.zeros(len(self.sizes), np.int64)
+            bits[long] = 2 << np.ceil(np.log2(self.sizes[long])).astype(np.int64)
+            ends = np.cumsum(bits)
+            owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+            own = bits[owner] > 0
+            owner, place = owner[own], (self.tokens[own] >> np.uint64(8)).astype(np.int64)
+            flips = np.bincount((ends - bits)[owner] + (place & (bits[owner] - 1)), minlength=ends[-1])
+            packed = np.packbits(flips.astype(np.uint8) & 1).tobytes()
+            for i, end in zip(long.tolist(), (ends[long] >> 3).tolist()):
+                out[i] = packed[end - int(bits[i] >> 3) : end]
+        return out
+
     def _reduce(self, ufunc, values: np.ndarray) -> np.ndarray:
         return ufunc.reduceat(values, self.starts) if len(self.starts) else np.zeros(0, np.uint64)
 
@@ -161,8 +188,8 @@ def _parsed(batches: Iterator[pa.RecordBatch], min_words: int, shingle: int) ->
 
 
 def line_table(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0) -> tuple[DataFrame, np.ndarray]:
-    """``row, doc_id, line, size, words`` of every line, ``words`` being a digest of its set of words; and how many
-    lines hold words of each hash prefix. Both come from one reading of the texts."""
+    """``row, doc_id, line, size, words, wide`` of every line, ``words`` being a digest of its set of words and ``wide`` the
+    parity vector of a long one; and how many lines hold words of each hash prefix. Both come from one reading of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _COUNT_BITS, np.int64)
@@ -170,15 +197,15 @@ def line_table(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0) ->
             counts += np.bincount((lines.tokens >> np.uint64(64 - _COUNT_BITS)).astype(np.int64), minlength=len(counts))
             columns = [pa.array(rows), ids, pa.array(lines.number)]
             columns += [pa.array(lines.sizes.astype(np.int32)), pa.array(lines.digests(), pa.binary())]
-            columns += [pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())]
+            columns += [pa.array(lines.wide(), pa.binary()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
         pieces = np.minimum(counts, 2**32 - 1).astype("<u4").reshape(16, -1)
-        columns = [pa.nulls(16, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())]
+        columns = [pa.nulls(16, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())]
         columns += [pa.array(range(16), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["row", "doc_id", "line", "size", "words", "piece", "counts"]
-    schema = "row long, doc_id long, line int, size int, words binary, piece int, counts binary"
+    names = ["row", "doc_id", "line", "size", "words", "wide", "piece", "counts"]
+    schema = "row long, doc_id long, line int, size int, words binary, wide binary, piece int, counts binary"
     both = stored(_numbered(docs).mapInArrow(run, schema), "lines")
     return both.where("piece IS NULL").drop("piece", "counts"), summed(both.where("piece IS NOT NULL").select("piece", "counts"))
 
@@ -571,6 +598,22 @@ def _narrowed(packed: DataFrame, asked: np.ndarray) -> DataFrame:
     return packed.mapInArrow(keep, packed.schema)
 
 
+def _plausible(pairs: DataFrame, wide: DataFrame) -> DataFrame:
+    """The pairs without those of long lines whose wide parity vectors differ too much; sets are far larger than these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [batch.column(i).to_pylist() for i in range(2, 6)]
+            keep = [x is None or y is None or _may_be_similar(n, x, m, y) for n, x, m, y in zip(*values)]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in (0, 1)], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    for side in "xy":
+        own = wide.select(F.col("line_key").alias(side), F.col("size").alias(f"{side}_size"), F.col("wide").alias(f"{side}_wide"))
+        pairs = pairs.join(own, side, "left")
+    key = "struct<none: boolean, doc: bigint, line: int, row: bigint>"
+    return pairs.select("x", "y", "x_size", "x_wide", "y_size", "y_wide").mapInArrow(run, f"x {key}, y {key}")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, min_words: int, shingle: int) -> DataFrame:
     """``line_key`` of the later lines of pairs that are similar by their full sets."""
     asks = pairs.select(F.col("x").alias("line_key"), "x", "y", F.lit(True).alias("early")).unionByName(
@@ -596,7 +639,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_()))], ["line_key"])
 
 
-def near_later_lines(docs: DataFrame, counts: np.ndarray, repeats: np.ndarray, entries: int, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
+def near_later_lines(docs: DataFrame, wide: DataFrame, counts: np.ndarray, repeats: np.ndarray, entries: int, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
     """``line_key`` of lines with a similar earlier line, but for lines whose set an earlier line has."""
     cells = max(partitions(docs.sparkSession), -(-entries // _CELL_ENTRIES))
     packed = stored(packed_entries(docs, counts, cells, min_words, shingle, repeats), "prefix-entries")
@@ -606,7 +649,7 @@ def near_later_lines(docs: DataFrame, counts: np.ndarray, repeats: np.ndarray, e
         if pending is not None:
             found = found.join(pending, "y", "left_semi")
         found = stored(found, "candidates")
-        pairs = found.where("x.line >= 0")
+        pairs = stored(_plausible(found.where("x.line >= 0"), wide), "pairs")
         hits = stored(_verified(docs, pairs, min_words, shingle), "similar-lines")
         matched.append(hits)
         more = found.where("x.line < 0").select("y").distinct()
@@ -629,6 +672,7 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0)
         F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "line", "row"),
     )
     place = F.col("line_key")
+    wide = lines.where("wide IS NOT NULL").select("line_key", "size", "wide")
     # most sets are met once: only the lines of others, and few more, are shuffled
     shared = lines.groupBy("words").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("words")
     repeats = _filter(shared, lambda b: _set_hash(b.column(0)), lines.count())
@@ -646,7 +690,7 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0)
     near_words = max(min_words, _PREFIX_WORDS)
     prefix = F.when(F.col("size") >= near_words, F.col("size") - F.ceil(F.col("size") * a / b) + 1)
     entries = lines.agg(F.sum(prefix)).first()[0] or 0
-    return equal.unionByName(near_later_lines(docs, counts, repeats, int(entries), near_words, shingle)).distinct()
+    return equal.unionByName(near_later_lines(docs, wide, counts, repeats, int(entries), near_words, shingle)).distinct()
 
 
 def _per_row(docs: DataFrame, min_words: int) -> DataFrame:
