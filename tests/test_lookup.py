@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veil.operators import lookup as module
-from veil.operators.lookup import attach_group_count, lookup
+from veil.operators.lookup import attach_group_count, lookup, lookup_totals
 from veil.operators.suppress import keep_singletons, suppress_rare
 from veil.plans import tables
 
@@ -223,3 +223,20 @@ def test_salts_follow_the_shuffle_partitions(spark, facts):
         assert 256 < largest < 1200
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+@pytest.mark.parametrize("limit", [0, None])
+def test_totals_of_a_key_frequent_on_both_sides(spark, limit):
+    """Entries are combined before rows meet them: 900 million pairs are never formed. Keys are compared as their common type."""
+    facts = spark.range(30_000).select("id", F.when(F.col("id") % 3 > 0, 7).when(F.col("id") % 3 == 0, F.col("id") % 30).alias("k"))
+    facts = facts.select("id", F.when(F.col("k") != 3, F.col("k")).alias("k"))
+    entries = spark.range(45_000).select(F.when(F.col("id") < 40_000, "7").when(F.col("id") < 44_000, "07").when(F.col("id") > 44_500, "9").alias("key"), F.col("id").alias("val"))
+    totals = {"n": F.count(F.lit(1)), "k": F.sum("val")}
+    got = lookup_totals(facts.withColumn("m", F.col("k")), entries, ["m"], ["key"], totals, broadcast_bytes=limit)
+    assert got.count() == 30_000
+    found = {r["m"]: (r["n"], r["k"], r["rows"]) for r in got.groupBy("m", "n", "k").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    assert found[7][:2] == (44_000, sum(range(44_000))) and found[7][2] == 20_000
+    assert found[None][:2] == (501, sum(range(44_000, 44_501))) and found[9][:2] == (499, sum(range(44_501, 45_000)))
+    assert found[0][:2] == (None, None)
+    with pytest.raises(ValueError, match="match columns"):
+        lookup_totals(facts, entries, ["k"], ["key", "val"], totals)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from veil.functions.templates import quoted
 from veil.plans import tables
@@ -89,6 +90,33 @@ def lookup(
     )
 
 
+def lookup_totals(
+    df: DataFrame,
+    table: DataFrame,
+    match: Sequence[str | Column],
+    keys: Sequence[str],
+    totals: dict[str, Column],
+    *,
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """Left join on null-safe key equality, adding ``totals`` (new name -> aggregate over the entries of the row's key).
+
+    The entries are combined per key before they meet the rows, with partial results per task, so that a key frequent
+    on both sides costs its rows and its entries, not their product. Each row stays one row.
+    """
+    if len(match) != len(keys):
+        raise ValueError(f"{len(match)} match columns for {len(keys)} key columns: {keys}")
+    own = df.select(*[_column(m).alias(f"_m{i}") for i, m in enumerate(match)])
+    # of the type in which keys are compared, since keys that differ in their own may be equal there
+    names = [f"_k{i}" for i in range(len(keys))]
+    types = [_common_type(df.sparkSession, a.dataType, table.schema[k].dataType) for a, k in zip(own.schema.fields, keys)]
+    grouped = table.groupBy(*[F.col(quoted(k)).cast(t).alias(n) for k, t, n in zip(keys, types, names)])
+    # the names of the keys may be those of the totals
+    combined = grouped.agg(*[c.alias(f"_t{i}") for i, c in enumerate(totals.values())])
+    values = {new: f"_t{i}" for i, new in enumerate(totals)}
+    return lookup(df, combined, match, names, values, broadcast_bytes=broadcast_bytes)
+
+
 def _grid_join(
     probe: DataFrame, own: list[str], probe_hash: Column, entries: DataFrame, slim: DataFrame, names: list[str], hot: list[int]
 ) -> DataFrame:
@@ -228,9 +256,7 @@ def _hashes(left: DataFrame, own: Sequence[str], right: DataFrame, names: Sequen
     """Hashes of both sides' keys that agree wherever the keys compare as equal."""
     pairs = []
     for m, n in zip(own, names):
-        types = [left.schema[m].dataType, right.schema[n].dataType]
-        both = F.coalesce(*[F.lit(None).cast(t) for t in types]).alias("c")
-        common = left.sparkSession.range(1).select(both).schema["c"].dataType
+        common = _common_type(left.sparkSession, left.schema[m].dataType, right.schema[n].dataType)
         columns = [F.col(c).cast(common) for c in (m, n)]
         if common.typeName() in ("float", "double"):
             columns = [c + F.lit(0.0) for c in columns]  # one zero
@@ -238,6 +264,12 @@ def _hashes(left: DataFrame, own: Sequence[str], right: DataFrame, names: Sequen
     return F.xxhash64(*[p[0] for p in pairs]), F.xxhash64(*[p[1] for p in pairs])
 
 
+def _common_type(spark: SparkSession, *types: DataType) -> DataType:
+    """The type in which values of these types are compared."""
+    both = F.coalesce(*[F.lit(None).cast(t) for t in types]).alias("c")
+    return spark.range(1).select(both).schema["c"].dataType
+
+
 def _with_keys(df: DataFrame, match: Sequence[str | Column]) -> tuple[DataFrame, list[str]]:
     own = [f"_m{i}" for i in range(len(match))]
     return df.withColumns(dict(zip(own, map(_column, match)))), own
