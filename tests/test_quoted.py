@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import SparkSession
 
+import __spark_entry__ as registered
 from veil.sources import quoted, readers
 
 
@@ -85,3 +86,13 @@ def test_empty_files(ranged, tmp_path):
 def test_other_encodings_are_left_to_spark():
     assert quoted.splittable({"encoding": "utf-8"}) and not quoted.splittable({"encoding": "cp949"})
     assert not quoted.splittable({"inferSchema": True}) and not quoted.splittable({"lineSep": "\r"})
+
+
+def test_texts_with_line_breaks_pass_through_many_tasks(spark, tmp_path):
+    """A table of several files is not written through one task, and comes back whole."""
+    rows = [(i, "a\n" * (i % 4) + f'"{i}",', "en", "x\ny") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = registered.queries()["csv_line_breaks"](spark, str(tmp_path))
+    assert len(got.inputFiles()) == 3
+    assert sorted(map(tuple, got.collect())) == sorted((d, t, f'{lang}\n"{source}') for d, t, lang, source in rows)
