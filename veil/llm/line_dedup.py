@@ -639,15 +639,23 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_()))], ["line_key"])
 
 
-def near_later_lines(docs: DataFrame, wide: DataFrame, counts: np.ndarray, repeats: np.ndarray, entries: int, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
-    """``line_key`` of lines with a similar earlier line, but for lines whose set an earlier line has."""
+def near_later_lines(
+    docs: DataFrame, wide: DataFrame, counts: np.ndarray, repeats: np.ndarray, entries: int, min_words: int = MIN_WORDS, shingle: int = 0,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """``line_key`` of lines with a similar earlier line, but for lines whose set an earlier line has.
+
+    No candidates are verified for the ``known`` ones, which are among the result.
+    """
     cells = max(partitions(docs.sparkSession), -(-entries // _CELL_ENTRIES))
     packed = stored(packed_entries(docs, counts, cells, min_words, shingle, repeats), "prefix-entries")
-    limit, pending, asked, matched = LIMIT, None, None, []
+    limit, pending, asked, matched = LIMIT, None, None, [] if known is None else [known]
     while True:
         found = candidates(packed if asked is None else _narrowed(packed, asked), limit, asked)
         if pending is not None:
             found = found.join(pending, "y", "left_semi")
+        elif known is not None:
+            found = found.join(known.withColumnRenamed("line_key", "y"), "y", "left_anti")
         found = stored(found, "candidates")
         pairs = stored(_plausible(found.where("x.line >= 0"), wide), "pairs")
         hits = stored(_verified(docs, pairs, min_words, shingle), "similar-lines")
@@ -664,8 +672,12 @@ def near_later_lines(docs: DataFrame, wide: DataFrame, counts: np.ndarray, repea
     return out.distinct()
 
 
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0) -> DataFrame:
-    """``line_key`` of every line with an equal or similar earlier line, from ``doc_id, text``."""
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0, pairs: DataFrame | None = None) -> DataFrame:
+    """``line_key`` of every line with an equal or similar earlier line, from ``doc_id, text``.
+
+    ``pairs`` of an earlier line ``x`` and a later one ``y``, found in another way, are verified first; for a line that one
+    of them settles no others are looked for.
+    """
     table, counts = line_table(docs, min_words, shingle)
     lines = table.withColumn(
         "line_key",
@@ -690,7 +702,11 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0)
     near_words = max(min_words, _PREFIX_WORDS)
     prefix = F.when(F.col("size") >= near_words, F.col("size") - F.ceil(F.col("size") * a / b) + 1)
     entries = lines.agg(F.sum(prefix)).first()[0] or 0
-    return equal.unionByName(near_later_lines(docs, wide, counts, repeats, int(entries), near_words, shingle)).distinct()
+    known = None
+    if pairs is not None:
+        likely = stored(_plausible(pairs, wide), "given-pairs")
+        known = stored(_verified(docs, likely, min_words, shingle), "settled-lines")
+    return equal.unionByName(near_later_lines(docs, wide, counts, repeats, int(entries), near_words, shingle, known)).distinct()
 
 
 def _per_row(docs: DataFrame, min_words: int) -> DataFrame:
@@ -744,14 +760,15 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True)
     return joined.mapInArrow(cut, schema)
 
 
-def keep_dissimilar(docs: DataFrame, shingle: int) -> DataFrame:
+def keep_dissimilar(docs: DataFrame, shingle: int, pairs: DataFrame | None = None) -> DataFrame:
     """The documents, all columns as they are, without those that have an earlier document of similar shingles.
 
     Of any two documents whose sets of shingles have a Jaccard similarity of at least ``THRESHOLD`` the later one goes,
     in the order of doc_id, null last, and row. Texts without words are equal. ``docs`` is read several times and
-    must give its rows in the same places, as a stored table does.
+    must give its rows in the same places, as a stored table does. Those of the ``pairs`` ``x, y`` that are similar settle
+    their later document before others are looked for.
     """
     plain = docs.select(column("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    gone = removed_lines(plain, 1, shingle).select(F.col("line_key.row").alias(_ROW))
+    gone = removed_lines(plain, 1, shingle, pairs).select(F.col("line_key.row").alias(_ROW))
     placed = docs.withColumn(_ROW, F.monotonically_increasing_id())
     return placed.join(gone.hint("shuffle_hash"), _ROW, "left_anti").drop(_ROW)

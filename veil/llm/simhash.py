@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veil.llm.common import column, spread_join, stored, text_of
+from veil.llm.common import column, partitions, spread_join, stored, text_of
 from veil.llm.graph import connected_components
 
 WORDS = 3
@@ -28,6 +28,8 @@ BLOCKS = 6
 SEED = 42
 _ROW = "_veil_row"
 _PART = 1 << 16  # hashes counted at once, so that a very long text needs little memory
+# the place of a document among all: null ids last
+PLACE = "struct<none: boolean, doc: bigint, line: int, row: bigint>"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -59,18 +61,22 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return int.from_bytes(np.packbits(2 * votes > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``row, doc_id, fp``: the place of the row in the table and the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, words: int = WORDS, hashes: bool = False) -> DataFrame:
+    """``row, doc_id, fp``: the place of the row in the table and the fingerprint as a signed 64-bit integer; with ``hashes``
+    also ``text_hash``."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).cast(pa.large_binary())
             fps = np.array([fingerprint(t.as_py(), words) for t in texts], np.uint64)
-            columns = [batch.column(0), batch.column(1), pa.array(fps.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "fp"])
+            columns = [batch.column(0), batch.column(1), pa.array(fps.view(np.int64)), *batch.columns[3:]]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), column("doc_id").cast("long").alias("doc_id"), text_of())
-    return rows.mapInArrow(hashed, "row long, doc_id long, fp long")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), column("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    if hashes:
+        rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    names = ["row", "doc_id", "fp", "text_hash"][: len(rows.columns)]
+    return rows.mapInArrow(hashed, ", ".join(f"{n} long" for n in names))
 
 
 def block_ranges(blocks: int = BLOCKS) -> list[tuple[int, int]]:
@@ -180,5 +186,34 @@ def keep_one_of_each(docs: DataFrame, words: int = WORDS, distance: int = DISTAN
     return placed.join(kept.hint("shuffle_hash"), _ROW, "left_semi").drop(_ROW)
 
 
+def near_pairs(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """Pairs ``x, y`` of documents to compare, ``x`` the earlier, as ``PLACE``: neighbours in each component of fingerprints,
+    ordered by fingerprint and place. Of equal texts the first takes part.
+
+    So no document is in more than two pairs. A component that is cut by the borders of tasks lacks a pair there.
+    """
+    rows = stored(fingerprints(docs, words, hashes=True), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), F.lit(0).alias("line"), "row")
+    texts = rows.groupBy("fp", "text_hash").agg(F.min(place).alias("place"))
+    rooted = _components(rows, distance, blocks)[0].select("fp", "root", "copies")
+    order = ["root", "fp", "place"]
+    dealt = spread_join(texts, rooted, "fp", "copies").select(*order).repartitionByRange(partitions(docs.sparkSession), *order)
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is not None:
+                batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            last = batch.slice(batch.num_rows - 1)
+            root, places = batch.column(0).to_numpy(), batch.column(1)
+            own = np.flatnonzero(root[1:] == root[:-1])
+            yield pa.RecordBatch.from_arrays([places.take(pa.array(own)), places.take(pa.array(own + 1))], ["a", "b"])
+
+    pairs = dealt.sortWithinPartitions(*order).select("root", "place").mapInArrow(pair, f"a {PLACE}, b {PLACE}")
+    return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+
+
 def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
