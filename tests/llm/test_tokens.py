@@ -183,3 +183,26 @@ def test_token_files_of_an_empty_table(spark, tmp_path):
     path = str(tmp_path / "none")
     tokenfile.write_token_files(brute.frame(spark, []).limit(0), path)
     assert tokenfile.read_token_files(spark, path).count() == 0
+
+
+def test_line_feeds_and_end_marks_are_encoded_apart():
+    """Words met before in another place of a line are no new ones: 1,000 words, four ways each."""
+    words = ["".join(random.Random(i).choices("abcdeéèû", k=9)) for i in range(1000)]
+    texts = [w + t for w in words for t in ("", ".", "...\n" + w)] + ["\n" + w for w in words] + ["\xa0x", "\n", "\n\n", "a\n", "b \n", "\tc"]
+    library, own = _library(tokens.BYTE_BPE), tokens.PieceEncoder()
+    for _ in range(2):
+        expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert _split(*own.encode(pa.array(texts))) == expected
+    assert len(own.known) < 1100
+
+
+def test_memory_of_pieces_is_small(monkeypatch):
+    """No Python object is kept for a piece, and forgetting keeps the bound."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 20_000)
+    own = tokens.PieceEncoder()
+    for seed in range(4):
+        rng = random.Random(seed)
+        own.encode(pa.array([" ".join("".join(rng.choices("abcdefgh", k=8)) for _ in range(15_000))]))
+        assert len(own.known) <= 20_000
+        kept = own.known.nbytes + sum(x.nbytes for x in (own.ids, own.lengths, own.seen))
+        assert kept < 70 * max(1000, len(own.known))

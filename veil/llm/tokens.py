@@ -1,16 +1,19 @@
 """Token ids of whole texts from the tokenizers library, with each distinct word encoded once.
 
-Byte-level BPE splits a text into words before it merges anything, and a blank between two visible
-characters always begins a word. So a text is cut before its blanks, the distinct pieces of a batch
-are looked up in a bounded memory, the library encodes those not known yet, and the ids of the
-pieces are put together in order. Texts with two white-space characters in a row, where that rule
-does not hold, are given to the library whole.
+Byte-level BPE splits a text into words before it merges anything; a blank between two visible characters always
+begins a word, and a line feed between two is one. So a text is cut before its blanks and line feeds, the distinct
+pieces of a batch are looked up in a bounded memory, the library encodes those not known yet, and the ids of the
+pieces are put together in order. Marks that end a piece are encoded apart. Texts with two white-space characters in
+a row, where that rule does not hold, and those that begin with a rare one are given to the library whole.
+
+The memory is a string array with flat ids, looked up by Arrow for a batch at a time: no Python object is kept for a piece.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -18,13 +21,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
-# Pieces remembered per Python worker, about 200 bytes each.
+# Pieces remembered per Python worker, about 50 bytes each.
 REMEMBERED = 500_000
-# Texts are encoded in batches of about this many bytes.
-BATCH_BYTES = 3 << 20
-_BLANK = "Ġ"  # a blank, as byte-level vocabularies spell it
+# Texts are encoded in batches of about this many bytes, and texts given to the library whole in smaller ones.
+BATCH_BYTES = 8 << 20
+_WHOLE_BYTES = 1 << 20
+_BLANK, _LINE = "Ġ", "Ċ"  # a blank and a line feed, as byte-level vocabularies spell them
 _MARKS = ".,!?;:|$%&#*"  # after a letter, a run of these at the end of a piece is a word of its own
-_SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"  # letters for every version of Unicode
+_OTHER_SPACE = r"\t\x{B}-\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_SPACE = rf"[ \n{_OTHER_SPACE}]"
+
+
+# How byte-level vocabularies spell bytes from 127 on that are no visible character of Latin-1; 33 lower ones come before.
+_SPELLINGS = {byte: 256 + 33 + i for i, byte in enumerate([*range(127, 161), 173])}
 
 
 def tokenizer_path(name: str) -> str:
@@ -37,8 +47,9 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     ends = np.cumsum(lengths)
     if not len(ends) or not ends[-1]:
         return values[:0]
-    shift = np.repeat(starts - (ends - lengths), lengths)
-    return values[np.arange(ends[-1]) + shift]
+    at = np.repeat(starts - (ends - lengths), lengths)
+    at += np.arange(ends[-1])
+    return values[at]
 
 
 def slices(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[pa.Array]:
@@ -52,6 +63,10 @@ def slices(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[pa.Array]:
         at = upto
 
 
+def _parts(places: np.ndarray, size: int = 2000) -> Iterator[np.ndarray]:
+    return (places[k : k + size] for k in range(0, len(places), size))
+
+
 class PieceEncoder:
     """Encodes string arrays to flat ids and the number of ids of each text."""
 
@@ -60,28 +75,24 @@ class PieceEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(tokenizer_path(vocabulary))
+        self.model = self.tokenizer.model
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         words = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.opens = np.array([w.startswith(_BLANK) for w in words])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.ids = np.zeros(1 << 20, "<u4")
-        self.starts, self.lengths = np.zeros(REMEMBERED, np.int64), np.zeros(REMEMBERED, np.int64)
-        self.seen = np.zeros(REMEMBERED, np.uint8)
-        self.filled = 0
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.lengths, self.seen = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, counts)`` of a batch of texts; null is the empty text."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        whole = pc.match_substring_regex(texts, _SPACE + _SPACE).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, f"{_SPACE}{_SPACE}|^[{_OTHER_SPACE}]").to_numpy(zero_copy_only=False)
         if not whole.any():
             return self._by_pieces(texts)
         plain = np.flatnonzero(~whole)
         ids, counts = self._by_pieces(texts.take(pa.array(plain)))
-        odd = self.tokenizer.encode_batch_fast(texts.take(pa.array(np.flatnonzero(whole))).to_pylist(), add_special_tokens=False)
-        odd_ids = [np.array(e.ids, "<u4") for e in odd]
+        odd_ids = []
+        for part in slices(texts.take(pa.array(np.flatnonzero(whole))), _WHOLE_BYTES):
+            odd_ids += self._each(part.to_pylist())
         every = np.concatenate([ids, *odd_ids])
         sizes, starts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         sizes[plain], sizes[whole] = counts, [len(x) for x in odd_ids]
@@ -89,103 +100,119 @@ class PieceEncoder:
         starts[whole] = len(ids) + np.cumsum(sizes[whole]) - sizes[whole]
         return gather(every, starts, sizes), sizes
 
+    def _each(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, "<u4"), np.zeros(0, np.int64)
-        split = pc.split_pattern(texts, " ")
+        # a line feed stands before each text, so that its first piece has no blank before it; that id is left out again
+        feed, none = (pa.scalar(x, pa.large_string()) for x in ("\n", ""))
+        split = pc.split_pattern(pc.binary_join_element_wise(feed, pc.replace_substring(texts, "\n", " \n"), none), " ")
         offsets = split.offsets.to_numpy()
+        offsets = offsets - offsets[0]
         distinct = split.flatten().dictionary_encode()
-        codes = distinct.indices.to_numpy().copy()
-        pieces = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
-        # the first piece of a text has no blank before it
-        firsts = offsets[:-1] - offsets[0]
-        heads = sorted({pieces[c] for c in codes[firsts]})
-        head_code = {h: len(pieces) + i for i, h in enumerate(heads)}
-        codes[firsts] = [head_code[pieces[c]] for c in codes[firsts]]
-        places = self._places([" " + p for p in pieces], heads)[codes]
-        sizes = self.lengths[places]
-        ids = gather(self.ids, self.starts[places], sizes)
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, np.diff(ends[offsets - offsets[0]])
-
-    def _places(self, pieces: list[str], heads: list[str]) -> np.ndarray:
-        wanted = pieces + heads
-        if len(self.places) + len(wanted) > REMEMBERED:
-            self._tidy(len(wanted))
-        get = self.places.get
-        found = [get(p) for p in wanted]
-        missing = [p for p, f in zip(wanted, found) if f is None]
-        if missing:
-            self._learn(missing)
-            found = [get(p) for p in wanted]
-        places = np.array(found, np.int64)
-        self.seen[places] += self.seen[places] < 255
-        return places
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces; a word that differs from others in its end marks only is encoded once."""
-        simple, marked = {}, {}
-        for p in pieces:
-            body = p.rstrip(_MARKS)
-            if len(body) < len(p) and body[-1:].isalpha():
-                marked[p] = body
-                simple[body] = simple[p[len(body) :]] = None
-            else:
-                simple[p] = None
-        self._encode_new([p for p in simple if p not in self.places])
-        if marked:
-            parts = np.array([[self.places[b], self.places[p[len(b) :]]] for p, b in marked.items()], np.int64)
-            lengths = self.lengths[parts]
-            ids = gather(self.ids, self.starts[parts.ravel()], lengths.ravel())
-            self._remember(list(marked), ids, lengths.sum(axis=1))
-
-    def _encode_new(self, pieces: list[str]) -> None:
-        others = [p for p in pieces if p[:1] != " "]
-        blank_first = [p for p in pieces if p[:1] == " "]
-        for at in range(0, len(blank_first), 2000):
-            part = blank_first[at : at + 2000]
+        ids, lengths = self._pieces(distinct.dictionary)
+        codes = distinct.indices.to_numpy()
+        sizes, starts = lengths[codes], (np.cumsum(lengths) - lengths)[codes]
+        starts[offsets[:-1]] += 1
+        sizes[offsets[:-1]] -= 1
+        ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
+        # executors hold several workers, and Arrow's pool would keep what the largest batch took
+        del split, distinct, codes
+        pa.default_memory_pool().release_unused()
+        return gather(ids, starts, sizes), np.diff(ends)
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, lengths)`` of distinct pieces. Each begins with a line feed or has a blank before it."""
+        bodies = pc.utf8_rtrim(pieces, _MARKS)
+        marked = pc.and_(pc.not_equal(bodies, pieces), pc.match_substring_regex(bodies, f"[{_LETTERS}]$"))
+        coded = pc.if_else(marked, bodies, pieces).dictionary_encode()
+        ids, starts, lengths = self._words(coded.dictionary)
+        own = coded.indices.to_numpy()
+        has = marked.to_numpy(zero_copy_only=False)
+        if not has.any():
+            return gather(ids, starts[own], lengths[own]), lengths[own]
+        ends = pc.binary_length(bodies.filter(marked)).to_numpy()
+        tails = pa.array([p.encode()[n:].decode() for p, n in zip(pieces.filter(marked).to_pylist(), ends.tolist())], pa.large_string())
+        tails = tails.dictionary_encode()
+        each = self._each(tails.dictionary.to_pylist())
+        tail_sizes = np.array([len(x) for x in each], np.int64)
+        tail_starts = len(ids) + np.cumsum(tail_sizes) - tail_sizes
+        both, sizes = np.zeros((len(own), 2), np.int64), np.zeros((len(own), 2), np.int64)
+        both[:, 0], sizes[:, 0] = starts[own], lengths[own]
+        tail = tails.indices.to_numpy()
+        both[has, 1], sizes[has, 1] = tail_starts[tail], tail_sizes[tail]
+        return gather(np.concatenate([ids, *each]), both.ravel(), sizes.ravel()), sizes.sum(axis=1)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(ids, starts, lengths)`` of distinct pieces without end marks, which are then remembered."""
+        # the words of a batch are fewer than those remembered, so the table is made of them
+        found = pc.index_in(self.known, value_set=words)
+        there = found.is_valid().to_numpy(zero_copy_only=False)
+        places = np.full(len(words), -1, np.int64)
+        places[found.drop_null().to_numpy()] = np.flatnonzero(there)
+        new = np.flatnonzero(places < 0)
+        places[new] = len(self.known) + np.arange(len(new))
+        self.seen += there & (self.seen < 255)
+        missing = words.take(pa.array(new))
+        ids, lengths = self._encode_new(missing)
+        self.known = pa.concat_arrays([self.known, missing])
+        self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
+        self.seen = np.concatenate([self.seen, np.ones(len(new), np.uint8)])
+        every, starts, lengths = self.ids, (np.cumsum(self.lengths) - self.lengths)[places], self.lengths[places]
+        if len(self.known) > REMEMBERED:
+            self._tidy()
+        return every, starts, lengths
+
+    def _encode_new(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and the number of ids of each word."""
+        plain = pc.match_substring_regex(words, f"^\n?[{_LETTERS}]+$").to_numpy(zero_copy_only=False)
+        first = pc.starts_with(words, "\n").to_numpy(zero_copy_only=False)
+        places, sizes, ids = [], [], []
+
+        def add(at: np.ndarray, own: list[list[int]] | list[np.ndarray]) -> None:
+            places.append(at), sizes.append(np.fromiter(map(len, own), np.int64, len(own)))
+            ids.append(np.fromiter(chain.from_iterable(own), "<u4", int(sizes[-1].sum())))
+
+        tokenize, feed = self.model.tokenize, [self.tokenizer.token_to_id(_LINE)]
+        # letters only: one word of the library's, spelled in one character per byte
+        for line in (False, True):
+            for at in _parts(np.flatnonzero(plain & (first == line))):
+                text = ("" if line else "\n").join(words.take(pa.array(at)).to_pylist())[line:]
+                spelled = text.encode().decode("latin-1").translate(_SPELLINGS).split("\n")
+                if line:
+                    add(at, [feed + [t.id for t in tokenize(w)] for w in spelled])
+                else:
+                    add(at, [[t.id for t in tokenize(_BLANK + w)] for w in spelled])
+        alone = [np.flatnonzero(~plain & (first | (pc.binary_length(words).to_numpy() == 0)))]
+        for at in _parts(np.flatnonzero(~plain & ~np.isin(np.arange(len(words)), alone[0]))):
             # one text of many pieces: each begins at the only id that opens with a blank
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            begins = np.flatnonzero(self.opens[ids])
-            if len(begins) == len(part):
-                self._remember(part, ids, np.diff(np.append(begins, len(ids))))
-            else:  # a piece that is a blank and no more joins its neighbour
-                others = others + part
-        for at in range(0, len(others), 2000):
-            part = others[at : at + 2000]
-            each = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            self._remember(part, np.concatenate(each), np.array([len(x) for x in each], np.int64))
-
-    def _remember(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        if self.filled + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), "<u4")])
-        first = len(self.places)
-        if first + len(pieces) > len(self.starts):
-            more = np.zeros(first + len(pieces), np.int64)
-            self.starts, self.lengths = np.append(self.starts, more), np.append(self.lengths, more)
-            self.seen = np.append(self.seen, more.astype(np.uint8))
-        self.starts[first : first + len(pieces)] = self.filled + np.cumsum(lengths) - lengths
-        self.lengths[first : first + len(pieces)] = lengths
-        self.ids[self.filled : self.filled + len(ids)] = ids
-        self.filled += len(ids)
-        self.places.update(zip(pieces, range(first, first + len(pieces))))
-
-    def _tidy(self, coming: int) -> None:
+            joined = self._each([" " + " ".join(words.take(pa.array(at)).to_pylist())])[0]
+            begins = np.flatnonzero(self.opens[joined])
+            if len(begins) == len(at):
+                places.append(at), sizes.append(np.diff(np.append(begins, len(joined)))), ids.append(joined)
+            else:  # a piece with a blank of its own joins its neighbour
+                alone.append(at)
+        for at in _parts(np.concatenate(alone)):
+            texts = zip(words.take(pa.array(at)).to_pylist(), first[at].tolist())
+            add(at, self._each([t if line else " " + t for t, line in texts]))
+        if not places:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        order, lengths = np.argsort(np.concatenate(places)), np.concatenate(sizes)
+        starts = np.cumsum(lengths) - lengths
+        return gather(np.concatenate(ids), starts[order], lengths[order]), lengths[order]
+
+    def _tidy(self) -> None:
         """Make room: pieces met in the fewest batches are forgotten until half of the memory is free."""
-        seen = self.seen[: len(self.places)]
-        room = REMEMBERED // 2 - min(coming, REMEMBERED // 2)
         least = 2
-        while least < 256 and np.count_nonzero(seen >= least) > room:
+        while least < 256 and np.count_nonzero(self.seen >= least) > REMEMBERED // 2:
             least += 1
-        kept = [p for p, i in self.places.items() if seen[i] >= least]
-        at = np.array([self.places[p] for p in kept], np.int64)
-        lengths, seen = self.lengths[at], seen[at]
-        ids = gather(self.ids, self.starts[at], lengths)
-        self._forget()
-        if kept:
-            self._remember(kept, ids, lengths)
-            # half of what it was, so that pieces of long ago make room in turn
-            self.seen[: len(kept)] = (seen + 1) // 2
+        kept = np.flatnonzero(self.seen >= least)
+        self.ids = gather(self.ids, (np.cumsum(self.lengths) - self.lengths)[kept], self.lengths[kept])
+        self.known, self.lengths = self.known.take(pa.array(kept)), self.lengths[kept]
+        # half of what it was, so that pieces of long ago make room in turn
+        self.seen = (self.seen[kept] + 1) // 2
 
 
 _encoders: dict[str, PieceEncoder] = {}
