@@ -206,3 +206,15 @@ def test_memory_of_pieces_is_small(monkeypatch):
         assert len(own.known) <= 20_000
         kept = own.known.nbytes + sum(x.nbytes for x in (own.ids, own.lengths, own.seen))
         assert kept < 70 * max(1000, len(own.known))
+
+
+def test_bytes_are_spelled_as_in_the_vocabularies():
+    assert [tokens._SPELLINGS[b] for b in range(127, 256)] == bpe.byte_letters()[127:]
+
+
+def test_coder_has_one_table_an_order_and_the_format_stays():
+    """What followed and its trust are one 32-bit number; a block has the same bytes as before."""
+    model = tokenfile._Model(50_257, 8)
+    assert sum(x.nbytes for x in vars(model).values() if isinstance(x, np.ndarray) and x.size >= 50_257 and x is not model.counts) == 4 * ((1 << 20) + 50_257)
+    ids = (np.arange(70_000, dtype=np.uint32) ** 2 // 7) % 997
+    assert zlib.crc32(tokenfile.write_block([1], np.array([len(ids)]), ids, 50_257)) == 558161692

@@ -34,7 +34,8 @@ LANES, STEPS = 4096, 256
 MAGIC, VERSION = b"VEILIDS\0", 1
 _HEAD = struct.Struct("<8sIIQIII")
 _UNIT, _SLOTS = 24, 20  # probabilities in 2**-24; the frequencies share 2**20 slots
-_LEVELS = 16
+_LEVEL_BITS = 4
+_LEVELS = 1 << _LEVEL_BITS
 _CONTEXTS = 20
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 BLOCKS = "file int, block int, before long, n_ids long, block_bytes binary"
@@ -45,9 +46,10 @@ class _Model:
 
     def __init__(self, vocabulary: int, lanes: int):
         self.size = vocabulary
+        self.kind = np.int32 if vocabulary < (1 << 31) // _LEVELS else np.int64
         self.counts = vocabulary // (np.arange(vocabulary) + 16) + 1  # low ids are the frequent ones
-        self.follow1, self.trust1 = np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
-        self.follow2, self.trust2 = np.zeros(1 << _CONTEXTS, np.int64), np.zeros(1 << _CONTEXTS, np.int64)
+        # the id that followed and, in the lowest bits, how far it is trusted: one look into memory tells both
+        self.follow1, self.follow2 = np.zeros(vocabulary, self.kind), np.zeros(1 << _CONTEXTS, self.kind)
         self.events = np.tile(np.array([1, 1, 2], np.int64), (2 * _LEVELS * _LEVELS, 1))
         self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.step, self.counted, self.fresh = 0, 0, []
@@ -75,8 +77,9 @@ class _Model:
 
     def predict(self) -> None:
         self.context = ((self.last1 * 0x9E3779B1 + self.last2 * 0x85EBCA77) >> 11) & ((1 << _CONTEXTS) - 1)
-        self.guess2, self.guess1 = self.follow2.take(self.context), self.follow1.take(self.last1)
-        self.know2, self.know1 = self.trust2.take(self.context), self.trust1.take(self.last1)
+        both2, both1 = self.follow2.take(self.context), self.follow1.take(self.last1)
+        self.guess2, self.guess1 = both2 >> _LEVEL_BITS, both1 >> _LEVEL_BITS
+        self.know2, self.know1 = both2 & (_LEVELS - 1), both1 & (_LEVELS - 1)
         self.state = (self.know2 * _LEVELS + self.know1) * 2 + (self.guess1 == self.guess2)
         self.share2 = self.shares[0].take(self.state)
         self.guessed = self.share2 + self.shares[1].take(self.state)
@@ -95,10 +98,9 @@ class _Model:
     def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         self.fresh.append(self.state * 3 + 2 - hit1 - 2 * hit2)
         # one more level when right, the first level when wrong
-        self.trust2[self.context] = 1 + np.minimum(self.know2, _LEVELS - 2) * hit2
-        self.trust1[self.last1] = 1 + np.minimum(self.know1, _LEVELS - 2) * (self.guess1 == ids)
-        self.follow2[self.context] = ids
-        self.follow1[self.last1] = ids
+        followed = ids.astype(self.kind) * _LEVELS + 1
+        self.follow2[self.context] = followed + np.minimum(self.know2, _LEVELS - 2) * hit2
+        self.follow1[self.last1] = followed + np.minimum(self.know1, _LEVELS - 2) * (self.guess1 == ids)
         self.last2, self.last1 = self.last1, ids
         self.step += 1
 
@@ -153,13 +155,13 @@ def decode_ids(n: int, lanes: int, vocabulary: int, sizes: np.ndarray, words: np
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 63, np.uint64)
     for step in range(steps):
         if model.renew(grid):
-            slots = np.repeat(np.arange(vocabulary), np.diff(model.bounds.astype(np.int64)))
+            slots = np.repeat(np.arange(vocabulary, dtype=model.kind), np.diff(model.bounds.astype(np.int64)))
         model.predict()
         unit = span >> np.uint64(_UNIT)
         target = (code - low) // unit
         beyond = np.maximum(target, model.guessed) - model.guessed
         slot = (((beyond + np.uint64(1)) << np.uint64(_SLOTS)) - np.uint64(1)) // model.rest
-        own = slots.take(slot.view(np.int64), mode="clip")
+        own = slots.take(slot.view(np.int64), mode="clip").astype(np.int64)
         hit2 = target < model.share2
         hit1 = (target < model.guessed) & ~hit2
         for hit, guess in ((hit1, model.guess1), (hit2, model.guess2)):

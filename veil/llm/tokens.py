@@ -11,6 +11,7 @@ The memory is a string array with flat ids, looked up by Arrow for a batch at a
 
 from __future__ import annotations
 
+import codecs
 import os
 from collections.abc import Iterator
 from itertools import chain
@@ -33,8 +34,9 @@ _OTHER_SPACE = r"\t\x{B}-\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}
 _SPACE = rf"[ \n{_OTHER_SPACE}]"
 
 
-# How byte-level vocabularies spell bytes from 127 on that are no visible character of Latin-1; 33 lower ones come before.
-_SPELLINGS = {byte: 256 + 33 + i for i, byte in enumerate([*range(127, 161), 173])}
+# How byte-level vocabularies spell bytes from 127 on: those that are no visible character of Latin-1, after 33 lower ones, from U+0121 on.
+_MOVED = [*range(127, 161), 173]
+_SPELLINGS = "".join(chr(0x121 + _MOVED.index(b) if b in _MOVED else b) for b in range(256))
 
 
 def tokenizer_path(name: str) -> str:
@@ -52,6 +54,17 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[at]
 
 
+def _behind(texts: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """What follows the first ``size`` bytes of each of some large strings."""
+    if not len(texts):
+        return texts
+    edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    lengths = np.diff(edges) - sizes
+    data = gather(np.frombuffer(texts.buffers()[2], np.uint8), edges[:-1] + sizes, lengths)
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(data))
+
+
 def slices(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[pa.Array]:
     """A string array in parts of about ``limit`` bytes, of one text at least."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -133,9 +146,7 @@ class PieceEncoder:
         has = marked.to_numpy(zero_copy_only=False)
         if not has.any():
             return gather(ids, starts[own], lengths[own]), lengths[own]
-        ends = pc.binary_length(bodies.filter(marked)).to_numpy()
-        tails = pa.array([p.encode()[n:].decode() for p, n in zip(pieces.filter(marked).to_pylist(), ends.tolist())], pa.large_string())
-        tails = tails.dictionary_encode()
+        tails = _behind(pieces.filter(marked), pc.binary_length(bodies.filter(marked)).to_numpy()).dictionary_encode()
         each = self._each(tails.dictionary.to_pylist())
         tail_sizes = np.array([len(x) for x in each], np.int64)
         tail_starts = len(ids) + np.cumsum(tail_sizes) - tail_sizes
@@ -180,7 +191,7 @@ class PieceEncoder:
         for line in (False, True):
             for at in _parts(np.flatnonzero(plain & (first == line))):
                 text = ("" if line else "\n").join(words.take(pa.array(at)).to_pylist())[line:]
-                spelled = text.encode().decode("latin-1").translate(_SPELLINGS).split("\n")
+                spelled = codecs.charmap_decode(text.encode(), "strict", _SPELLINGS)[0].split("\n")
                 if line:
                     add(at, [feed + [t.id for t in tokenize(w)] for w in spelled])
                 else:
