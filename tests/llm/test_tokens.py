@@ -218,3 +218,17 @@ def test_coder_has_one_table_an_order_and_the_format_stays():
     assert sum(x.nbytes for x in vars(model).values() if isinstance(x, np.ndarray) and x.size >= 50_257 and x is not model.counts) == 4 * ((1 << 20) + 50_257)
     ids = (np.arange(70_000, dtype=np.uint32) ** 2 // 7) % 997
     assert zlib.crc32(tokenfile.write_block([1], np.array([len(ids)]), ids, 50_257)) == 558161692
+
+
+def test_slices_give_memory_back():
+    texts = pa.array(["x" * 1000] * 4000)
+    held = []
+    pool = pa.default_memory_pool()
+
+    class Pool:
+        def release_unused(self):
+            held.append(pool.bytes_allocated())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokens.pa, "default_memory_pool", Pool)
+        parts = sum(1 for _ in tokens.slices(texts, 1 << 20))
+    assert len(held) == parts > 2

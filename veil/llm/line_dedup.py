@@ -185,6 +185,7 @@ def _parsed(batches: Iterator[pa.RecordBatch], min_words: int, shingle: int) ->
                 own = pa.array(lines.text + at)
                 yield batch.column(0).take(own).to_numpy(), batch.column(1).take(own), lines
             at += len(part)
+            del lines
 
 
 def line_table(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0) -> tuple[DataFrame, np.ndarray]:
@@ -467,6 +468,8 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
             columns[f"{side}_doc"], columns[f"{side}_line"] = pa.array(own["doc"].copy()), pa.array(own["line"].copy())
             columns[f"{side}_row"] = pa.array(own["row"].copy())
         bits = np.bitwise_count(earlier["sig"] ^ rows["sig"][np.append(y, more)])
+        del parts, roles
+        pa.default_memory_pool().release_unused()
         return pa.table(columns | {"bits": pa.array(bits.astype(np.int32))})
 
     sides = [", ".join(f"{s}_{k}" for k in ("none boolean", "doc long", "line int", "row long")) for s in "xy"]

@@ -66,7 +66,8 @@ def _behind(texts: pa.Array, sizes: np.ndarray) -> pa.Array:
 
 
 def slices(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[pa.Array]:
-    """A string array in parts of about ``limit`` bytes, of one text at least."""
+    """A string array in parts of about ``limit`` bytes, of one text at least. Memory of the part before is given back:
+    a worker lives on between tasks, and Arrow's pool would keep what the largest part took."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
@@ -74,6 +75,7 @@ def slices(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[pa.Array]:
         upto = max(at + 1, upto)
         yield texts.slice(at, upto - at)
         at = upto
+        pa.default_memory_pool().release_unused()
 
 
 def _parts(places: np.ndarray, size: int = 2000) -> Iterator[np.ndarray]:
