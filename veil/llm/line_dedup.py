@@ -5,11 +5,12 @@ row, has a Jaccard similarity of at least ``THRESHOLD``. Rows are known by their
 that share a doc_id or have none are kept apart. Lines of one set are found by a digest of the
 set. For the others, words are ordered by rarity, and two similar lines must share one of the
 first words of that order (prefix filter). Only those words are shuffled; each goes with the line's
-size, its place in the line and one parity bit vector of the words, and pairs are dropped when
+size, its place in the line, the word before it and parity bits of the words, 64 or, for longer lines, 128. Pairs are dropped when
 sizes differ too much (length filter), when too few words are left after the shared one (positional filter),
-or when more parity bits differ than words may. What remains is verified on the full sets.
+or when more parity bits differ than words may. A pair whose words before the shared one are equal too is left to those, so
+similar lines meet about once and not at every word. What remains is verified on the full sets.
 
-Lines of many words are first compared by a longer parity vector, which is stored once a line. Of many candidates of a
+Lines of very many words are first compared by a longer parity vector, which is stored once a line. Of many candidates of a
 line only the nearest by parity are verified first. Lines that had more, and found no match
 among those, take part in another round with a higher limit, until no such line is left; so the
 limit decides about work, not about results.
@@ -44,8 +45,9 @@ _CELL_ENTRIES = 250_000
 _CHUNK_LINES = 1 << 16
 _PAIRED = 256  # groups up to this size are paired by shifting the sorted entries
 _FLUSH = 250_000
-_NARROW_WORDS = 64  # so many words at most are told apart by 64 bits
+_HALF_WORDS, _NARROW_WORDS = 64, 128  # so many words at most are told apart by 64 and by 128 bits
 _PART_BYTES = 3 << 20
+_HASHED_BYTES = 64  # longer words are hashed one by one
 _SEED = 11
 _KEY = ["none", "doc", "line", "row"]
 # Filter tables have so many bits at least and at most (8 MB); only work depends on that.
@@ -53,9 +55,13 @@ _LEAST_FILTER_BITS, _FILTER_BITS = 22, 26
 _PIECES = 16
 _GONE = "_veil_removed_"
 _ROW = "_veil_row"
+# ``last`` is the word before in the order of the line, or 0
 _ENTRY = np.dtype(
-    [("word", "<u4"), ("place", "<u4"), ("size", "<u4"), ("line", "<i4"), ("none", "u1"), ("doc", "<i8"), ("row", "<i8"), ("sig", "<u8")]
-)
+    [
+        ("word", "<u4"), ("place", "<u4"), ("size", "<u4"), ("line", "<i4"), ("none", "u1"), ("doc", "<i8"), ("row", "<i8"),
+        ("sig", "<u8"), ("half", "<u8"), ("last", "<u4"),
+    ]
+)
 
 
 def _may_be_similar(x_size: int, x: bytes, y_size: int, y: bytes) -> bool:
@@ -66,42 +72,78 @@ def _may_be_similar(x_size: int, x: bytes, y_size: int, y: bytes) -> bool:
     return int(np.bitwise_count(a ^ folded).sum()) <= both - 2 * _overlap(both)
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A hash of each of some large strings, eight bytes of all of them at a time."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    edges = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    starts, lengths = edges[:-1] - edges[0], np.diff(edges)
+    data = np.zeros(edges[-1] - edges[0] + 8, np.uint8)
+    if len(data) > 8:
+        data[:-8] = np.frombuffer(words.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    out = _mixed(lengths.astype(np.uint64), _SEED)
+    own = np.flatnonzero((lengths > 0) & (lengths <= _HASHED_BYTES))
+    for k in range(0, _HASHED_BYTES, 8):
+        own = own[lengths[own] > k]
+        unused = 8 * np.maximum(k + 8 - lengths[own], 0).astype(np.uint64)
+        out[own] = _mixed(out[own] ^ (eights[starts[own] + k] << unused), k + 1)
+    for i in np.flatnonzero(lengths > _HASHED_BYTES).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + lengths[i]].tobytes(), _SEED)
+    return out
+
+
 class Lines:
-    """The lines of a batch of texts that have enough words: distinct word hashes, grouped by line."""
+    """The lines of a batch of texts that have enough words: distinct word hashes, grouped by line.
+
+    ``pick`` tells from the places of texts and the numbers of lines which lines to look at.
+    """
 
-    def __init__(self, texts: pa.Array, min_words: int):
+    def __init__(self, texts: pa.Array, min_words: int, pick: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None):
         lines = pc.split_pattern(pc.utf8_lower(texts.cast(pa.large_string())), "\n")
         offsets = lines.offsets.to_numpy()
         per_text = np.diff(offsets)
-        words = pc.utf8_split_whitespace(lines.flatten())
+        text_of_line = np.repeat(np.arange(len(per_text)), per_text)
+        number = (np.arange(len(text_of_line)) - (offsets[:-1] - offsets[0])[text_of_line]).astype(np.int32)
+        lines = lines.flatten()
+        if pick is not None:
+            picked = pick(text_of_line, number)
+            lines, text_of_line, number = lines.filter(pa.array(picked)), text_of_line[picked], number[picked]
+        words = pc.utf8_split_whitespace(lines)
         ends = words.offsets.to_numpy()
         coded = words.flatten().dictionary_encode()
-        named = coded.dictionary.to_numpy(zero_copy_only=False)
-        hashes = np.array([xxhash.xxh3_64_intdigest(w, _SEED) for w in named], np.uint64)
+        hashes = _hashes(coded.dictionary)
         owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
         # one number per line and word, so that one sort brings a line's equal words together
         pairs = np.sort(owner << 32 | coded.indices.to_numpy().astype(np.int64))
         pairs = pairs[np.append(np.ones(min(1, len(pairs)), bool), pairs[1:] != pairs[:-1])]
         # white space at either end of a line gives an empty word, which is none
-        pairs = pairs[(named != "")[pairs & 0xFFFFFFFF]]
+        pairs = pairs[(pc.binary_length(coded.dictionary).to_numpy() > 0)[pairs & 0xFFFFFFFF]]
         owner, tokens = pairs >> 32, hashes[pairs & 0xFFFFFFFF]
         sizes = np.bincount(owner, minlength=len(ends) - 1)
         enough = sizes >= min_words
         self.tokens = tokens[enough[owner]]
         self.sizes = sizes[enough]
         self.starts = np.cumsum(self.sizes) - self.sizes
-        text_of_line = np.repeat(np.arange(len(per_text)), per_text)
-        self.text = text_of_line[enough]
-        self.number = (np.arange(len(sizes)) - (offsets[:-1] - offsets[0])[text_of_line])[enough].astype(np.int32)
+        self.text, self.number = text_of_line[enough], number[enough]
 
     def parity(self) -> np.ndarray:
         """One bit vector per line in which each word flips a bit: it differs in no more bits than sets differ in words."""
         return self._reduce(np.bitwise_xor, np.uint64(1) << ((self.tokens >> np.uint64(32)) & np.uint64(63)))
 
-    def digests(self) -> list[bytes]:
-        """Equal for equal sets: two sums of independently mixed hashes."""
-        sums = [self._reduce(np.add, _mixed(self.tokens, s)) for s in (1, 2)]
-        return [a + b for a, b in zip(*([x.tobytes() for x in s] for s in sums))]
+    def half(self) -> np.ndarray:
+        """The part of the parity vector that half of the words flip, for lines of more than a few words."""
+        flips = np.uint64(1) << ((self.tokens >> np.uint64(32)) & np.uint64(63))
+        flips *= (self.tokens >> np.uint64(38)) & np.uint64(1)
+        return self._reduce(np.bitwise_xor, flips) * (self.sizes > _HALF_WORDS).astype(np.uint64)
+
+    def sums(self) -> np.ndarray:
+        """Equal rows for equal sets: two sums of independently mixed hashes."""
+        return np.stack([self._reduce(np.add, _mixed(self.tokens, s)) for s in (1, 2)], axis=1)
+
+    def digests(self) -> pa.Array:
+        """The bytes of the sums."""
+        return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(self.sizes), [None, pa.py_buffer(self.sums())]).cast(pa.binary())
 
     def wide(self) -> list[bytes | None]:
         """Parity of lines of many words over two to four bits a word, their number a power of two; none for other lines."""
@@ -132,11 +174,10 @@ class Shingles(Lines):
         # lower case first: ascii_lower of a slice that was cast gives shifted rows
         words = pc.ascii_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()))
         coded = words.flatten().dictionary_encode()
-        named = coded.dictionary.to_numpy(zero_copy_only=False)
-        hashes = np.array([xxhash.xxh3_64_intdigest(w, _SEED) for w in named], np.uint64)
+        hashes = _hashes(coded.dictionary)
         index = coded.indices.to_numpy()
         owner = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy()))
-        true = (named != "")[index]
+        true = (pc.binary_length(coded.dictionary).to_numpy() > 0)[index]
         owner, word = owner[true], hashes[index[true]]
         n = np.bincount(owner, minlength=len(texts))
         start, at = (np.cumsum(n) - n)[owner], np.arange(len(owner))
@@ -172,15 +213,19 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
 
 
-def _parsed(batches: Iterator[pa.RecordBatch], min_words: int, shingle: int) -> Iterator[tuple[np.ndarray, pa.Array, Lines]]:
+def _parsed(
+    batches: Iterator[pa.RecordBatch], min_words: int, shingle: int, wanted: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, pa.Array, Lines]]:
     """Batches of ``row, doc_id, text`` in parts: the row and doc_id of each line, and the lines.
 
-    With ``shingle`` each text is one line of shingles of so many words.
+    With ``shingle`` each text is one line of shingles of so many words. ``wanted`` is a filter table of lines.
     """
     for batch in batches:
         at = 0
         for part in slices(batch.column(2), _PART_BYTES):
-            lines = Shingles(part, min_words, shingle) if shingle else Lines(part, min_words)
+            rows = batch.column(0).slice(at, len(part)).to_numpy()
+            pick = None if wanted is None else lambda text, number, rows=rows: _among(wanted, _hash(number, rows[text]))
+            lines = Shingles(part, min_words, shingle) if shingle else Lines(part, min_words, pick)
             if len(lines.sizes):
                 own = pa.array(lines.text + at)
                 yield batch.column(0).take(own).to_numpy(), batch.column(1).take(own), lines
@@ -195,9 +240,9 @@ def line_table(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _COUNT_BITS, np.int64)
         for rows, ids, lines in _parsed(batches, min_words, shingle):
-            counts += np.bincount((lines.tokens >> np.uint64(64 - _COUNT_BITS)).astype(np.int64), minlength=len(counts))
+            counts += np.bincount(_count_place(lines.tokens), minlength=len(counts))
             columns = [pa.array(rows), ids, pa.array(lines.number)]
-            columns += [pa.array(lines.sizes.astype(np.int32)), pa.array(lines.digests(), pa.binary())]
+            columns += [pa.array(lines.sizes.astype(np.int32)), lines.digests()]
             columns += [pa.array(lines.wide(), pa.binary()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
         pieces = np.minimum(counts, 2**32 - 1).astype("<u4").reshape(16, -1)
@@ -211,6 +256,11 @@ def line_table(docs: DataFrame, min_words: int = MIN_WORDS, shingle: int = 0) ->
     return both.where("piece IS NULL").drop("piece", "counts"), summed(both.where("piece IS NOT NULL").select("piece", "counts"))
 
 
+def _count_place(tokens: np.ndarray) -> np.ndarray:
+    """The places of words in the table of counts: the upper bits of their lower half, which entries keep."""
+    return ((tokens & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - _COUNT_BITS)).astype(np.int64)
+
+
 def summed(parts: DataFrame) -> np.ndarray:
     """Counters of a fixed number, from pieces ``piece int, counts binary`` of many tasks, added up in two levels."""
 
@@ -244,29 +294,32 @@ def _entries(rows: np.ndarray, ids: pa.Array, lines: Lines, counts: np.ndarray,
     A line whose set an earlier line of this task has is left out: it is removed for that.
     """
     none, doc = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, 0).to_numpy()
-    digests = lines.digests()
-    new = np.zeros(len(lines.sizes), bool) if repeats is None else ~_among(repeats, _set_hash(digests))
+    sums = lines.sums()
+    new = np.zeros(len(lines.sizes), bool) if repeats is None else ~_among(repeats, sums[:, 0])
     for i in np.flatnonzero(~new).tolist():
-        d = digests[i]
+        d = sums[i].tobytes()
         order = (none[i], doc[i], lines.number[i], rows[i])
         if d not in seen or order < seen[d]:
             seen[d] = order
             new[i] = True
     owner = np.repeat(np.arange(len(lines.sizes)), lines.sizes)
     own = new[owner]
-    tokens, owner = lines.tokens[own], owner[own]
-    often = counts[(tokens >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)]
     # rarest first: by count in steps of an eighth of its logarithm, then by hash
-    step = (np.log2(np.maximum(often, 1)) * 7.9).astype(np.uint64)
-    low = tokens & np.uint64(0xFFFFFFFF)
-    order = np.argsort(owner.astype(np.uint64) << np.uint64(40) | step << np.uint64(32) | low, kind="stable")
-    place = np.arange(len(order)) - np.repeat((np.cumsum(lines.sizes[new]) - lines.sizes[new]), lines.sizes[new])
-    first = place < _prefix_length(lines.sizes[owner])
-    order, place, owner = order[first], place[first], owner[first]
-    out = np.zeros(len(order), _ENTRY)
-    out["word"], out["place"], out["size"], out["line"] = low[order], place, lines.sizes[owner], lines.number[owner]
-    out["none"], out["doc"], out["row"], out["sig"] = none[owner], doc[owner], rows[owner], lines.parity()[owner]
-    return out, often[order]
+    steps = (np.log2(np.maximum(counts, 1)) * 7.9).astype(np.uint64)
+    words = lines.tokens[own]
+    keys = steps[_count_place(words)] << np.uint64(32) | words & np.uint64(0xFFFFFFFF)
+    keys |= owner[own].astype(np.uint64) << np.uint64(40)
+    keys.sort()
+    sizes = lines.sizes[new]
+    place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = np.flatnonzero(place < np.repeat(_prefix_length(sizes), sizes))
+    place, owner = place[first], np.repeat(np.flatnonzero(new), _prefix_length(sizes))
+    out = np.zeros(len(first), _ENTRY)
+    out["word"], out["place"], out["size"], out["line"] = keys[first] & np.uint64(0xFFFFFFFF), place, lines.sizes[owner], lines.number[owner]
+    out["last"] = np.where(place > 0, keys[first - 1] & np.uint64(0xFFFFFFFF), 0)
+    out["none"], out["doc"], out["row"] = none[owner], doc[owner], rows[owner]
+    out["sig"], out["half"] = lines.parity()[owner], lines.half()[owner]
+    return out, counts[_count_place(keys[first])]
 
 
 def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: int = MIN_WORDS, shingle: int = 0, repeats: np.ndarray | None = None) -> DataFrame:
@@ -339,10 +392,19 @@ def _passes(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
     both = small + large
     need = _overlap(both)
     fits = small * b >= large * a
-    fits &= np.bitwise_count(e["sig"][i] ^ e["sig"][j]) <= both - 2 * need
+    fits &= _different_bits(e, i, j) <= both - 2 * need
+    # those of one word before the shared one meet there, and no filter is stricter there
+    fits &= (e["last"][i] != e["last"][j]) | (e["last"][i] == 0)
     return fits & (np.minimum(small - e["place"][i], large - e["place"][j]) >= need)
 
 
+def _different_bits(e: dict[str, np.ndarray] | np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Different parity bits of entries: of 128 if both lines have so many, otherwise of 64."""
+    folded, half = e["sig"][i] ^ e["sig"][j], e["half"][i] ^ e["half"][j]
+    long = np.minimum(e["size"][i], e["size"][j]) > _HALF_WORDS
+    return np.where(long, np.bitwise_count(folded ^ half) + np.bitwise_count(half), np.bitwise_count(folded))
+
+
 def _before(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether the line of ``i`` is earlier than that of ``j``."""
     x, y = rows[i], rows[j]
@@ -360,10 +422,10 @@ def cell_pairs(rows: np.ndarray, role: np.ndarray, limit: int, asked: np.ndarray
     ``role`` tells whether an entry may be an earlier line (1), a later one (2) or both; ``asked`` marks the later
     lines that are of interest.
     """
-    order = np.lexsort((rows["size"], rows["word"]))
+    order = np.argsort(rows["word"].astype(np.uint64) << np.uint64(32) | rows["size"])
     rows, role = rows[order], role[order]
     later = (role & 2 > 0) if asked is None else (role & 2 > 0) & asked[order]
-    e = {c: rows[c].astype(np.int64) for c in ("word", "size", "place")} | {"sig": np.ascontiguousarray(rows["sig"])}
+    e = {c: rows[c].astype(np.int64) for c in ("word", "size", "place", "last")} | {c: np.ascontiguousarray(rows[c]) for c in ("sig", "half")}
     edges = np.flatnonzero(np.diff(e["word"], prepend=-1, append=-1))
     run = np.repeat(np.diff(edges), np.diff(edges))
     found_x, found_y, more = [], [], []
@@ -390,11 +452,14 @@ def cell_pairs(rows: np.ndarray, role: np.ndarray, limit: int, asked: np.ndarray
                 found_x.append(x), found_y.append(y), more.append(rest)
     join = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
     x, y, more = join(found_x), join(found_y), join(more)
-    line = _line_numbers(rows)
+    line = np.zeros(len(rows), np.int64)
+    met = np.zeros(len(rows), bool)
+    met[x] = met[y] = met[more] = True
+    line[met] = _line_numbers(rows[met])
     # each pair once, whatever words it shares
     pair, once = np.unique(line[y] << 32 | line[x], return_index=True)
     x, y = x[once], y[once]
-    bits = np.bitwise_count(e["sig"][x] ^ e["sig"][y])
+    bits = _different_bits(e, x, y)
     chance = _mixed((line[x] << 32 | line[y]).view(np.uint64), 7)
     best = np.lexsort((chance, bits, line[y]))
     x, y = x[best], y[best]
@@ -447,6 +512,7 @@ def _line_numbers(rows: np.ndarray) -> np.ndarray:
 
 def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -> DataFrame:
     """Pairs of an earlier line ``x`` and a later one ``y`` that pass all filters; ``x.line`` is -1 for a ``y`` that had more.
+    ``long`` tells pairs whose parity vectors are longer than those of entries.
 
     ``asked`` is a filter table of the later lines of interest.
     """
@@ -467,21 +533,22 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
             columns[f"{side}_none"] = pa.array(own["none"].astype(bool))
             columns[f"{side}_doc"], columns[f"{side}_line"] = pa.array(own["doc"].copy()), pa.array(own["line"].copy())
             columns[f"{side}_row"] = pa.array(own["row"].copy())
-        bits = np.bitwise_count(earlier["sig"] ^ rows["sig"][np.append(y, more)])
+        bits = np.append(_different_bits(rows, x, y), np.zeros(len(more), np.int64))
+        long = np.append(np.minimum(rows["size"][x], rows["size"][y]) > _NARROW_WORDS, np.zeros(len(more), bool))
         del parts, roles
         pa.default_memory_pool().release_unused()
-        return pa.table(columns | {"bits": pa.array(bits.astype(np.int32))})
+        return pa.table(columns | {"bits": pa.array(bits.astype(np.int32)), "long": pa.array(long)})
 
     sides = [", ".join(f"{s}_{k}" for k in ("none boolean", "doc long", "line int", "row long")) for s in "xy"]
-    flat = packed.groupBy("cell", "i", "j").applyInArrow(run, ", ".join([*sides, "bits int"]))
-    both = flat.select(*[F.struct(*[F.col(f"{s}_{k}").alias(k) for k in _KEY]).alias(s) for s in "xy"], "bits")
+    flat = packed.groupBy("cell", "i", "j").applyInArrow(run, ", ".join([*sides, "bits int", "long boolean"]))
+    both = flat.select(*[F.struct(*[F.col(f"{s}_{k}").alias(k) for k in _KEY]).alias(s) for s in "xy"], "bits", "long")
     # over all cells, the best of a line again; a line has more if any cell says so or a candidate is left over
-    ways = both.groupBy("y", "x").agg(F.min("bits").alias("bits"))
+    ways = both.groupBy("y", "x").agg(F.min("bits").alias("bits"), F.max("long").alias("long"))
     best = W.partitionBy("y").orderBy(F.col("x.line") < 0, "bits", F.xxhash64("x", "y"), "x")
     ranked = ways.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= limit + 1)
     left_over = (F.col("x.line") < 0) | (F.col("_n") > limit)
     none = F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(_KEY, (False, 0, -1, 0), ("boolean", "long", "int", "long"))])
-    return ranked.select(F.when(left_over, none).otherwise(F.col("x")).alias("x"), "y").distinct()
+    return ranked.select(F.when(left_over, none).otherwise(F.col("x")).alias("x"), "y", (F.col("long") & ~left_over).alias("long")).distinct()
 
 
 def _hash(line: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -492,9 +559,9 @@ def _row_hash(row: np.ndarray) -> np.ndarray:
     return _mixed(row.view(np.uint64), 6)
 
 
-def _set_hash(words: pa.Array | list[bytes]) -> np.ndarray:
+def _set_hash(words: pa.Array) -> np.ndarray:
     """The first half of each digest of a set of words."""
-    return np.frombuffer(b"".join(words.to_pylist() if isinstance(words, pa.Array) else words), np.uint64)[::2]
+    return np.frombuffer(b"".join(words.to_pylist()), np.uint64)[::2]
 
 
 def _word_hash(word: np.ndarray) -> np.ndarray:
@@ -520,10 +587,11 @@ def _filter(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], exp
     bits = min(max(int(8 * expected).bit_length(), _LEAST_FILTER_BITS), _FILTER_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        there = np.zeros(1 << bits, bool)
+        marked = np.zeros((1 << bits) // 8, np.uint8)
         for batch in batches:
-            there[(hashes(batch) >> np.uint64(64 - bits)).astype(np.int64)] = True
-        pieces = np.packbits(there).reshape(_PIECES, -1)
+            at = hashes(batch) >> np.uint64(64 - bits)
+            np.bitwise_or.at(marked, (at >> np.uint64(3)).astype(np.int64), np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))
+        pieces = marked.reshape(_PIECES, -1)
         some = np.flatnonzero(pieces.any(axis=1))
         marks = pa.array([p.tobytes() for p in pieces[some]], pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), marks], ["piece", "marks"])
@@ -564,7 +632,7 @@ def _line_words(docs: DataFrame, keys: DataFrame, min_words: int, shingle: int)
             yield batch.filter(pa.array(_among(owners, _row_hash(batch.column(0).to_numpy()))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for places, ids, lines in _parsed(few(batches), min_words, shingle):
+        for places, ids, lines in _parsed(few(batches), min_words, shingle, wanted):
             none, doc = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, 0).to_numpy()
             at = np.flatnonzero(_among(wanted, _hash(lines.number, places)))
             sets = [lines.tokens[a : a + n].tobytes() for a, n in zip(lines.starts[at].tolist(), lines.sizes[at].tolist())]
@@ -602,7 +670,12 @@ def _narrowed(packed: DataFrame, asked: np.ndarray) -> DataFrame:
 
 
 def _plausible(pairs: DataFrame, wide: DataFrame) -> DataFrame:
-    """The pairs without those of long lines whose wide parity vectors differ too much; sets are far larger than these."""
+    """The pairs without those of long lines whose wide parity vectors differ too much; sets are far larger than these.
+
+    Of pairs with a column ``long`` only those are looked at for which it is true.
+    """
+    if "long" in pairs.columns:
+        return _plausible(pairs.where("long").drop("long"), wide).unionByName(pairs.where("NOT long").drop("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
