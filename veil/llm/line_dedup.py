@@ -5,15 +5,15 @@ row, has a Jaccard similarity of at least ``THRESHOLD``. Rows are known by their
 that share a doc_id or have none are kept apart. Lines of one set are found by a digest of the
 set. For the others, words are ordered by rarity, and two similar lines must share one of the
 first words of that order (prefix filter). Only those words are shuffled; each goes with the line's
-size, its place in the line, the word before it and parity bits of the words, 64 or, for longer lines, 128. Pairs are dropped when
+size, its place in the line, the word before it and parity bits of the words, 64 or, for longer lines, 128 or 256. Pairs are dropped when
 sizes differ too much (length filter), when too few words are left after the shared one (positional filter),
 or when more parity bits differ than words may. A pair whose words before the shared one are equal too is left to those, so
 similar lines meet about once and not at every word. What remains is verified on the full sets.
 
 Lines of very many words are first compared by a longer parity vector, which is stored once a line. Of many candidates of a
-line only the nearest by parity are verified first. Lines that had more, and found no match
-among those, take part in another round with a higher limit, until no such line is left; so the
-limit decides about work, not about results.
+line only the nearest by parity are kept, of which the very nearest are verified first and the others if these do not match.
+Lines that had more, and found no match among those, take part in another round with a higher limit, until no such
+line is left; so the limit decides about work, not about results.
 
 Rarity comes from a table of counts of fixed size, indexed by word hash. Words that many lines could share
 are split into cells of line chunks, so no task gets a whole frequent word.
@@ -39,17 +39,19 @@ THRESHOLD = (4, 5)
 MIN_WORDS = 1
 # Smaller sets are similar to equal ones only: one word more or less than three leaves three quarters.
 _PREFIX_WORDS = 4
-LIMIT, GROWTH = 8, 32
+# candidates of a line in the first round, how many times as many in the next, and those of a round that are verified before its others
+LIMIT, GROWTH, _NEAREST = 64, 32, 2
 _COUNT_BITS = 20
-_CELL_ENTRIES = 250_000
+_CELL_ENTRIES = 150_000
 _CHUNK_LINES = 1 << 16
 _PAIRED = 256  # groups up to this size are paired by shifting the sorted entries
 _FLUSH = 250_000
-_HALF_WORDS, _NARROW_WORDS = 64, 128  # so many words at most are told apart by 64 and by 128 bits
-_PART_BYTES = 3 << 20
+_HALF_WORDS, _QUARTER_WORDS, _NARROW_WORDS = 64, 128, 256  # so many words at most are told apart by 64, 128 and 256 bits
+_PART_BYTES = 1 << 20
 _HASHED_BYTES = 64  # longer words are hashed one by one
 _SEED = 11
 _KEY = ["none", "doc", "line", "row"]
+_PARITY = ["sig", "half", "third", "fourth"]
 # Filter tables have so many bits at least and at most (8 MB); only work depends on that.
 _LEAST_FILTER_BITS, _FILTER_BITS = 22, 26
 _PIECES = 16
@@ -59,7 +61,7 @@ _ROW = "_veil_row"
 _ENTRY = np.dtype(
     [
         ("word", "<u4"), ("place", "<u4"), ("size", "<u4"), ("line", "<i4"), ("none", "u1"), ("doc", "<i8"), ("row", "<i8"),
-        ("sig", "<u8"), ("half", "<u8"), ("last", "<u4"),
+        ("sig", "<u8"), ("half", "<u8"), ("third", "<u8"), ("fourth", "<u8"), ("last", "<u4"),
     ]
 )
 
@@ -131,11 +133,14 @@ class Lines:
         """One bit vector per line in which each word flips a bit: it differs in no more bits than sets differ in words."""
         return self._reduce(np.bitwise_xor, np.uint64(1) << ((self.tokens >> np.uint64(32)) & np.uint64(63)))
 
-    def half(self) -> np.ndarray:
-        """The part of the parity vector that half of the words flip, for lines of more than a few words."""
+    def parts(self) -> list[np.ndarray]:
+        """Parts of the parity vector that make it twice as long, for lines of more than a few words, and again, for those
+        of yet more: what half of the words flip; what a quarter and another quarter flip."""
         flips = np.uint64(1) << ((self.tokens >> np.uint64(32)) & np.uint64(63))
-        flips *= (self.tokens >> np.uint64(38)) & np.uint64(1)
-        return self._reduce(np.bitwise_xor, flips) * (self.sizes > _HALF_WORDS).astype(np.uint64)
+        half, other = ((self.tokens >> np.uint64(k)) & np.uint64(1) for k in (38, 39))
+        long, longer = ((self.sizes > n).astype(np.uint64) for n in (_HALF_WORDS, _QUARTER_WORDS))
+        of = lambda which, lines: self._reduce(np.bitwise_xor, flips * which) * lines
+        return [of(half, long), of(other & ~half, longer), of(other & half, longer)]
 
     def sums(self) -> np.ndarray:
         """Equal rows for equal sets: two sums of independently mixed hashes."""
@@ -318,7 +323,8 @@ def _entries(rows: np.ndarray, ids: pa.Array, lines: Lines, counts: np.ndarray,
     out["word"], out["place"], out["size"], out["line"] = keys[first] & np.uint64(0xFFFFFFFF), place, lines.sizes[owner], lines.number[owner]
     out["last"] = np.where(place > 0, keys[first - 1] & np.uint64(0xFFFFFFFF), 0)
     out["none"], out["doc"], out["row"] = none[owner], doc[owner], rows[owner]
-    out["sig"], out["half"] = lines.parity()[owner], lines.half()[owner]
+    for c, bits in zip(_PARITY, [lines.parity(), *lines.parts()]):
+        out[c] = bits[owner]
     return out, counts[_count_place(keys[first])]
 
 
@@ -327,13 +333,12 @@ def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: i
     than a chunk holds have a number for each pair of chunks. ``repeats`` is a filter table of the sets that several
     lines have."""
 
-    def pack(entries: list, often: list) -> Iterator[tuple]:
-        rows, often = np.concatenate(entries), np.concatenate(often)
+    def pack(rows: np.ndarray, often: np.ndarray) -> Iterator[tuple]:
         cell = rows["word"] % np.uint32(cells)
         chunks = -(-often.astype(np.int64) // _CHUNK_LINES)
-        plain = chunks <= 1
-        yield from _by_cell(rows[plain], cell[plain])
-        rows, cell, chunks = rows[~plain], cell[~plain], chunks[~plain]
+        yield from _by_cell(rows, cell, np.flatnonzero(chunks <= 1))
+        split = chunks > 1
+        rows, cell, chunks = rows[split], cell[split], chunks[split]
         own = (_mixed(rows["sig"] ^ rows["row"].view(np.uint64), 3) % chunks.astype(np.uint64)).astype(np.int64)
         places = np.stack([cell, chunks, own], axis=1)
         for c, n, k in np.unique(places, axis=0).tolist():
@@ -347,22 +352,23 @@ def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: i
         for places, ids, lines in _parsed(batches, min_words, shingle):
             entries, n = _entries(places, ids, lines, counts, seen, repeats)
             waiting.append(entries), often.append(n)
+            del entries
             if sum(map(len, waiting)) > _FLUSH:
-                yield from _batches(pack(waiting, often))
-                waiting, often = [], []
+                rows, n, waiting, often = np.concatenate(waiting), np.concatenate(often), [], []
+                yield from _batches(pack(rows, n))
+                del rows
         if waiting:
-            yield from _batches(pack(waiting, often))
+            yield from _batches(pack(np.concatenate(waiting), np.concatenate(often)))
 
     return _numbered(docs).mapInArrow(run, "cell int, i int, j int, role int, n int, entries binary")
 
 
-def _by_cell(rows: np.ndarray, cell: np.ndarray) -> Iterator[tuple]:
-    order = np.argsort(cell, kind="stable")
-    rows, cell = rows[order], cell[order]
-    edges = np.flatnonzero(np.diff(cell)) + 1
-    for a, b in zip([0, *edges], [*edges, len(rows)]):
+def _by_cell(rows: np.ndarray, cell: np.ndarray, own: np.ndarray) -> Iterator[tuple]:
+    own = own[np.argsort(cell[own], kind="stable")]
+    edges = np.flatnonzero(np.diff(cell[own])) + 1
+    for a, b in zip([0, *edges], [*edges, len(own)]):
         if b > a:
-            yield int(cell[a]), 0, 0, 3, rows[a:b]
+            yield int(cell[own[a]]), 0, 0, 3, rows[own[a:b]]
 
 
 def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -392,17 +398,29 @@ def _passes(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
     both = small + large
     need = _overlap(both)
     fits = small * b >= large * a
-    fits &= _different_bits(e, i, j) <= both - 2 * need
     # those of one word before the shared one meet there, and no filter is stricter there
     fits &= (e["last"][i] != e["last"][j]) | (e["last"][i] == 0)
-    return fits & (np.minimum(small - e["place"][i], large - e["place"][j]) >= need)
+    fits &= np.minimum(small - e["place"][i], large - e["place"][j]) >= need
+    left = np.flatnonzero(fits)
+    fits[left] = _different_bits(e, i[left], j[left]) <= (both - 2 * need)[left]
+    return fits
 
 
 def _different_bits(e: dict[str, np.ndarray] | np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Different parity bits of entries: of 128 if both lines have so many, otherwise of 64."""
-    folded, half = e["sig"][i] ^ e["sig"][j], e["half"][i] ^ e["half"][j]
-    long = np.minimum(e["size"][i], e["size"][j]) > _HALF_WORDS
-    return np.where(long, np.bitwise_count(folded ^ half) + np.bitwise_count(half), np.bitwise_count(folded))
+    """Different parity bits of entries: of 256 or 128 if both lines have so many, otherwise of 64."""
+    whole = e["sig"][i] ^ e["sig"][j]
+    out = np.bitwise_count(whole).astype(np.int64)
+    small = np.minimum(e["size"][i], e["size"][j])
+    at = np.flatnonzero(small > _HALF_WORDS)
+    if len(at):
+        half = e["half"][i[at]] ^ e["half"][j[at]]
+        out[at] = np.bitwise_count(whole[at] ^ half).astype(np.int64) + np.bitwise_count(half)
+        longer = np.flatnonzero(small[at] > _QUARTER_WORDS)
+        at, half = at[longer], half[longer]
+        third, fourth = (e[c][i[at]] ^ e[c][j[at]] for c in _PARITY[2:])
+        quarters = (whole[at] ^ half ^ third, half ^ fourth, third, fourth)
+        out[at] = sum(np.bitwise_count(q).astype(np.int64) for q in quarters)
+    return out
 
 
 def _before(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -425,7 +443,7 @@ def cell_pairs(rows: np.ndarray, role: np.ndarray, limit: int, asked: np.ndarray
     order = np.argsort(rows["word"].astype(np.uint64) << np.uint64(32) | rows["size"])
     rows, role = rows[order], role[order]
     later = (role & 2 > 0) if asked is None else (role & 2 > 0) & asked[order]
-    e = {c: rows[c].astype(np.int64) for c in ("word", "size", "place", "last")} | {c: np.ascontiguousarray(rows[c]) for c in ("sig", "half")}
+    e = {c: rows[c].astype(np.int64) for c in ("word", "size", "place", "last")} | {c: np.ascontiguousarray(rows[c]) for c in _PARITY}
     edges = np.flatnonzero(np.diff(e["word"], prepend=-1, append=-1))
     run = np.repeat(np.diff(edges), np.diff(edges))
     found_x, found_y, more = [], [], []
@@ -512,7 +530,7 @@ def _line_numbers(rows: np.ndarray) -> np.ndarray:
 
 def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -> DataFrame:
     """Pairs of an earlier line ``x`` and a later one ``y`` that pass all filters; ``x.line`` is -1 for a ``y`` that had more.
-    ``long`` tells pairs whose parity vectors are longer than those of entries.
+    ``long`` tells pairs whose parity vectors are longer than those of entries, ``nth`` counts a later line's pairs from the nearest.
 
     ``asked`` is a filter table of the later lines of interest.
     """
@@ -548,7 +566,8 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
     ranked = ways.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= limit + 1)
     left_over = (F.col("x.line") < 0) | (F.col("_n") > limit)
     none = F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(_KEY, (False, 0, -1, 0), ("boolean", "long", "int", "long"))])
-    return ranked.select(F.when(left_over, none).otherwise(F.col("x")).alias("x"), "y", (F.col("long") & ~left_over).alias("long")).distinct()
+    pair = [F.when(left_over, none).otherwise(F.col("x")).alias("x"), "y", (F.col("long") & ~left_over).alias("long")]
+    return ranked.select(*pair, F.when(left_over, 0).otherwise(F.col("_n")).alias("nth")).distinct()
 
 
 def _hash(line: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -675,7 +694,7 @@ def _plausible(pairs: DataFrame, wide: DataFrame) -> DataFrame:
     Of pairs with a column ``long`` only those are looked at for which it is true.
     """
     if "long" in pairs.columns:
-        return _plausible(pairs.where("long").drop("long"), wide).unionByName(pairs.where("NOT long").drop("long"))
+        return _plausible(pairs.where("long").select("x", "y"), wide).unionByName(pairs.where("NOT long").select("x", "y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -733,9 +752,14 @@ def near_later_lines(
         elif known is not None:
             found = found.join(known.withColumnRenamed("line_key", "y"), "y", "left_anti")
         found = stored(found, "candidates")
-        pairs = stored(_plausible(found.where("x.line >= 0"), wide), "pairs")
-        hits = stored(_verified(docs, pairs, min_words, shingle), "similar-lines")
+        nearest = stored(_plausible(found.where(f"x.line >= 0 AND nth <= {_NEAREST}"), wide), "pairs")
+        hits = stored(_verified(docs, nearest, min_words, shingle), "similar-lines")
         matched.append(hits)
+        others = found.where(f"nth > {_NEAREST}").join(hits.withColumnRenamed("line_key", "y"), "y", "left_anti")
+        others = stored(_plausible(others, wide), "pairs")
+        if not others.isEmpty():
+            matched.append(stored(_verified(docs, others, min_words, shingle), "similar-lines"))
+            hits = hits.unionByName(matched[-1])
         more = found.where("x.line < 0").select("y").distinct()
         pending = stored(more.join(hits.withColumnRenamed("line_key", "y"), "y", "left_anti"), "pending")
         if pending.isEmpty():
