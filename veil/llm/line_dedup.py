@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from veil.llm.common import column, partitions, spread_join, stored, text_of
-from veil.llm.tokens import slices
+from veil.llm.tokens import give_back, slices
 
 THRESHOLD = (4, 5)
 MIN_WORDS = 1
@@ -359,6 +359,8 @@ def packed_entries(docs: DataFrame, counts: np.ndarray, cells: int, min_words: i
                 del rows
         if waiting:
             yield from _batches(pack(np.concatenate(waiting), np.concatenate(often)))
+        del seen, waiting, often
+        give_back()
 
     return _numbered(docs).mapInArrow(run, "cell int, i int, j int, role int, n int, entries binary")
 
@@ -554,7 +556,7 @@ def candidates(packed: DataFrame, limit: int, asked: np.ndarray | None = None) -
         bits = np.append(_different_bits(rows, x, y), np.zeros(len(more), np.int64))
         long = np.append(np.minimum(rows["size"][x], rows["size"][y]) > _NARROW_WORDS, np.zeros(len(more), bool))
         del parts, roles
-        pa.default_memory_pool().release_unused()
+        give_back()
         return pa.table(columns | {"bits": pa.array(bits.astype(np.int32)), "long": pa.array(long)})
 
     sides = [", ".join(f"{s}_{k}" for k in ("none boolean", "doc long", "line int", "row long")) for s in "xy"]

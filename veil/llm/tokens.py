@@ -12,6 +12,7 @@ The memory is a string array with flat ids, looked up by Arrow for a batch at a
 from __future__ import annotations
 
 import codecs
+import ctypes
 import os
 from collections.abc import Iterator
 from itertools import chain
@@ -65,6 +66,17 @@ def _behind(texts: pa.Array, sizes: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(data))
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return unused memory to the system. An executor keeps more Python workers than it has cores, each with what its
+    largest task took: Arrow's pool and the C library hold on to tens of MB that nothing uses."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[pa.Array]:
     """A string array in parts of about ``limit`` bytes, of one text at least. Memory of the part before is given back:
     a worker lives on between tasks, and Arrow's pool would keep what the largest part took."""
@@ -76,6 +88,8 @@ def slices(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[pa.Array]:
         yield texts.slice(at, upto - at)
         at = upto
         pa.default_memory_pool().release_unused()
+    # once a batch, since memory taken anew costs time
+    give_back()
 
 
 def _parts(places: np.ndarray, size: int = 2000) -> Iterator[np.ndarray]:
