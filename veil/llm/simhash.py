@@ -190,28 +190,41 @@ def near_pairs(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, bl
     """Pairs ``x, y`` of documents to compare, ``x`` the earlier, as ``PLACE``: neighbours in each component of fingerprints,
     ordered by fingerprint and place. Of equal texts the first takes part.
 
-    So no document is in more than two pairs. A component that is cut by the borders of tasks lacks a pair there.
+    So no document is in more than two pairs, and pairs link each component up, also across the borders of tasks.
     """
+    spark = docs.sparkSession
     rows = stored(fingerprints(docs, words, hashes=True), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), F.lit(0).alias("line"), "row")
     texts = rows.groupBy("fp", "text_hash").agg(F.min(place).alias("place"))
     rooted = _components(rows, distance, blocks)[0].select("fp", "root", "copies")
     order = ["root", "fp", "place"]
-    dealt = spread_join(texts, rooted, "fp", "copies").select(*order).repartitionByRange(partitions(docs.sparkSession), *order)
+    dealt = spread_join(texts, rooted, "fp", "copies").select(*order).repartitionByRange(partitions(spark), *order)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        first = last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
+            first = batch.slice(0, 1) if first is None else first
             if last is not None:
                 batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
             last = batch.slice(batch.num_rows - 1)
             root, places = batch.column(0).to_numpy(), batch.column(1)
             own = np.flatnonzero(root[1:] == root[:-1])
-            yield pa.RecordBatch.from_arrays([places.take(pa.array(own)), places.take(pa.array(own + 1))], ["a", "b"])
-
-    pairs = dealt.sortWithinPartitions(*order).select("root", "place").mapInArrow(pair, f"a {PLACE}, b {PLACE}")
+            none = [pa.nulls(len(own), t) for t in (pa.int64(), pa.int64(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([places.take(pa.array(own)), places.take(pa.array(own + 1)), *none], names)
+        if first is not None:
+            ends = [first.column(1), last.column(1), first.column(0), last.column(0), first.column(2)]
+            yield pa.RecordBatch.from_arrays(ends, names)
+
+    # rows of a ``task`` hold its first and its last text with their components, other rows a pair
+    names = ["a", "b", "first_root", "last_root", "task"]
+    ranges = dealt.sortWithinPartitions(*order).select("root", "place", F.spark_partition_id().alias("task"))
+    both = stored(ranges.mapInArrow(pair, f"a {PLACE}, b {PLACE}, first_root long, last_root long, task int"), "linked-texts")
+    # one row a task
+    ends = sorted(both.where("task IS NOT NULL").collect(), key=lambda r: r.task)
+    across = [(tuple(x.b), tuple(y.a)) for x, y in zip(ends, ends[1:]) if x.last_root == y.first_root]
+    pairs = both.where("task IS NULL").select("a", "b").unionByName(spark.createDataFrame(across, f"a {PLACE}, b {PLACE}"))
     return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
 
 
