@@ -87,7 +87,8 @@ def slices(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[pa.Array]:
         upto = max(at + 1, upto)
         yield texts.slice(at, upto - at)
         at = upto
-        pa.default_memory_pool().release_unused()
+        if at < len(texts):
+            pa.default_memory_pool().release_unused()
     # once a batch, since memory taken anew costs time
     give_back()
 
